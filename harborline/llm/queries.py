@@ -15,8 +15,15 @@ def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substrings.digest(substrings.remove_repeats(_table(spark, sf_dir, "documents")))
 
 
+def op7_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from harborline.llm import near_dedup
+
+    return near_dedup.digest(near_dedup.near_duplicates(_table(spark, sf_dir, "documents")))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_substring_dedup": op2_substring_dedup,
+    "op7_minhash_near_dedup": op7_minhash_near_dedup,
 }
 
 ORACLE_SQL: dict[str, str] = {}
