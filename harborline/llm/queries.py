@@ -4,26 +4,36 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from harborline.llm import mixing, near_dedup, quality, substrings
+
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from harborline.llm import substrings
-
     return substrings.digest(substrings.remove_repeats(_table(spark, sf_dir, "documents")))
 
 
-def op7_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from harborline.llm import near_dedup
+def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.digest(quality.ledger(_table(spark, sf_dir, "documents")))
+
 
+def op7_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.digest(near_dedup.near_duplicates(_table(spark, sf_dir, "documents")))
 
 
+def op9_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.digest(mixing.schedule(_table(spark, sf_dir, "documents")))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_substring_dedup": op2_substring_dedup,
+    "op6_quality_rules": op6_quality_rules,
     "op7_minhash_near_dedup": op7_minhash_near_dedup,
+    "op9_mix_sources": op9_mix_sources,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    "op9_mix_sources": mixing.ORACLE_SQL,
+}
