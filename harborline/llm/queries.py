@@ -4,7 +4,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from harborline.llm import mixing, near_dedup, quality, substrings
+from harborline.llm import imatch, mixing, near_dedup, quality, substrings
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -15,6 +15,10 @@ def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substrings.digest(substrings.remove_repeats(_table(spark, sf_dir, "documents")))
 
 
+def op4_imatch_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return imatch.digest(imatch.edited_neighbours(_table(spark, sf_dir, "documents")))
+
+
 def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.digest(quality.ledger(_table(spark, sf_dir, "documents")))
 
@@ -29,6 +33,7 @@ def op9_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_substring_dedup": op2_substring_dedup,
+    "op4_imatch_fingerprints": op4_imatch_fingerprints,
     "op6_quality_rules": op6_quality_rules,
     "op7_minhash_near_dedup": op7_minhash_near_dedup,
     "op9_mix_sources": op9_mix_sources,
