@@ -4,7 +4,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from harborline.llm import imatch, mixing, near_dedup, quality, substrings
+from harborline.llm import imatch, mixing, near_dedup, private, quality, quotes, substrings
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -15,6 +15,10 @@ def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substrings.digest(substrings.remove_repeats(_table(spark, sf_dir, "documents")))
 
 
+def op3_private_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return private.digest(private.find_private(_table(spark, sf_dir, "documents")))
+
+
 def op4_imatch_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return imatch.digest(imatch.edited_neighbours(_table(spark, sf_dir, "documents")))
 
@@ -31,12 +35,18 @@ def op9_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.digest(mixing.schedule(_table(spark, sf_dir, "documents")))
 
 
+def op10_quotation_chats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quotes.reply_ordered(_table(spark, sf_dir, "conversations"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_substring_dedup": op2_substring_dedup,
+    "op3_private_data": op3_private_data,
     "op4_imatch_fingerprints": op4_imatch_fingerprints,
     "op6_quality_rules": op6_quality_rules,
     "op7_minhash_near_dedup": op7_minhash_near_dedup,
     "op9_mix_sources": op9_mix_sources,
+    "op10_quotation_chats": op10_quotation_chats,
 }
 
 ORACLE_SQL: dict[str, str] = {
