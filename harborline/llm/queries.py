@@ -4,7 +4,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from harborline.llm import imatch, mixing, near_dedup, private, quality, quotes, substrings
+from harborline.llm import imatch, mixing, near_dedup, private, quality, quotes, rans, substrings
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -31,6 +31,10 @@ def op7_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.digest(near_dedup.near_duplicates(_table(spark, sf_dir, "documents")))
 
 
+def op8_rans_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rans.read_ids(*rans.write_ids(_table(spark, sf_dir, "documents")))
+
+
 def op9_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.digest(mixing.schedule(_table(spark, sf_dir, "documents")))
 
@@ -45,6 +49,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_imatch_fingerprints": op4_imatch_fingerprints,
     "op6_quality_rules": op6_quality_rules,
     "op7_minhash_near_dedup": op7_minhash_near_dedup,
+    "op8_rans_token_ids": op8_rans_token_ids,
     "op9_mix_sources": op9_mix_sources,
     "op10_quotation_chats": op10_quotation_chats,
 }

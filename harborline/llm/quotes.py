@@ -42,7 +42,7 @@ def parsed(messages: DataFrame) -> DataFrame:
     own = F.when(F.col("text").isNull(), None).when(quoted, F.btrim(F.array_join("__own", "\n"), F.lit(" \n\t\r"))).otherwise(F.col("text"))
     df = df.withColumn("own", own).withColumn("own_sentences", F.expr(_sentences("coalesce(own, '')")))
     levels = "array_distinct(transform(filter(__lines, l -> l.level > 0), l -> l.level))"
-    joined = "array_join(transform(filter(__lines, l -> l.level = v), l -> l.body), ' ')"
+    joined = f"array_join(transform(filter(__lines, l -> l.level = v and not l.body rlike '{INTRODUCES}'), l -> l.body), ' ')"
     df = df.withColumn("quoted", F.expr(f"flatten(transform({levels}, v -> transform({_sentences(joined)}, h -> struct(v as level, h as hash))))"))
     return df.drop("__lines", "__own")
 
