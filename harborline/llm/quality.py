@@ -75,6 +75,13 @@ def passes(policy: str = POLICY) -> Column:
     return F.col("failed_rules").bitwiseAND(F.lit(mask(policy)).cast("long")) == 0
 
 
+def passing(docs: DataFrame, policy: str = POLICY, text: str = "text") -> DataFrame:
+    """The rows of docs that pass a policy. A row number, which is never negative, keeps the optimizer from moving the
+    condition below the measurements, where it would be made of many copies of them."""
+    numbered = ledger(docs, text).withColumn("__row", F.monotonically_increasing_id())
+    return numbered.filter(passes(policy) & (F.col("__row") >= 0)).select(docs.columns)
+
+
 def ablations(kept: DataFrame, policy: str = POLICY) -> DataFrame:
     """For each rule of a policy: rows that fail it, that only it rejects, and that pass without it."""
     chosen = F.col("failed_rules").bitwiseAND(F.lit(mask(policy)).cast("long"))

@@ -4,13 +4,17 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from harborline.llm import imatch, mixing, near_dedup, private, quality, quotes, rans, substrings
+from harborline.llm import imatch, mixing, near_dedup, packing, private, quality, quotes, rans, secrets, substrings
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.digest(secrets.find_secrets(_table(spark, sf_dir, "documents")))
+
+
 def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substrings.digest(substrings.remove_repeats(_table(spark, sf_dir, "documents")))
 
@@ -23,6 +27,10 @@ def op4_imatch_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return imatch.digest(imatch.edited_neighbours(_table(spark, sf_dir, "documents")))
 
 
+def op5_length_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.digest(packing.pack(_table(spark, sf_dir, "documents")))
+
+
 def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.digest(quality.ledger(_table(spark, sf_dir, "documents")))
 
@@ -44,9 +52,11 @@ def op10_quotation_chats(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_secret_scan": op1_secret_scan,
     "op2_substring_dedup": op2_substring_dedup,
     "op3_private_data": op3_private_data,
     "op4_imatch_fingerprints": op4_imatch_fingerprints,
+    "op5_length_packing": op5_length_packing,
     "op6_quality_rules": op6_quality_rules,
     "op7_minhash_near_dedup": op7_minhash_near_dedup,
     "op8_rans_token_ids": op8_rans_token_ids,
