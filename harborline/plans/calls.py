@@ -88,7 +88,7 @@ def validated_calls(probable: DataFrame, outages: DataFrame, config: Config = DE
         F.max("imo").alias("imo"), F.max("vessel_name").alias("vessel_name"),
     ).withColumns({
         "duration_minutes": minutes_between(F.col("arrival_time"), F.col("departure_time")),
-        "validation_method": first_match([(F.col("source_call_count") > 1, "merged_across_outage")], "single_call"),
+        "validation_method": first_match([(F.col("source_call_count") > 1, "merged_across_source_outage")], "original_probable_call"),
     }).drop("group_no")
     return numbered(merged, [F.col("arrival_time"), F.col("mmsi"), F.col("terminal_id")], "validated_call_id")
 

@@ -11,8 +11,8 @@ from harborline.functions.numbers import first_match
 from harborline.operators import merge
 from harborline.operators.rank import best_record
 
-#: Services that are known not to be LNG.
-OTHER_SERVICES = ("CRUDE OIL", "CHEMICAL", "PETROLEUM PRODUCTS", "OIL/CHEMICAL", "PRODUCTS", "ASPHALT")
+#: Subtypes that are known not to be LNG, and what cargo texts say of LNG ships.
+NON_LNG_SUBTYPES = ("LPG", "CRUDE OIL", "OIL", "CHEMICAL", "PRODUCT", "PETROLEUM PRODUCT")
 LNG_CARGO = ("lng vessel", "liquefied natural gas")
 QUEUE = "lookup_key string, imo bigint, mmsi bigint, vessel_name string, queue_status string, attempt_count int, last_attempt_at timestamp, next_attempt_at timestamp, last_error string, created_at timestamp"
 LOOKUP = "lookup_key string, found boolean, failed string, identification string, registry_vessel_name string, service_type string, service_sub_type string, cargo_description string, flag string, status string"
@@ -20,26 +20,30 @@ ERROR_CHARS = 2000
 
 
 def classify(service_type: Column, sub_type: Column, cargo: Column) -> Column:
-    """struct<combined_type, classification_status>."""
-    kind, sub, load = (text.blank_to_null(c) for c in (service_type, sub_type, cargo))
-    upper, low = F.upper(sub), F.lower(load)
-    says_lng = F.coalesce(low.contains(LNG_CARGO[0]) | low.contains(LNG_CARGO[1]), F.lit(False))
-    status = first_match([
-        (F.coalesce(upper == "LNG", F.lit(False)) | says_lng, "confirmed_lng"), (upper == "LPG", "confirmed_non_lng"), (upper.isin(*OTHER_SERVICES), "confirmed_non_lng"),
-        (sub.isNotNull(), "needs_review"), (kind.isNotNull(), "needs_review")], "unknown")
-    return F.struct(text.joined(kind, sub).alias("combined_type"), status.alias("classification_status"))
+    """struct<vessel_type, classification_status>; only explicit evidence confirms."""
+    kind, sub = text.blank_to_null(service_type), text.blank_to_null(sub_type)
+    upper, low = F.upper(sub), F.lower(F.coalesce(cargo, F.lit("")))
+    lng = F.coalesce(upper == "LNG", F.lit(False)) | low.contains(LNG_CARGO[0]) | low.contains(LNG_CARGO[1])
+    status = first_match([(lng, "confirmed_lng"), (upper.isin(*NON_LNG_SUBTYPES), "confirmed_non_lng"), (sub.isNotNull() | kind.isNotNull(), "needs_review")], "unknown")
+    named = F.when(lng, "LNG carrier").when(upper == "LPG", "LPG carrier").when(sub.isNotNull(), sub_type).otherwise(kind)
+    return F.struct(named.alias("vessel_type"), status.alias("classification_status"))
 
 
 def enqueue(queue: DataFrame, calls: DataFrame, registry: DataFrame, now: Column) -> DataFrame:
-    """The queue with the vessels of calls that the registry lacks; one under way stays, others start anew as pending."""
-    best = best_record(calls.select("imo", "mmsi", "vessel_name", "arrival_time"), ["mmsi"], ["imo", "vessel_name"], "arrival_time")
-    known = registry.select("imo").filter("imo is not null")
-    unseen = best.join(known, "imo", "left_anti")
-    key = F.coalesce(F.concat(F.lit("imo:"), F.col("imo").cast("string")), F.concat(F.lit("mmsi:"), F.col("mmsi").cast("string")))
-    new = unseen.select(
-        key.alias("lookup_key"), "imo", "mmsi", "vessel_name", F.lit("pending").alias("queue_status"), F.lit(0).alias("attempt_count"),
-        F.lit(None).cast("timestamp").alias("last_attempt_at"), F.lit(None).cast("timestamp").alias("next_attempt_at"), F.lit(None).cast("string").alias("last_error"), now.cast("timestamp").alias("created_at"))
-    return merge.upsert_where(queue, new, ["lookup_key"], F.col("o.queue_status") == "processing")
+    """The queue with the ships of calls that the registry lacks. A known row gets the latest call's names, no error and
+    no waiting time, and starts anew as pending unless it is under way; its attempts stay."""
+    latest = best_record(calls.filter("imo is not null").select("imo", "mmsi", "vessel_name", "arrival_time"), ["imo"], [], "arrival_time")
+    unseen = latest.join(registry.select("imo"), "imo", "left_anti")
+    new = unseen.select(F.concat(F.lit("imo:"), F.col("imo").cast("string")).alias("lookup_key"), *[F.col(c).alias(f"new_{c}") for c in ("imo", "mmsi", "vessel_name")])
+    joined = queue.withColumn("__old", F.lit(True)).join(new, "lookup_key", "full_outer")
+    hit, old = F.col("new_imo").isNotNull(), F.col("__old").isNotNull()
+    under_way = F.coalesce(F.col("queue_status") == "processing", F.lit(False))
+    out = {
+        "queue_status": F.when(hit & ~under_way, "pending").otherwise(F.col("queue_status")), "attempt_count": F.coalesce("attempt_count", F.lit(0)),
+        "created_at": F.when(old, F.col("created_at")).otherwise(now.cast("timestamp"))}
+    out |= {c: F.when(hit, F.col(f"new_{c}")).otherwise(F.col(c)) for c in ("imo", "mmsi", "vessel_name")}
+    out |= {c: F.when(~hit, F.col(c)) for c in ("next_attempt_at", "last_error")}
+    return joined.withColumns(out).select(queue.columns)
 
 
 def due(queue: DataFrame, now: Column) -> DataFrame:
@@ -90,7 +94,7 @@ def applied(queue: DataFrame, claimed: DataFrame, results: DataFrame, now: Colum
         "lookup_key", status.alias("queue_status"), F.when(F.col("failed").isNotNull(), now.cast("timestamp") + F.expr("interval 1 hour")).alias("next_attempt_at"),
         F.coalesce("failed", reason).alias("last_error"))
     found = rows.filter("usable").select(
-        "imo", "mmsi", F.col("vessel_name").alias("ais_vessel_name"), "registry_vessel_name", "service_type", "service_sub_type", "cargo_description", "flag", "status", "kind.combined_type", "kind.classification_status")
+        "imo", "mmsi", F.col("vessel_name").alias("ais_vessel_name"), "registry_vessel_name", "service_type", "service_sub_type", "cargo_description", "flag", "status", "kind.vessel_type", "kind.classification_status")
     return merge.replace_columns(queue, changes, ["lookup_key"]), found
 
 
