@@ -3,13 +3,15 @@
 A text's 5-word shingles are hashed to 64 bits. The top 7 bits choose one of 128 buckets; of the smallest hash in a
 bucket a 16-bit register keeps the number of leading zeros and the next 10 bits. Four registers make a band; documents
 that agree in any of the 32 bands are candidates. At a similarity of 0.75 all bands differ once in 200,000 pairs.
-Register by register, a collision-corrected Jaccard estimate drops hopeless candidates (4.5 standard errors below the
+Register by register, a collision-corrected Jaccard estimate drops hopeless candidates (4 standard errors below the
 threshold); the rest are confirmed on their full shingle sets, and links make components.
 
-Equal shingle sets are one class from the start. In a bucket each class is compared with one hub that the bucket
-chooses at random, so candidates grow with the rows and not with the square of a group. What the hubs leave open (a
-bucket whose classes are in several components) is closed exactly: classes of different components in such a bucket
-are compared in tiles of bounded size, again and again until nothing is open. No bucket is cut and no partner dropped.
+Equal shingle sets are one class from the start. In a bucket each class is compared with two hubs: the class that
+shares most buckets (in a group of edited copies this is the one nearest to the original), and a random one. Hopeful
+estimates make loose clusters. Buckets whose classes are in several clusters are closed: in tiles of bounded size all
+classes of different clusters are compared by registers, and hopeful pairs join their clusters; so whatever is hopeful
+and shares a bucket is in one cluster. Inside a cluster similarities are exact: tiles of full sets are multiplied, and a
+task returns the components of its tile, not its pairs. No bucket is cut and no partner dropped.
 
 Null and empty texts have an empty set: they are linked with nothing and kept. Rows with the same doc_id are separate
 rows; exact copies among them are one class. Classes are known by 64-bit sums of their hashes.
@@ -19,7 +21,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from harborline.llm import words as W
@@ -28,8 +30,10 @@ from harborline.llm.store import written
 SHINGLE, THRESHOLD_PCT = 5, 75
 REGISTERS, BAND = 128, 4
 BUCKET_BITS, MANTISSA_BITS = 7, 10
-ERRORS = 4.5
+ERRORS = 4.0
 TILE = 1024
+#: Most classes, and shingles, that a tile of full sets is made for; columns multiplied at a time.
+TILE_SHINGLES, COLUMNS = 1_500_000, 2048
 
 
 def shingle_sets(data: np.ndarray, ends: np.ndarray, k: int = SHINGLE) -> tuple[np.ndarray, np.ndarray]:
@@ -98,7 +102,7 @@ def hopeful(est: np.ndarray, used: np.ndarray, threshold: float) -> np.ndarray:
     return est >= threshold - ERRORS * np.sqrt(threshold * (1 - threshold) / used)
 
 
-def _sketch(key: str, text: str):
+def _sketch(carried: list[str], text: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in W.slices(batch, text):
@@ -106,22 +110,20 @@ def _sketch(key: str, text: str):
                 owner, runs = shingle_sets(data, ends)
                 n = part.num_rows
                 yield pa.RecordBatch.from_arrays([
-                    part.column(key),
+                    *[part.column(c) for c in carried],
                     pa.array(np.bincount(owner, minlength=n), pa.int64()),
                     pa.array(class_ids(owner, runs, n), pa.int64()),
                     pa.array([x.tobytes() for x in registers(owner, runs, n)], pa.binary()),
-                ], names=[key, "n_shingles", "node", "registers"])
+                ], names=[*carried, "n_shingles", "node", "registers"])
 
     return run
 
 
 def _bands(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    salt = W.mix(np.arange(1, REGISTERS // BAND + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
     for batch in batches:
-        rows = np.frombuffer(b"".join(batch.column("registers").to_pylist()), np.uint64).reshape(-1, REGISTERS // BAND)
-        full = rows != 0
-        node = np.repeat(np.asarray(batch.column("node")), full.sum(1))
-        yield pa.RecordBatch.from_arrays([pa.array(W.mix(rows ^ salt)[full].view(np.int64)), pa.array(node)], names=["band", "node"])
+        keys = _band_keys(_matrix(batch.column("registers")))
+        node = np.repeat(np.asarray(batch.column("node")), (keys != 0).sum(1))
+        yield pa.RecordBatch.from_arrays([pa.array(keys[keys != 0]), pa.array(node)], names=["band", "node"])
 
 
 def _matrix(column) -> np.ndarray:
@@ -138,24 +140,40 @@ def _estimates(threshold: float):
     return run
 
 
+def _band_keys(registers: np.ndarray) -> np.ndarray:
+    """A 64-bit key of each band of each row; 0 where all its registers are empty."""
+    salt = W.mix(np.arange(1, REGISTERS // BAND + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+    rows = np.ascontiguousarray(registers).view(np.uint64)
+    return np.where(rows != 0, W.mix(rows ^ salt), np.uint64(0)).view(np.int64)
+
+
 def _open_pairs(threshold: float):
-    """Within a tile (or between its two halves): hopeful pairs of classes in different components."""
+    """Within a tile (or between its two halves): hopeful pairs of classes in different clusters."""
 
     def run(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
+        band = key[0].as_py()
         half, node = np.asarray(table.column("half")), np.asarray(table.column("node"))
         comp, size = np.asarray(table.column("comp")), np.asarray(table.column("n_shingles"))
         regs = _matrix(table.column("registers"))
+        full, keys = regs > 0, _band_keys(regs)
         left, right = np.flatnonzero(half != 1), np.flatnonzero(half != 0)
-        out = []
-        for i in left:
-            other = right[(comp[right] != comp[i]) & (100 * np.minimum(size[right], size[i]) >= 100 * threshold * np.maximum(size[right], size[i]))]
-            if half[i] == 2:
-                other = other[other > i]
-            if len(other):
-                est, used = estimate(np.broadcast_to(regs[i], (len(other), REGISTERS)), regs[other], np.full(len(other), size[i]), size[other])
-                out += [(min(node[i], node[j]), max(node[i], node[j])) for j in other[hopeful(est, used, threshold)]]
-        a, b = (np.array([x[k] for x in out], np.int64) for k in (0, 1))
-        return pa.table({"a": pa.array(a), "b": pa.array(b)})
+        found = [(np.zeros(0, np.int64), np.zeros(0, np.int64))]
+        step = max(1, 2_000_000 // (REGISTERS * max(1, len(right))))
+        for at in range(0, len(left), step):
+            some = left[at : at + step]
+            equal = ((regs[some][:, None] == regs[right][None]) & full[right][None]).sum(2)
+            both = full[some].astype(np.float32) @ full[right].astype(np.float32).T
+            used = np.maximum(full[some].sum(1)[:, None] + full[right].sum(1)[None] - both, 1)
+            low, high = np.minimum(size[some][:, None], size[right][None]), np.maximum(size[some][:, None], size[right][None])
+            i, j = np.nonzero(hopeful(equal / used, used, threshold) & (low >= threshold * high) & (comp[some][:, None] != comp[right][None]))
+            i, j = some[i], right[j]
+            i, j = (x[(half[i] != 2) | (i < j)] for x in (i, j))
+            if len(i):
+                shared = (keys[i] == keys[j]) & (keys[i] != 0)
+                good = (keys[i, shared.argmax(1)] == band) & hopeful(*estimate(regs[i], regs[j], size[i], size[j]), threshold)
+                found.append((i[good], j[good]))
+        i, j = (np.concatenate(x) for x in zip(*found, strict=True))
+        return pa.table({"a": pa.array(node[i]), "b": pa.array(node[j])})
 
     return run
 
@@ -178,17 +196,39 @@ def _sets(text: str):
     return run
 
 
-def _confirm(percent: int):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            linked, last, held = [], None, None
-            for a, x, y in zip(batch.column("a").to_pylist(), batch.column("sa").to_pylist(), batch.column("sb").to_pylist(), strict=True):
-                if a != last:
-                    last, held = a, W.unpack(x)
-                other = W.unpack(y)
-                both = len(np.intersect1d(held, other, assume_unique=True))
-                linked.append(100 * both >= percent * (len(held) + len(other) - both))
-            yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b"), pa.array(linked, pa.bool_())], names=["a", "b", "linked"])
+def _confirmed(percent: int):
+    """Of a tile: (a, b) for each class and the least class that confirmed links lead to within the tile."""
+
+    def run(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
+        half, node = np.asarray(table.column("half")), np.asarray(table.column("node"))
+        sets = [W.unpack(x) for x in table.column("shingles").to_pylist()]
+        size = np.array([len(x) for x in sets])
+        owner = np.repeat(np.arange(len(sets)), size)
+        _, column, often = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+        del sets
+        keep = often[column] > 1  # a shingle of one set is in no intersection
+        number = np.cumsum(often > 1) - 1
+        owner, column = owner[keep], number[column[keep]]
+        order = np.argsort(column, kind="stable")
+        owner, column = owner[order], column[order]
+        left, right = np.flatnonzero(half != 1), np.flatnonzero(half != 0)
+        both = np.zeros((len(left), len(right)), np.float32)
+        for at in range(0, int(column[-1]) + 1 if len(column) else 0, COLUMNS):
+            a, b = np.searchsorted(column, (at, at + COLUMNS))
+            dense = np.zeros((len(node), COLUMNS), np.float32)
+            dense[owner[a:b], column[a:b] - at] = 1
+            both += dense[left] @ dense[right].T
+        linked = 100 * both >= percent * (size[left][:, None] + size[right][None] - both)
+        label = np.arange(len(node))
+        while True:
+            new = label.copy()
+            new[left] = np.minimum(new[left], np.where(linked, new[right][None], len(node)).min(1))
+            new[right] = np.minimum(new[right], np.where(linked, new[left][:, None], len(node)).min(0))
+            if (new == label).all():
+                break
+            label = new
+        moved = np.flatnonzero(label != np.arange(len(node)))
+        return pa.table({"a": pa.array(node[moved]), "b": pa.array(node[label[moved]])})
 
     return run
 
@@ -216,60 +256,76 @@ def _candidates(pairs: DataFrame, classes: DataFrame, threshold: float) -> DataF
     return joined.select("a", "b", "na", "nb", "ra", "rb").mapInArrow(_estimates(threshold), "a bigint, b bigint, estimate double")
 
 
-def _open(bands: DataFrame, comps: DataFrame, classes: DataFrame, threshold: float) -> DataFrame:
-    """Hopeful pairs across components in the buckets that hold several, in tiles of at most 2 * TILE classes."""
-    labelled = bands.join(comps, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
+def _tiled(members: DataFrame, tiles) -> DataFrame:
+    """members, each once for every pair of tiles that it is in, with p, q and half: 2 in a tile with itself, else 0 in
+    the lower tile, 1 in the higher."""
+    mine = F.pmod(F.xxhash64("node"), F.col("__tiles")).cast("int")
+    placed = members.withColumn("__tiles", tiles.cast("int")).withColumn("__mine", mine)
+    to = F.expr("transform(sequence(0, __tiles - 1), t -> struct(least(t, __mine) as p, greatest(t, __mine) as q, if(t = __mine, 2, if(__mine < t, 0, 1)) as half))")
+    return placed.withColumn("__to", F.explode(to)).select(*members.columns, "__to.p", "__to.q", "__to.half")
+
+
+def _open(bands: DataFrame, clusters: DataFrame, classes: DataFrame, threshold: float) -> DataFrame:
+    """Hopeful pairs across clusters in the buckets that hold several, in tiles of at most 2 * TILE classes."""
+    labelled = bands.join(clusters, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
     several = labelled.groupBy("band").agg(F.min("comp").alias("low"), F.max("comp").alias("high"), F.count("*").alias("members")).filter("low < high and members > 2")
-    tiles = F.ceil(F.col("members") / TILE).cast("int")
-    mine = F.pmod(F.xxhash64("node"), F.col("tiles")).cast("int")
-    member = labelled.join(several, "band").withColumn("tiles", tiles).withColumn("mine", mine)
-    # a tile with itself has half 2; of two tiles the lower has half 0, the higher half 1
-    sent = member.select(
-        "band", "node", "comp",
-        F.explode(F.expr("transform(sequence(0, tiles - 1), t -> struct(least(t, mine) as p, greatest(t, mine) as q, if(t = mine, 2, if(mine < t, 0, 1)) as half))")).alias("to"),
-    ).select("band", "to.p", "to.q", "to.half", "node", "comp").join(classes.select("node", "n_shingles", "registers"), "node")
+    member = labelled.join(several.select("band", "members"), "band").select("band", "node", "comp", "members")
+    sent = _tiled(member, F.ceil(F.col("members") / TILE)).join(classes.select("node", "n_shingles", "registers"), "node")
     return sent.groupBy("band", "p", "q").applyInArrow(_open_pairs(threshold), "a bigint, b bigint").distinct()
 
 
-def _verify(pairs: DataFrame, classes: DataFrame, docs: DataFrame, key: str, text: str, percent: int) -> DataFrame:
-    """(a, b, linked) for each pair, from the full shingle sets of one text of each class."""
-    nodes = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-    wanted = classes.join(nodes, "node").select("node", F.col("first_key").alias(key))
+def _links(clusters: DataFrame, classes: DataFrame, docs: DataFrame, key: str, text: str, percent: int) -> DataFrame:
+    """(a, b) within clusters: classes that links confirmed on full sets connect."""
+    named = clusters.join(classes.select("node", "n_shingles", "first_key"), "node")
+    wanted = named.select("node", F.col("first_key").alias(key))
     texts = docs.join(wanted, docs[key].eqNullSafe(wanted[key])).select(wanted["node"], docs[text])
-    sets = written(texts.mapInArrow(_sets(text), "node bigint, shingles binary").dropDuplicates(["node"]), "shingle-sets", compression="none")
-    left, right = sets.toDF("a", "sa"), sets.toDF("b", "sb")
-    return pairs.join(left, "a").join(right, "b").select("a", "b", "sa", "sb").mapInArrow(_confirm(percent), "a bigint, b bigint, linked boolean")
-
-
-def near_duplicates(docs: DataFrame, *, key: str = "doc_id", text: str = "text", threshold_pct: int = THRESHOLD_PCT) -> DataFrame:
-    """A row for each row of docs: key, n_shingles, component_id (least key reachable), node (class of equal sets)."""
-    docs = docs.select(key, text)
-    kind = docs.schema[key].dataType.simpleString()
+    sets = texts.mapInArrow(_sets(text), "node bigint, shingles binary")
+    sizes = named.groupBy("comp").agg(F.count("*").alias("members"), F.sum("n_shingles").alias("shingles"))
+    tiles = F.ceil(F.greatest(F.col("members") / TILE, F.col("shingles") / TILE_SHINGLES))
+    sent = _tiled(named.join(sizes, "comp").select("comp", "node", "members", "shingles"), tiles).drop("members", "shingles").join(sets, "node")
+    return sent.groupBy("comp", "p", "q").applyInArrow(_confirmed(percent), "a bigint, b bigint")
+
+
+def near_duplicates(docs: DataFrame, *, key: str = "doc_id", text: str = "text", threshold_pct: int = THRESHOLD_PCT, extra: tuple[str, ...] = ()) -> DataFrame:
+    """A row for each row of docs: key, extra columns, n_shingles, component_id (least key reachable), node (class of
+    equal sets)."""
+    carried = [key, *extra]
+    docs = docs.select(*carried, text)
+    kinds = ", ".join(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in carried)
     threshold = threshold_pct / 100
-    sketches = written(docs.mapInArrow(_sketch(key, text), f"`{key}` {kind}, n_shingles bigint, node bigint, registers binary"), "sketches", compression="none")
+    sketches = written(docs.mapInArrow(_sketch(carried, text), f"{kinds}, n_shingles bigint, node bigint, registers binary"), "sketches", compression="none")
     full = sketches.filter("n_shingles > 0")
     classes = written(full.groupBy("node").agg(F.min(key).alias("first_key"), F.first("n_shingles").alias("n_shingles"), F.first("registers").alias("registers")), "classes", compression="none")
     every = classes.select("node", "registers").mapInArrow(_bands, "band bigint, node bigint")
+    bands = written(every.join(every.groupBy("band").agg(F.count("*").alias("members")).filter("members > 1"), "band"), "bands")
+    shared = bands.groupBy("node").agg(F.sum("members").alias("shared"))
     salted = F.col("node").bitwiseXOR(F.xxhash64("band"))
-    hubs = every.groupBy("band").agg(F.count("*").alias("members"), F.min(salted).alias("least")).filter("members > 1").select("band", F.col("least").bitwiseXOR(F.xxhash64("band")).alias("hub"))
-    bands = written(every.join(hubs, "band"), "bands")
-    star = bands.filter("node <> hub").select(F.least("node", "hub").alias("a"), F.greatest("node", "hub").alias("b")).distinct()
+    hubs = bands.join(shared, "node").groupBy("band").agg(F.max_by("node", "shared").alias("central"), F.min(salted).alias("least")).select(
+        "band", F.explode(F.array("central", F.col("least").bitwiseXOR(F.xxhash64("band")))).alias("hub"))
+    star = bands.join(hubs, "band").filter("node <> hub").select(F.least("node", "hub").alias("a"), F.greatest("node", "hub").alias("b")).distinct()
     hoped = written(_candidates(star, classes, threshold), "candidates")
     members = bands.select("band", "node")
-    rest = _open(members, components(hoped.filter(F.col("estimate") >= threshold)), classes, threshold)
-    pairs = written(hoped.select("a", "b").union(rest).distinct(), "pairs")
-    tested = written(_verify(pairs, classes, docs, key, text, threshold_pct), "tested")
-    while True:
-        comps = components(tested.filter("linked"))
-        more = written(_open(members, comps, classes, threshold).join(tested.select("a", "b"), ["a", "b"], "left_anti"), "pairs")
-        if more.isEmpty():
-            break
-        tested = written(tested.union(_verify(more, classes, docs, key, text, threshold_pct)), "tested")
+    loose = components(hoped)
+    more = written(_open(members, loose, classes, threshold), "open-pairs")
+    if not more.isEmpty():
+        loose = components(hoped.select("a", "b").union(more))
+    comps = components(written(_links(loose, classes, docs, key, text, threshold_pct), "links"))
     first = classes.select("node", "first_key")
     of_linked = comps.join(first, "node").groupBy("comp").agg(F.min("first_key").alias("least"))
     ids = first.join(comps, "node", "left").join(of_linked, "comp", "left").select("node", F.coalesce("least", "first_key").alias("component_id"))
-    return sketches.select(key, "n_shingles", "node").join(ids.withColumnRenamed("node", "class"), (F.col("node") == F.col("class")) & (F.col("n_shingles") > 0), "left").select(
-        key, "n_shingles", F.coalesce("component_id", key).alias("component_id"), "node")
+    return sketches.select(*carried, "n_shingles", "node").join(ids.withColumnRenamed("node", "class"), (F.col("node") == F.col("class")) & (F.col("n_shingles") > 0), "left").select(
+        *carried, "n_shingles", F.coalesce("component_id", key).alias("component_id"), "node")
+
+
+def without_duplicates(docs: DataFrame, *, key: str = "doc_id", text: str = "text", threshold_pct: int = THRESHOLD_PCT) -> DataFrame:
+    """The rows of docs that stay: of each component the document with the least key, of repeated rows one; all rows
+    without words."""
+    named = docs.withColumns({"__key": F.coalesce(F.col(key).cast("string"), F.lit("null")), "__hash": F.xxhash64(text)})
+    found = near_duplicates(named, key=key, text=text, threshold_pct=threshold_pct, extra=("__key", "__hash"))
+    stay = found.filter(F.col(key).eqNullSafe(F.col("component_id"))).groupBy("__key", "__hash").agg(F.max("n_shingles").alias("__n"))
+    same = Window.partitionBy("__key", "__hash").orderBy("__n")
+    numbered = named.join(stay, ["__key", "__hash"]).withColumn("__row", F.row_number().over(same))
+    return numbered.filter("__row = 1 or __n = 0").select(docs.columns)
 
 
 def digest(found: DataFrame) -> DataFrame:
