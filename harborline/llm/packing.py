@@ -94,7 +94,7 @@ def pack(docs: DataFrame, *, key: str = "doc_id", text: str = "text", path: str
     histogram = cut.groupBy("piece_length").agg(F.count("*").alias("n")).toPandas()  # at most max_length + 1 rows
     bounds = optimal_bounds(histogram["piece_length"].to_numpy(), histogram["n"].to_numpy(), buckets)
     rows = int(histogram["n"].sum())
-    bucket: Column = F.lit(len(bounds) - 1)
+    bucket: Column = F.lit(max(0, len(bounds) - 1))
     for i in range(len(bounds) - 2, -1, -1):
         bucket = F.when(F.col("piece_length") <= bounds[i], i).otherwise(bucket)
     bound = F.element_at(F.lit(bounds or [0]), F.col("bucket") + 1).cast("int")
