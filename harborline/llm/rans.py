@@ -1,7 +1,7 @@
 """Token ids in blocks by a static range asymmetric numeral system (rANS).
 
 One frequency table (2**20 slots), counted over all documents, is shared by all blocks. Documents are range-sorted by
-doc_id; a block holds whole documents and about BLOCK ids, and can be decoded by itself. Its ids are dealt to LANES
+doc_id and tokenized once, into a table of plain ids that is counted, then encoded; a block holds whole documents and about BLOCK ids, and can be decoded by itself. Its ids are dealt to LANES
 interleaved states of 64 bits, which share one stream of 32-bit words. Every STRIDE steps a checkpoint keeps the states,
 the place in the stream and the CRC-32 of the ids that follow, so the parts of a block can be decoded in parallel too.
 
@@ -54,7 +54,10 @@ class Table:
         return cls(ids, freq)
 
     def symbols(self, ids: np.ndarray) -> np.ndarray:
-        return np.searchsorted(self.ids, ids)
+        if not hasattr(self, "place"):
+            self.place = np.zeros(int(self.ids[-1]) + 1 if len(self.ids) else 1, np.int32)
+            self.place[self.ids] = np.arange(len(self.ids))
+        return self.place[ids]
 
     def owners(self) -> np.ndarray:
         return np.repeat(np.arange(len(self.ids), dtype=np.int32), self.freq.astype(np.int64))
@@ -116,46 +119,59 @@ def decode(payload: bytes, table: Table, owners: np.ndarray, stride: int = STRID
     return np.concatenate(out) if out else np.zeros(0, np.uint32)
 
 
-def _count(path: str, text: str, end: int):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words, total = WordIds.of(path), np.zeros(0, np.int64)
-        for batch in batches:
-            for part in W.slices(batch, text, 8 << 20):
-                ids, n = words.counts(part.column(text), end)
-                if len(ids) and ids[-1] >= len(total):
-                    total = np.concatenate((total, np.zeros(ids[-1] + 1 - len(total), np.int64)))
-                total[ids] += n
-        some = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(some, pa.int64()), pa.array(total[some], pa.int64())], names=["id", "n"])
-
-    return run
-
+def _tokenize(path: str, key: str, text: str, end: int, schema: pa.Schema):
+    """Sorted documents to blocks of plain ids (32-bit, little-endian)."""
 
-def _encode(path: str, key: str, text: str, end: int, table, schema: pa.Schema):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words, shared, part = WordIds.of(path), Table(*table.value), TaskContext.get().partitionId()
+        words, part = WordIds.of(path), TaskContext.get().partitionId()
         block, first = 0, 0
         keys, lengths, ids, held = [], [], [], 0
-
-        def row() -> pa.RecordBatch:
-            found = np.concatenate(ids)
-            return pa.RecordBatch.from_pylist([{"part": part, "block": block, "first": first, "doc_ids": keys, "lengths": lengths, "payload": encode(found, shared)}], schema=schema)
-
         for batch in batches:
             for some in W.slices(batch, text):
                 found, each = words.ids(some.column(text), end)
-                at = 0
-                for doc, n in zip(some.column(key).to_pylist(), each.tolist(), strict=True):
-                    keys.append(doc)
-                    lengths.append(n)
-                    ids.append(found[at : at + n])
-                    at, held = at + n, held + n
+                ends = np.cumsum(each)
+                names, at, low = some.column(key).to_pylist(), 0, 0
+                while at < len(each):  # as many documents as fill the block
+                    to = min(len(each), int(np.searchsorted(ends, low + BLOCK - held)) + 1)
+                    keys += names[at:to]
+                    lengths.append(each[at:to])
+                    ids.append(found[low : ends[to - 1]])
+                    held += int(ends[to - 1]) - low
+                    at, low = to, int(ends[to - 1])
                     if held >= BLOCK:
-                        yield row()
+                        yield _row(schema, part, block, first, keys, lengths, ids)
                         block, first = block + 1, first + held
                         keys, lengths, ids, held = [], [], [], 0
         if keys:
-            yield row()
+            yield _row(schema, part, block, first, keys, lengths, ids)
+
+    return run
+
+
+def _row(schema: pa.Schema, part: int, block: int, first: int, keys: list, lengths: list, ids: list) -> pa.RecordBatch:
+    raw = np.concatenate(ids).astype("<u4").tobytes()
+    return pa.RecordBatch.from_pylist([{"part": part, "block": block, "first": first, "doc_ids": keys, "lengths": np.concatenate(lengths).tolist(), "payload": raw}], schema=schema)
+
+
+def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    total = np.zeros(0, np.int64)
+    for batch in batches:
+        for raw in batch.column("payload"):
+            found = np.bincount(np.frombuffer(raw.as_buffer(), "<u4"))
+            if len(found) > len(total):
+                total = np.concatenate((total, np.zeros(len(found) - len(total), np.int64)))
+            total[: len(found)] += found
+    some = np.flatnonzero(total)
+    yield pa.RecordBatch.from_arrays([pa.array(some, pa.int64()), pa.array(total[some], pa.int64())], names=["id", "n"])
+
+
+def _encode(table):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        shared = Table(*table.value)
+        for batch in batches:
+            packed = [encode(np.frombuffer(raw.as_buffer(), "<u4"), shared) for raw in batch.column("payload")]
+            at = batch.schema.get_field_index("payload")
+            yield batch.set_column(at, "payload", pa.array(packed, pa.binary()))
 
     return run
 
@@ -186,17 +202,17 @@ def write_ids(docs: DataFrame, *, key: str = "doc_id", text: str = "text", path:
     """The table of blocks, as written, and the frequency table (its size is bounded by the vocabulary)."""
     path = path or default_path()
     docs = docs.select(F.col(key), native.whole(text).alias("text"))
-    counted = docs.select("text").mapInArrow(_count(path, "text", end), "id bigint, n bigint").groupBy("id").agg(F.sum("n").alias("n")).orderBy("id").toPandas()
-    ids, counts = counted["id"].to_numpy(np.int64), counted["n"].to_numpy(np.int64)
     size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0  # one number: how many ranges
     parts = max(12, size // PART_BYTES + 1)
-    table = Table.counted(ids, counts)
-    shared = docs.sparkSession.sparkContext.broadcast((table.ids, table.freq))
     order = docs.repartitionByRange(int(parts), F.col(key).asc_nulls_first()).sortWithinPartitions(F.col(key).asc_nulls_first(), F.xxhash64("text"))
     kind = docs.schema[key].dataType.simpleString()
     schema = pa.schema([("part", pa.int32()), ("block", pa.int32()), ("first", pa.int64()), ("doc_ids", pa.list_(_arrow(kind))), ("lengths", pa.list_(pa.int64())), ("payload", pa.binary())])
-    blocks = order.mapInArrow(_encode(path, key, "text", end, shared, schema), f"part int, block int, first bigint, doc_ids array<{kind}>, lengths array<bigint>, payload binary")
-    return written(blocks, "rans-blocks", compression="none"), table
+    columns = f"part int, block int, first bigint, doc_ids array<{kind}>, lengths array<bigint>, payload binary"
+    plain = written(order.mapInArrow(_tokenize(path, key, "text", end, schema), columns), "plain-ids", compression="zstd")
+    counted = plain.select("payload").mapInArrow(_count, "id bigint, n bigint").groupBy("id").agg(F.sum("n").alias("n")).orderBy("id").toPandas()
+    table = Table.counted(counted["id"].to_numpy(np.int64), counted["n"].to_numpy(np.int64))
+    shared = docs.sparkSession.sparkContext.broadcast((table.ids, table.freq))
+    return written(plain.mapInArrow(_encode(shared), columns), "rans-blocks", compression="none"), table
 
 
 def _arrow(kind: str) -> pa.DataType:

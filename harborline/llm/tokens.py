@@ -1,10 +1,13 @@
-"""Token ids of whole texts, word by word.
+"""Token ids of whole texts, piece by piece.
 
 The tokenizers used here drop white space before they merge, so a text's ids are those of its words, split at ASCII white
-space, one after another. A task finds the distinct words of a slice and tokenizes those it doesn't know yet, many in one
-call with a separator between them; known words are kept up to a fixed number.
+space, one after another. Where the tokenizer also lowers case and splits letters, single digits and other marks (PRE_SPLIT),
+words are cut further, at places where it always splits: around ASCII digits, and between ASCII letters and other ASCII
+marks (but not behind an apostrophe, which may start a contraction). A slice that holds a special token is cut into words
+only. Pieces are known by 64-bit hashes; new ones are tokenized many in a call and kept up to a fixed number.
 """
 
+import json
 import os
 
 import numpy as np
@@ -12,8 +15,22 @@ import pyarrow as pa
 
 from harborline.llm import words as W
 
+#: Fixed value: the splitting pattern that the cuts into pieces rest on.
+PRE_SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 SEPARATOR = "\x01"
-JOINED, KNOWN = 256, 500_000
+JOINED, KNOWN = 256, 1_000_000
+SLOTS, PROBES = 1 << 22, 6
+
+_BYTES = np.arange(256)
+_LETTER = ((_BYTES >= 97) & (_BYTES <= 122)).astype(np.uint8)
+_DIGIT = ((_BYTES >= 48) & (_BYTES <= 57)).astype(np.uint8)
+#: Classes of lower-cased bytes: 0 white, 1 letter, 2 digit, 3 other ASCII, 4 beyond ASCII, 5 apostrophe.
+_CLASS = np.select([W.WHITE, _LETTER == 1, _DIGIT == 1, _BYTES >= 128, _BYTES == 39], [0, 1, 2, 4, 5], 3).astype(np.uint8)
+#: Whether a piece starts between two classes.
+_STARTS = np.zeros((6, 6), bool)
+_STARTS[0, 1:] = True
+_STARTS[2, 1:] = _STARTS[1:, 2] = True
+_STARTS[1, [3, 5]] = _STARTS[3, 1] = True
 
 
 def default_path() -> str:
@@ -29,7 +46,7 @@ class WordIds:
 
     @classmethod
     def of(cls, path: str) -> "WordIds":
-        """One for each Python worker, so that later tasks know the words of earlier ones."""
+        """One for each Python worker, so that later tasks know the pieces of earlier ones."""
         if path not in cls._open:
             cls._open[path] = cls(path)
         return cls._open[path]
@@ -38,56 +55,109 @@ class WordIds:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
-        self.encode = Tokenizer.from_file(path).encode_batch_fast
+        tokenizer = Tokenizer.from_file(path)
+        self.encode = tokenizer.encode_batch_fast
         mark = self.encode([SEPARATOR], add_special_tokens=False)[0].ids
         self.mark = mark[0] if len(mark) == 1 else None
+        with open(path, encoding="utf-8") as file:
+            given = json.load(file)
+        suffix = given["model"].get("end_of_word_suffix")
+        self.special = [x["content"].encode() for x in given["added_tokens"]]
+        self.cut = bool(suffix) and PRE_SPLIT in json.dumps(given["pre_tokenizer"], ensure_ascii=False).replace("\\\\", "\\") and "Lowercase" in json.dumps(given["normalizer"])
+        self.last = np.array([(tokenizer.id_to_token(i) or "").endswith(suffix) for i in range(tokenizer.get_vocab_size())]) if self.cut else None
         self._forget()
 
     def _forget(self) -> None:
-        self.known: dict[str, int] = {}
-        self.flat, self.used = np.zeros(1 << 16, np.uint32), 0
-        self.begin, self.length = np.zeros(1 << 14, np.int64), np.zeros(1 << 14, np.int64)
-
-    def _add(self, words: list[str]) -> None:
-        own = [x for x in words if self.mark is None or SEPARATOR in x]
-        plain = [x for x in words if not (self.mark is None or SEPARATOR in x)] if own else words
-        for i in range(0, len(plain), 64 * JOINED):
-            some = plain[i : i + 64 * JOINED]
-            texts = [f" {SEPARATOR} ".join(some[j : j + JOINED]) + f" {SEPARATOR}" for j in range(0, len(some), JOINED)]
-            ids = np.concatenate([np.asarray(x.ids, np.uint32) for x in self.encode(texts, add_special_tokens=False)])
-            at = np.flatnonzero(ids == self.mark)
-            self._append(some, ids[ids != self.mark], np.diff(at, prepend=-1) - 1)
-        if own:
-            each = [np.asarray(x.ids, np.uint32) for x in self.encode(own, add_special_tokens=False)]
-            self._append(own, np.concatenate(each), np.array([len(x) for x in each]))
-
-    def _append(self, words: list[str], ids: np.ndarray, lengths: np.ndarray) -> None:
-        n = len(self.known)
+        self.n, self.used = 0, 0
+        self.flat = np.zeros(1 << 16, np.uint32)
+        self.begin, self.length, self.hash = np.zeros(1 << 14, np.int64), np.zeros(1 << 14, np.int64), np.zeros(1 << 14, np.uint64)
+        self.slot = np.full(SLOTS, -1, np.int32)
+
+    def _find(self, hashes: np.ndarray) -> np.ndarray:
+        """Numbers of known pieces; -1 for others."""
+        out = np.full(len(hashes), -1, np.int64)
+        open_ = np.arange(len(hashes))
+        for probe in range(PROBES):
+            at = self.slot[(hashes[open_] + np.uint64(probe)) & np.uint64(SLOTS - 1)]
+            hit = (at >= 0) & (self.hash[at] == hashes[open_])
+            out[open_[hit]] = at[hit]
+            open_ = open_[(at >= 0) & ~hit]
+            if not len(open_):
+                break
+        return out
+
+    def _append(self, hashes: np.ndarray, ids: np.ndarray, lengths: np.ndarray) -> None:
+        n, more = self.n, len(hashes)
         while self.used + len(ids) > len(self.flat):
             self.flat = np.concatenate((self.flat, np.zeros_like(self.flat)))
-        while n + len(words) > len(self.begin):
-            self.begin, self.length = (np.concatenate((x, np.zeros_like(x))) for x in (self.begin, self.length))
+        while n + more > len(self.begin):
+            self.begin, self.length, self.hash = (np.concatenate((x, np.zeros_like(x))) for x in (self.begin, self.length, self.hash))
         self.flat[self.used : self.used + len(ids)] = ids
-        self.begin[n : n + len(words)] = self.used + np.cumsum(lengths) - lengths
-        self.length[n : n + len(words)] = lengths
-        self.known.update(zip(words, range(n, n + len(words)), strict=True))
-        self.used += len(ids)
+        self.begin[n : n + more] = self.used + np.cumsum(lengths) - lengths
+        self.length[n : n + more], self.hash[n : n + more] = lengths, hashes
+        left = np.arange(n, n + more)
+        for probe in range(PROBES):  # a piece that finds no free slot stays unknown
+            at = ((self.hash[left] + np.uint64(probe)) & np.uint64(SLOTS - 1)).astype(np.int64)
+            free = np.flatnonzero(self.slot[at] < 0)
+            self.slot[at[free]] = left[free]
+            left = left[self.slot[at] != left]
+        self.n, self.used = n + more, self.used + len(ids)
+
+    def _add(self, hashes: np.ndarray, pieces: list[str]) -> None:
+        """Tokenizes new pieces: those that are one token run each need no separator, their last tokens are marked."""
+        plain, parted, own = [], [], []
+        for i, x in enumerate(pieces):
+            if self.cut and x.isascii() and (x.isalpha() or len(x) == 1 or not any(map(str.isalnum, x))):
+                plain.append(i)
+            else:
+                (own if self.mark is None or SEPARATOR in x else parted).append(i)
+        for group, between in ((plain, " "), (parted, f" {SEPARATOR} ")):
+            if group:
+                texts = [between.join([pieces[i] for i in group[a : a + JOINED]]) + between.rstrip(" ") for a in range(0, len(group), JOINED)]
+                ids = np.concatenate([np.asarray(x.ids, np.uint32) for x in self.encode(texts, add_special_tokens=False)])
+                ends = np.flatnonzero(self.last[ids] if group is plain else ids == self.mark)
+                lengths = np.diff(ends, prepend=-1) - (group is parted)
+                if len(lengths) != len(group):
+                    raise ValueError("the tokenizer doesn't split as its file says")
+                self._append(hashes[group], ids if group is plain else ids[ids != self.mark], lengths)
+        if own:
+            each = [np.asarray(x.ids, np.uint32) for x in self.encode([pieces[i] for i in own], add_special_tokens=False)]
+            self._append(hashes[own], np.concatenate(each), np.array([len(x) for x in each]))
+
+    def _pieces(self, data: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """The bytes (lower-cased where pieces are cut), and starts, stops and each text's first piece."""
+        if not self.cut or not len(data) or any(x in raw for raw in (data.tobytes(),) for x in self.special):
+            return data, *W.find(data, ends)
+        data = W.LOWER[data]
+        kind = _CLASS[data]
+        starts = np.ones(len(data), bool)
+        starts[1:] = _STARTS[kind[:-1], kind[1:]]
+        edges = ends[(ends > 0) & (ends < len(data))]
+        starts[edges] = True
+        starts &= kind > 0
+        begins = np.flatnonzero(starts)
+        stop = starts | (kind == 0)
+        stop[edges] = True
+        stops = np.append(np.flatnonzero(stop), len(data))
+        return data, begins, stops[np.searchsorted(stops, begins, "right")], np.searchsorted(begins, ends, "left")
 
     def _places(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-        """Each word's number among the known ones, and each text's first word."""
+        """Each piece's number among the known ones, and each text's first piece."""
         data, ends = W.utf8(column)
-        starts, stops, firsts = W.find(data, ends)
-        offsets = np.concatenate(([0], np.cumsum(stops - starts)))
-        words = pa.LargeStringArray.from_buffers(len(starts), pa.py_buffer(offsets), pa.py_buffer(data[~W.WHITE[data]]))
-        coded = words.dictionary_encode()
-        distinct = coded.dictionary.to_pylist()
-        if len(self.known) > KNOWN:
+        data, starts, stops, firsts = self._pieces(data, ends)
+        hashes = W.hashes(data, starts, stops)
+        if self.n > KNOWN:
             self._forget()
-        found = [self.known.get(x, -1) for x in distinct]
-        if new := [x for x, n in zip(distinct, found, strict=True) if n < 0]:
-            self._add(new)
-            found = [self.known[x] for x in distinct]
-        return np.array(found, np.int64)[np.asarray(coded.indices)] if len(starts) else np.zeros(0, np.int64), firsts
+        found = self._find(hashes)
+        new = np.flatnonzero(found < 0)
+        if len(new):
+            values, one = np.unique(hashes[new], return_index=True)
+            raw, at = data.tobytes(), new[one]
+            before = self.n
+            self._add(values, [raw[a:b].decode() for a, b in zip(starts[at].tolist(), stops[at].tolist(), strict=True)])
+            order = np.argsort(self.hash[before : self.n])
+            found[new] = before + order[np.searchsorted(self.hash[before : self.n][order], hashes[new])]
+        return found, firsts
 
     def lengths(self, column: pa.Array) -> np.ndarray:
         """Number of ids of each text."""
@@ -103,16 +173,3 @@ class WordIds:
         source = np.repeat(self.begin[at] - stops + lengths, lengths) + np.arange(stops[-1] if len(stops) else 0)
         total = np.concatenate(([0], stops))[firsts]
         return np.insert(self.flat[source], total[1:], end), np.diff(total) + 1
-
-    def counts(self, column: pa.Array, end: int) -> tuple[np.ndarray, np.ndarray]:
-        """(ids, how often each occurs), the end id once a text."""
-        at, firsts = self._places(column)
-        often = np.bincount(at, minlength=len(self.known))
-        some = np.flatnonzero(often)
-        lengths = self.length[some]
-        stops = np.cumsum(lengths)
-        source = np.repeat(self.begin[some] - stops + lengths, lengths) + np.arange(stops[-1] if len(stops) else 0)
-        found = np.bincount(self.flat[source], weights=np.repeat(often[some], lengths), minlength=end + 1)
-        found[end] += len(firsts) - 1
-        present = np.flatnonzero(found)
-        return present, found[present].astype(np.int64)
