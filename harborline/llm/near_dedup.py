@@ -234,16 +234,22 @@ def _confirmed(percent: int):
 
 
 def components(links: DataFrame, name: str = "components") -> DataFrame:
-    """(node, comp) of the nodes in links (a, b): comp is a node of the component. Least labels spread and jump."""
-    both = written(links.select("a", "b").union(links.select(F.col("b").alias("a"), F.col("a").alias("b"))), f"{name}-links")
-    labels = written(both.groupBy(F.col("a").alias("node")).agg(F.least(F.min("a"), F.min("b")).alias("comp")), name)
+    """(node, comp) of the nodes in links (a, b): comp is a node of the component.
+
+    In each round every node takes the least of itself and its neighbours, and links are rewritten between what their ends
+    took, once each and without loops, so that their number falls fast. Ids are hashes: long chains in order don't occur.
+    """
+    edges = written(links.filter("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), f"{name}-links")
+    labels = None
     while True:
-        near = both.join(labels.withColumnRenamed("node", "b"), "b").groupBy(F.col("a").alias("node")).agg(F.min("comp").alias("near"))
-        spread = labels.join(near, "node").select("node", "comp", F.least("comp", "near").alias("next"))
-        jump = labels.select(F.col("node").alias("next"), F.col("comp").alias("far"))
-        new = written(spread.join(jump, "next").select("node", F.least("next", "far").alias("comp"), (F.least("next", "far") < F.col("comp")).alias("changed")), name)
-        labels = new.select("node", "comp")
-        if new.filter("changed").isEmpty():
+        both = edges.union(edges.select("b", "a"))
+        least = written(both.groupBy(F.col("a").alias("node")).agg(F.least(F.min("a"), F.min("b")).alias("comp")), name)
+        taken = least.select(F.col("node").alias("comp"), F.col("comp").alias("next"))
+        labels = least if labels is None else written(labels.join(taken, "comp", "left").select("node", F.coalesce("next", "comp").alias("comp")), name)
+        low, high = least.select(F.col("node").alias("a"), F.col("comp").alias("p")), least.select(F.col("node").alias("b"), F.col("comp").alias("q"))
+        moved = edges.join(low, "a").join(high, "b").filter("p <> q").select(F.least("p", "q").alias("a"), F.greatest("p", "q").alias("b"))
+        edges = written(moved.distinct(), f"{name}-links")
+        if edges.isEmpty():
             return labels
 
 
