@@ -1,10 +1,12 @@
 r"""Secrets in whole texts: fixed patterns, and a token-efficiency test.
 
 The patterns are base spans (assign, access, hex). The test adds spans of kind `random`: runs of letters, digits and
-+ / _ = - that hold a digit, a capital and a small letter, and that a tokenizer's merges hardly shorten: fewer than
-LEAST_RATIO characters a token. Words of any language, numbers and names get more. Known digests (hexadecimal runs of
-a digest's length), UUIDs and identifiers made of words (camel case, snake case, dates, versions) are left out, as are
-runs that a base span touches.
++ / _ = - that a tokenizer's merges hardly shorten: fewer than LEAST_RATIO characters a token. Words of any language,
+numbers and names get more. Every run is measured, of whatever letters and digits. Known digests (hexadecimal parts of a
+digest's length) and UUIDs are cut out of it first. A run that isn't random as a whole is measured by its parts between
+/ _ = - too: neighbouring parts that aren't readable are one stretch, so a key is found behind a path or name. Identifiers
+made of words (camel case, snake case, dates, versions) are left out if their letters alone are readable, as are runs
+that a base span touches.
 
 A null or empty text has no spans. Rows stand for themselves: repeated rows get equal results. Texts are whole; places
 are in code points, ends exclusive.
@@ -31,9 +33,11 @@ LEAST_VALUE, LEAST_ACCESS, LEAST_RUN = 6, 20, 20
 LEAST_RATIO, PIECE = 2.0, 4096
 
 _RUN = re.compile(rf"(?<![A-Za-z0-9+/_=-])(?=[A-Za-z0-9+/_=-]{{{LEAST_RUN}}})[A-Za-z0-9+/_=-]+")
-_DIGEST = re.compile(r"(?:[0-9a-fA-F]{32}|[0-9a-fA-F]{40}|[0-9a-fA-F]{56}|[0-9a-fA-F]{64}|[0-9a-fA-F]{96}|[0-9a-fA-F]{128})\Z")
-_UUID = re.compile(r"[0-9a-fA-F]{8}(?:-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}\Z")
-_IDENTIFIER = re.compile(r"(?:[A-Z]?[a-z]{3,}|[A-Z]{2,}|[0-9]{1,4}|[_/=+-])+\Z")
+_KNOWN = re.compile(r"(?<![A-Za-z0-9+])(?:[0-9a-fA-F]{8}(?:-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}|[0-9a-fA-F]{32}|[0-9a-fA-F]{40}|[0-9a-fA-F]{56}|[0-9a-fA-F]{64}|[0-9a-fA-F]{96}|[0-9a-fA-F]{128})(?![A-Za-z0-9+])")
+#: Possessive, so that a run can be read in one way only.
+_IDENTIFIER = re.compile(r"(?:[A-Z]*+[a-z]{3,}+|[A-Z]{2,}+|[0-9]++|[_/=+-]++)++\Z")
+_WORD = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
+_PART = re.compile(r"[^/_=-]+")
 
 
 class _Efficiency:
@@ -53,13 +57,34 @@ class _Efficiency:
             ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
         self.tokens = tiktoken.Encoding("ranks", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
 
-    def random(self, run: str) -> bool:
-        if not (any(c.isdigit() for c in run) and any(c.isupper() for c in run) and any(c.islower() for c in run)):
-            return False
-        if _DIGEST.match(run) or _UUID.match(run) or _IDENTIFIER.match(run):
-            return False
-        n = sum(len(self.tokens(run[i : i + PIECE])) for i in range(0, len(run), PIECE))
-        return len(run) < LEAST_RATIO * n
+    def readable(self, run: str) -> bool:
+        return self._long([run]) or bool(_IDENTIFIER.match(run)) and self._long(_WORD.findall(run))
+
+    def _long(self, pieces: list[str]) -> bool:
+        n = sum(len(self.tokens(x[i : i + PIECE])) for x in pieces for i in range(0, len(x), PIECE))
+        return sum(map(len, pieces)) >= LEAST_RATIO * n
+
+    def stretches(self, run: str) -> Iterator[tuple[int, int]]:
+        """Places of what is random in a run."""
+        at = 0
+        for known in [*_KNOWN.finditer(run), None]:
+            stop = known.start() if known else len(run)
+            if stop - at >= LEAST_RUN:
+                yield from self._random(run, at, stop)
+            at = known.end() if known else stop
+
+    def _random(self, run: str, at: int, stop: int) -> Iterator[tuple[int, int]]:
+        if not self.readable(run[at:stop]):
+            yield at, stop
+            return
+        start = end = None
+        for part in [*_PART.finditer(run, at, stop), None]:
+            if part and not self.readable(part[0]):
+                start, end = part.start() if start is None else start, part.end()
+            elif start is not None:
+                if end - start >= LEAST_RUN and not self.readable(run[start:end]):
+                    yield start, end
+                start = None
 
 
 def default_path() -> str:
@@ -83,8 +108,8 @@ def base_spans(text: str) -> list[tuple[int, int, str, int]]:
 def random_spans(text: str, base: list[tuple[int, int, str, int]], efficiency: _Efficiency) -> list[tuple[int, int, str, int]]:
     out = []
     for m in _RUN.finditer(text):
-        if not any(s < m.end() and e > m.start() for s, _, _, e in base) and efficiency.random(m[0]):
-            out.append((m.start(), len(KINDS), "random", m.end()))
+        if not any(s < m.end() and e > m.start() for s, _, _, e in base):
+            out += [(m.start() + a, len(KINDS), "random", m.start() + b) for a, b in efficiency.stretches(m[0])]
     return out
 
 

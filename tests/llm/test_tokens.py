@@ -1,4 +1,5 @@
 import itertools
+import time
 import zlib
 from collections import Counter
 
@@ -116,3 +117,22 @@ def test_secrets(spark, docs, rows, none):
     assert (found[1]["n_assign"], found[1]["n_access"], found[1]["n_hex"]) == (2, 1, 1)
     assert found[2]["spans"] == found[3]["spans"] == ""
     assert secrets.find_secrets(docs).count() == len(rows) and secrets.find_secrets(none).count() == 0
+
+
+def test_random_runs_of_one_case_and_glued_keys():
+    efficiency = secrets._Efficiency.of(secrets.default_path())
+    spans = lambda text: [text[s:e] for s, _, _, e in secrets.random_spans(text, secrets.base_spans(text), efficiency)]
+    keys = ["JBSWY3DPEHPK3PXPKRZGS43U", "q7x9k2vz8w4m1tj6b3ndp5rc", "xkqzjwvbnmtrplkjhgfdqzwx", "XKQZJWVBNMTRPLKJHGFDQZWX", "xKqZjWvBnMtRpLkJhGfDqZwX"]
+    for key in keys:
+        assert spans(f"see {key} here") == [key]
+        assert [key in x for x in spans(f"documentation/reference/configuration/{key}")] == [True]
+        assert [key in x for x in spans(f"production_environment_authentication_identifier={key}-documentation")] == [True]
+    for plain in ("CamelCaseIdentifierName2024", "2024-01-02-03-04-05-06", "docs/reference/stationary_cluster_summary", "DEADBEEF" * 4, "id=550E8400-E29B-41D4-A716-446655440000", "1" * 60 + "aB"):
+        assert spans(plain) == []
+
+
+def test_identifiers_are_read_in_one_way():
+    for run in ("1" * 5000 + "aB", "A" * 5000 + "ab", "abc" * 2000 + "A1b"):
+        began = time.process_time()
+        assert not secrets._IDENTIFIER.match(run)
+        assert time.process_time() - began < 1
