@@ -148,6 +148,20 @@ def test_quotes_are_linked_and_removed(spark):
     assert [(r["thread"], r["conv_id"], r["turn"]) for r in found][1:] == sorted((r["thread"], r["conv_id"], r["turn"]) for r in found if r["conv_id"] is not None)
 
 
+def test_quotes_go_to_the_message_that_was_quoted(spark):
+    one, two, three = "The ship is late again today.", "Please call the harbour office.", "The crane at berth two is broken."
+    rows = [
+        (1, 0, f"{one} {two}"), (1, 2, f"{one} {two} {three}"), (1, 3, f"> {one}\n> {two}\n> {three}\nI see."), (1, 4, f">> {one} {two}\nOnly nested."),
+        (1, 5, "Yes."), (1, 6, "> Yes.\nGood."), (1, 200, "Yes."), (1, 9000, "> yes\nLate."), (2, 0, "> Yes.\nElsewhere."),
+        (3, 0, "Good morning to all of you."), (4, 0, "Good morning to all of you. Rare words were spoken here."), (5, 0, "Good morning to all of you."),
+        (6, 0, "> Good morning to all of you. Rare words were spoken here.\n> And more.\nFine.")]
+    df = spark.createDataFrame([(c, t, "user", x) for c, t, x in rows], "conv_id long, turn long, role string, text string")
+    parent = {(r["conv_id"], r["turn"]): (r["parent_conv"], r["parent_turn"]) for r in quotes.reply_ordered(df).collect()}
+    assert parent[(1, 3)] == (1, 2) and parent[(1, 4)] == (1, 0)
+    assert parent[(1, 6)] == (1, 5) and parent[(1, 9000)] == (1, 200) and parent[(2, 0)] == (None, None)
+    assert parent[(6, 0)] == (4, 0)
+
+
 def test_no_rows(none, spark):
     assert quality.digest(quality.ledger(none)).count() == 0
     assert mixing.digest(mixing.schedule(none.select("doc_id", "text", "source"))).count() == 0
