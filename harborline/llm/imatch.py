@@ -5,10 +5,12 @@ inverse document frequency: 1 / 200 to 1 / 20 of all documents. As a document ha
 200 * d terms can be in the band, whatever the corpus; the lexicon is sent to the tasks as a bitmap of fixed size over
 term hashes (2**19 bits), so a few per cent of other terms are kept too, the same ones in every text.
 
-A text keeps its distinct terms in the lexicon (all its terms, where these are fewer than 8). At level l the terms fall
-by their hash into 2**l random subsets; the sorted terms of each of the first 32 subsets that isn't empty are hashed. A
-text has the level where a subset holds about one term, and the next. Likeness of two fingerprints is the Dice share of
-equal hashes, on the best level that they share: a changed term spoils one subset, not the others.
+A text keeps its distinct terms in the lexicon. At each level l of a fixed ladder, the same for all texts, they fall by
+their hash into 2**l random subsets, from the whole lexicon (level 0, the classic I-Match) to about single terms; the
+sorted terms of every subset are hashed, and these hashes are folded into 32 bins, of which each keeps its least. Level -1
+does the same with single terms, in the lexicon or not, so texts with few terms in it, or none, are compared too. Likeness
+of two fingerprints is the Dice share of equal hashes, on the best level: a changed term spoils one subset, not the others.
+A text's size decides nothing, so a copy that loses or gains a term loses no more than that term's share.
 
 Equal texts have equal fingerprints. A text without terms (null counts as empty) has one hash, of the text itself.
 Rows with equal doc_id are ordered by text. Extra columns are ignored.
@@ -21,7 +23,8 @@ from pyspark.sql import functions as F
 from harborline.llm import native, ordering
 
 BAND = (1 / 200, 1 / 20)
-LEXICON_BITS, LEAST_TERMS, SUBSETS = 19, 8, 32
+LEXICON_BITS, SUBSETS = 19, 32
+LADDER = (0, 4, 8, 12)
 _TERM = "[^\\p{L}\\p{N}]+"
 
 
@@ -48,34 +51,37 @@ def kept_terms(every: str, bitmap: Column) -> Column:
     return F.filter(F.col(every), lambda x: F.getbit(F.get(bitmap, cell(x)), x.bitwiseAND(F.lit(63).cast("long")).cast("int")) == 1)
 
 
+def _folded(keys: str) -> str:
+    """The least of each bin, of sorted keys with the bin above 32 bits."""
+    return f"filter({keys}, (k, j) -> j = 0 or shiftright(k, 32) <> shiftright(get({keys}, j - 1), 32))"
+
+
 def with_fingerprint(df: DataFrame, text: str, out: str, bitmap: Column) -> DataFrame:
-    """df with `out`: array of two struct<level int, hashes array<bigint>>."""
+    """df with `out`: array of struct<level int, hashes array<bigint>>, of level -1 and those of LADDER that have terms."""
     df = df.withColumn("__all", terms(F.col(text))).withColumn("__in", kept_terms("__all", bitmap))
-    df = df.withColumn("__t", F.when(F.size("__in") >= LEAST_TERMS, F.col("__in")).otherwise(F.col("__all")))
-    df = df.withColumn("__l", F.expr("cast(floor(log2(greatest(size(__t), 1)) + 0.5) as int)"))
-    for i in (0, 1):
-        # 32 subsets of 2**level: 6 bits for the subset above 58 of the term's hash, sorted, so that a subset is a run
-        df = df.withColumn(f"__k{i}", F.expr(
-            f"sort_array(transform(filter(__t, h -> (shiftrightunsigned(h, 20) & (shiftleft(1L, __l + {i}) - 1)) < {SUBSETS}),"
-            f" h -> shiftleft(shiftrightunsigned(h, 20) & (shiftleft(1L, __l + {i}) - 1), 58) | (shiftrightunsigned(xxhash64(h), 6))))"))
+    df = df.withColumn("__b-1", F.expr(f"sort_array(transform(__all, h -> ((shiftrightunsigned(h, 20) & {SUBSETS - 1}) << 32) | (xxhash64(h) & 4294967295L)))"))
+    for i in LADDER:
+        # the subset's number above 52 bits of the term's hash, sorted, so that a subset is a run
+        df = df.withColumn(f"__k{i}", F.expr(f"sort_array(transform(__in, h -> shiftleft(shiftrightunsigned(h, 20) & {(1 << i) - 1}L, 52) | shiftrightunsigned(xxhash64(h), 12)))"))
         df = df.withColumn(f"__s{i}", F.expr(
-            f"filter(transform(__k{i}, (k, j) -> if(j = 0 or shiftrightunsigned(k, 58) <> shiftrightunsigned(get(__k{i}, j - 1), 58), j, -1)), j -> j >= 0)"))
-        df = df.withColumn(f"__h{i}", F.expr(
-            f"transform(__s{i}, (a, j) -> xxhash64(slice(__k{i}, a + 1, coalesce(get(__s{i}, j + 1), size(__k{i})) - a)) & 4294967295L)"))
+            f"filter(transform(__k{i}, (k, j) -> if(j = 0 or shiftrightunsigned(k, 52) <> shiftrightunsigned(get(__k{i}, j - 1), 52), j, -1)), j -> j >= 0)"))
+        df = df.withColumn(f"__b{i}", F.expr(
+            f"sort_array(transform(__s{i}, (a, j) -> ((shiftrightunsigned(get(__k{i}, a), 52) & {SUBSETS - 1}) << 32)"
+            f" | (xxhash64(slice(__k{i}, a + 1, coalesce(get(__s{i}, j + 1), size(__k{i})) - a)) & 4294967295L)))"))
     none = F.array(F.struct(F.lit(-1).alias("level"), F.array(F.xxhash64(text)).alias("hashes")))
-    levels = F.array(*[F.struct((F.col("__l") + i).alias("level"), F.col(f"__h{i}").alias("hashes")) for i in (0, 1)])
-    return df.withColumn(out, F.when(F.size("__t") == 0, none).otherwise(levels)).drop(
-        "__all", "__in", "__t", "__l", *(f"__{x}{i}" for x in "ksh" for i in (0, 1)))
+    levels = F.array(*[F.struct(F.lit(i).alias("level"), F.expr(_folded(f"`__b{i}`")).alias("hashes")) for i in (-1, *LADDER)])
+    return df.withColumn(out, F.when(F.size("__all") == 0, none).otherwise(F.filter(levels, lambda x: F.size(x["hashes"]) > 0))).drop(
+        "__all", "__in", "__b-1", *(f"__{x}{i}" for x in "ksb" for i in LADDER))
 
 
 def likeness(a: str, b: str) -> Column:
     """Dice share of equal subset hashes on the best shared level, 0 to 1."""
     same = "size(array_intersect(x.hashes, y.hashes)) * 2D / greatest(size(x.hashes) + size(y.hashes), 1)"
-    return F.expr(f"coalesce(array_max(flatten(transform({a}, x -> transform({b}, y -> if(x.level = y.level, {same}, 0D))))), 0D)")
+    return F.expr(f"coalesce(array_max(flatten(transform({a}, x -> transform(filter({b}, y -> y.level = x.level), y -> {same})))), 0D)")
 
 
 def text_of(fingerprint: str) -> Column:
-    """level:hash,hash;level:hash,hash"""
+    """level:hash,hash;level:hash,hash;..."""
     return F.expr(f"array_join(transform({fingerprint}, x -> concat(x.level, ':', array_join(transform(x.hashes, h -> lower(hex(h))), ','))), ';')")
 
 

@@ -83,6 +83,17 @@ def test_fingerprints(docs, rows):
     assert all(len(x) == 1 for x in printed.values())
 
 
+def test_likeness_has_no_borders(spark):
+    """Copies that lose a quarter of their terms stay alike, at any number of terms in the lexicon."""
+    known, other = [f"known{i}" for i in range(800)], [f"other{i}" for i in range(60)]
+    bitmap = imatch.lexicon(spark.createDataFrame([(" ".join(known),)], "text string"), "text", (0, 1))
+    pairs = [(n, m, " ".join(known[:n] + other[:m]), " ".join(known[: n - n // 4] + other[: m - m // 4])) for n in (0, 1, 7, 8, 9, 12, 60, 800) for m in (0, 60) if n + m]
+    df = spark.createDataFrame(pairs, "n long, m long, a string, b string")
+    df = imatch.with_fingerprint(imatch.with_fingerprint(df, "a", "fa", bitmap), "b", "fb", bitmap)
+    for r in df.select("n", "m", imatch.likeness("fa", "fb").alias("like")).collect():
+        assert r["like"] > 0.5, r
+
+
 def test_neighbours_over_bucket_bounds(spark):
     ids = [None, *range(-3, 500), 10**6, 10**6 + 1]
     df = spark.createDataFrame([(i,) for i in ids], "doc_id long")
