@@ -5,8 +5,9 @@ doc_id and tokenized once, into a table of plain ids that is counted, then encod
 interleaved states of 64 bits, which share one stream of 32-bit words. Every STRIDE steps a checkpoint keeps the states,
 the place in the stream and the CRC-32 of the ids that follow, so the parts of a block can be decoded in parallel too.
 
-Files: a Parquet table of blocks (part, block, first: ids before it in its part, doc_ids, lengths, payload) in the shared
-folder; part numbers rise with doc_id. Payload, little-endian: b"RANS", lanes u32, ids u64, words u64, checkpoints u32;
+Files, in one folder, from which all can be decoded in any session: the Parquet tables frequencies (id, freq), settings
+(one row: scale, stride, end_id, doc_id_type) and, written last, blocks (part, block, first: ids before it in its part,
+doc_ids, lengths, payload); part numbers rise with doc_id. Payload, little-endian: b"RANS", lanes u32, ids u64, words u64, checkpoints u32;
 for each checkpoint its place u64, CRC u32, states u64 * lanes; then the words u32.
 
 A null or empty text has the end id alone. Rows with equal doc_id are separate documents, ordered by a hash of the text.
@@ -14,30 +15,32 @@ No rows give no blocks. A document of any length is one block at least; blocks n
 """
 
 import struct
+import uuid
 import zlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from harborline.llm import native
 from harborline.llm import words as W
-from harborline.llm.store import written
+from harborline.llm.store import shared_dir, written
 from harborline.llm.tokens import WordIds, default_path
 
 SCALE, LANES, BLOCK, STRIDE = 20, 512, 1 << 18, 256
 LOW = np.uint64(1 << 31)
-_SLOT, _WORD = np.uint64((1 << SCALE) - 1), np.uint64(32)
+_WORD = np.uint64(32)
 PART_BYTES = 24 << 20
 
 
 class Table:
-    """Which id owns which of the 2**SCALE slots."""
+    """Which id owns which of the 2**scale slots."""
 
-    def __init__(self, ids: np.ndarray, freq: np.ndarray) -> None:
+    def __init__(self, ids: np.ndarray, freq: np.ndarray, scale: int = SCALE) -> None:
+        self.scale = scale
         self.ids, self.freq = ids.astype(np.uint32), freq.astype(np.uint64)
         self.start = np.concatenate((np.zeros(1, np.uint64), np.cumsum(self.freq)[:-1])) if len(ids) else self.freq
 
@@ -95,6 +98,7 @@ def decode(payload: bytes, table: Table, owners: np.ndarray, stride: int = STRID
     if magic != b"RANS":
         raise ValueError("not a block")
     size = 12 + 8 * lanes
+    scale, last = np.uint64(table.scale), np.uint64((1 << table.scale) - 1)
     stream = np.frombuffer(payload, "<u4", words, 28 + count * size).astype(np.uint64)
     out = []
     for k in parts if parts is not None else range(count):
@@ -104,9 +108,9 @@ def decode(payload: bytes, table: Table, owners: np.ndarray, stride: int = STRID
         found = np.empty(stop - a, np.int32)
         for i in range(a, stop, lanes):
             y = x[: min(lanes, stop - i)]
-            slot = y & _SLOT
+            slot = y & last
             symbol = owners[slot]
-            y = table.freq[symbol] * (y >> np.uint64(SCALE)) + slot - table.start[symbol]
+            y = table.freq[symbol] * (y >> scale) + slot - table.start[symbol]
             need = np.flatnonzero(y < LOW)
             y[need] = (y[need] << _WORD) | stream[at : at + len(need)]
             at += len(need)
@@ -176,14 +180,14 @@ def _encode(table):
     return run
 
 
-def _decode(key: str, table, schema: pa.Schema):
+def _decode(key: str, table, stride: int, schema: pa.Schema):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shared = Table(*table.value)
         owners = shared.owners()
         for batch in batches:
             for i in range(batch.num_rows):
                 row = batch.slice(i, 1)
-                ids = decode(row.column("payload")[0].as_py(), shared, owners)
+                ids = decode(row.column("payload")[0].as_py(), shared, owners, stride)
                 lengths = np.asarray(row.column("lengths")[0].values, np.int64)
                 ends = np.cumsum(lengths)
                 raw = ids.astype("<u4").tobytes()
@@ -198,21 +202,33 @@ def _decode(key: str, table, schema: pa.Schema):
     return run
 
 
-def write_ids(docs: DataFrame, *, key: str = "doc_id", text: str = "text", path: str | None = None, end: int = 2) -> tuple[DataFrame, Table]:
-    """The table of blocks, as written, and the frequency table (its size is bounded by the vocabulary)."""
-    path = path or default_path()
+def write_ids(docs: DataFrame, *, key: str = "doc_id", text: str = "text", path: str | None = None, end: int = 2, to: str | None = None) -> tuple[SparkSession, str]:
+    """The session and the new folder `to` (by default in the shared folder) that holds all that read_ids needs."""
+    path, spark = path or default_path(), docs.sparkSession
+    to = to or f"{shared_dir(spark).rstrip('/')}/harborline/rans-{uuid.uuid4().hex}"
     docs = docs.select(F.col(key), native.whole(text).alias("text"))
     size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0  # one number: how many ranges
     parts = max(12, size // PART_BYTES + 1)
     order = docs.repartitionByRange(int(parts), F.col(key).asc_nulls_first()).sortWithinPartitions(F.col(key).asc_nulls_first(), F.xxhash64("text"))
     kind = docs.schema[key].dataType.simpleString()
     schema = pa.schema([("part", pa.int32()), ("block", pa.int32()), ("first", pa.int64()), ("doc_ids", pa.list_(_arrow(kind))), ("lengths", pa.list_(pa.int64())), ("payload", pa.binary())])
-    columns = f"part int, block int, first bigint, doc_ids array<{kind}>, lengths array<bigint>, payload binary"
+    columns = _columns(kind)
     plain = written(order.mapInArrow(_tokenize(path, key, "text", end, schema), columns), "plain-ids", compression="zstd")
     counted = plain.select("payload").mapInArrow(_count, "id bigint, n bigint").groupBy("id").agg(F.sum("n").alias("n")).orderBy("id").toPandas()
     table = Table.counted(counted["id"].to_numpy(np.int64), counted["n"].to_numpy(np.int64))
-    shared = docs.sparkSession.sparkContext.broadcast((table.ids, table.freq))
-    return written(plain.mapInArrow(_encode(shared), columns), "rans-blocks", compression="none"), table
+    rows = spark.createDataFrame(pa.table({"id": pa.array(table.ids, pa.int64()), "freq": pa.array(table.freq, pa.int64())}), "id bigint, freq bigint")
+    rows.write.parquet(f"{to}/frequencies")  # its size is bounded by the vocabulary
+    spark.createDataFrame([(SCALE, STRIDE, end, kind)], _SETTINGS).write.parquet(f"{to}/settings")
+    shared = spark.sparkContext.broadcast((table.ids, table.freq))
+    plain.mapInArrow(_encode(shared), columns).write.options(compression="none").parquet(f"{to}/blocks")
+    return spark, to
+
+
+_SETTINGS = "scale int, stride int, end_id int, doc_id_type string"
+
+
+def _columns(kind: str) -> str:
+    return f"part int, block int, first bigint, doc_ids array<{kind}>, lengths array<bigint>, payload binary"
 
 
 def _arrow(kind: str) -> pa.DataType:
@@ -222,14 +238,16 @@ def _arrow(kind: str) -> pa.DataType:
     return to_arrow_type(_parse_datatype_string(kind))
 
 
-def read_ids(blocks: DataFrame, table: Table, *, key: str = "doc_id") -> DataFrame:
-    """(key, start, n_tokens, ids_crc32) of each document, from the decoded blocks."""
-    kind = blocks.schema["doc_ids"].dataType.elementType.simpleString()
-    shared = blocks.sparkSession.sparkContext.broadcast((table.ids, table.freq))
+def read_ids(spark: SparkSession, path: str, *, key: str = "doc_id") -> DataFrame:
+    """(key, start, n_tokens, ids_crc32) of each document, from the blocks in a folder of write_ids."""
+    scale, stride, _, kind = spark.read.schema(_SETTINGS).parquet(f"{path}/settings").first()
+    rows = spark.read.schema("id bigint, freq bigint").parquet(f"{path}/frequencies").orderBy("id").toPandas()
+    shared = spark.sparkContext.broadcast((rows["id"].to_numpy(np.int64), rows["freq"].to_numpy(np.int64), scale))
+    blocks = spark.read.schema(_columns(kind)).parquet(f"{path}/blocks")
     schema = pa.schema([("part", pa.int32()), (key, _arrow(kind)), ("start", pa.int64()), ("n_tokens", pa.int64()), ("ids_crc32", pa.int64())])
     ends = F.col("first") + F.aggregate("lengths", F.lit(0).cast("long"), lambda a, b: a + b)
     totals = blocks.select("part", ends.alias("end")).groupBy("part").agg(F.max("end").alias("ids"))
     before = F.sum("ids").over(Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1))  # a row for each part
     starts = totals.select("part", F.coalesce(before, F.lit(0)).alias("before"))
-    found = blocks.select("part", "first", "doc_ids", "lengths", "payload").mapInArrow(_decode(key, shared, schema), f"part int, `{key}` {kind}, start bigint, n_tokens bigint, ids_crc32 bigint")
+    found = blocks.select("part", "first", "doc_ids", "lengths", "payload").mapInArrow(_decode(key, shared, stride, schema), f"part int, `{key}` {kind}, start bigint, n_tokens bigint, ids_crc32 bigint")
     return found.join(F.broadcast(starts), "part").select(key, (F.col("before") + F.col("start")).alias("start"), "n_tokens", "ids_crc32")

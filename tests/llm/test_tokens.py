@@ -75,6 +75,13 @@ def test_files_give_back_all_ids(docs, rows, none, tokenizer):
     assert rans.read_ids(*rans.write_ids(none)).count() == 0
 
 
+def test_a_folder_can_be_decoded_by_a_new_session(spark, docs, tmp_path):
+    rans.write_ids(docs, to=str(tmp_path / "ids"))
+    found = rans.read_ids(spark.newSession(), str(tmp_path / "ids"))
+    assert found.count() == docs.count()
+    assert sorted(found.select("start", "ids_crc32").collect()) == sorted(rans.read_ids(*rans.write_ids(docs)).select("start", "ids_crc32").collect())
+
+
 def test_bounds_are_optimal():
     rng = np.random.default_rng(1)
     for _ in range(60):
