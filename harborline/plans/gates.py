@@ -8,8 +8,11 @@ from harborline.operators import checks
 KEYS = {
     "call_operations": ["validated_call_id"], "operational_calls": ["validated_call_id"], "call_delay_metrics": ["validated_call_id"], "call_analytics": ["validated_call_id"],
     "berth_duration_baseline": ["berth_zone_code"], "berth_performance": ["berth_zone_code"], "terminal_daily_metrics": ["metric_date"], "historical_duration_baseline_daily": ["metric_date", "berth_zone_code"],
-    "risk_features_daily": ["metric_date"], "risk_score_daily": ["metric_date"], "risk_explanations_daily": ["metric_date"], "position_primary_zone": ["mmsi", "recorded_at"], "zone_episodes": ["mmsi", "episode_number"]}
+    "risk_features_daily": ["metric_date"], "risk_score_daily": ["metric_date"], "risk_explanations_daily": ["metric_date"], "position_primary_zone": ["mmsi", "recorded_at"], "zone_episodes": ["mmsi", "episode_number"],
+    "position_zone_state": ["mmsi", "recorded_at"], "call_zone_timeline": ["validated_call_id", "episode_number"], "berth_stay_candidates": ["validated_call_id", "zone_code", "stay_no"]}
 VALUES = {
+    ("call_zone_timeline", "movement_phase"): ["inbound", "berth", "berth_transition", "outbound"],
+    ("operational_calls", "berth_detection_confidence"): ["high", "medium", "low"], ("operational_calls", "berth_continuity"): ["continuous", "minor_gaps", "moderate_gap", "review"],
     ("call_operations", "movement_coverage"): ["full", "inbound_only", "outbound_only", "berth_only"], ("call_operations", "berth_detection_confidence"): ["high", "medium", "low"],
     ("call_operations", "berth_continuity"): ["continuous", "minor_gaps", "moderate_gap", "review"], ("call_delay_metrics", "delay_band"): ["normal", "elevated", "high", "severe", "unscored"],
     ("call_delay_metrics", "delay_quality"): ["usable", "usable_with_gap", "lower_confidence", "review", "censored"], ("risk_score_daily", "risk_level"): ["low", "moderate", "elevated", "high", "critical"],
@@ -21,21 +24,29 @@ NOT_NULL = {
     "terminal_daily_metrics": ["arrivals", "departures", "occupied_berth_minutes", "max_occupied_berths", "terminal_utilisation_pct"], "historical_duration_baseline_daily": ["baseline_scope"],
     "risk_features_daily": ["capacity_pressure", "berth_saturation", "active_calls", "vessel_balance_3d"], "risk_score_daily": ["risk_score", "risk_level", "data_coverage_score", "score_confidence"],
     "risk_explanations_daily": ["risk_trend", "risk_headline", "risk_explanation"]}
+_POINTS = {"capacity": 20, "saturation": 10, "active_delay": 20, "active_severe": 15, "delay_intensity": 10, "utilisation_3d": 15, "backlog": 10}
 RULES = {
+    "berth_stay_candidates": {"stay_is_valid": "end_time >= start_time and duration_minutes >= 0 and point_count > 0 and stationary_fraction between 0 and 1"},
+    "call_zone_timeline": {"episode_is_valid": "end_time >= start_time and duration_minutes >= 0 and point_count > 0"},
+    "zone_episodes": {"episode_is_valid": "end_time >= start_time and duration_minutes >= 0 and point_count > 0"},
+    "operational_calls": {"call_is_valid": "berth_departure_time >= berth_arrival_time and berth_duration_minutes >= 0 and bridged_minutes >= 0 and berth_point_count > 0 and fragment_count > 0 and stationary_fraction between 0 and 1"},
+    "call_analytics": {
+        "call_is_valid": "berth_departure_time >= berth_arrival_time and berth_duration_minutes >= 0 and estimated_delay_minutes >= 0 and estimated_delay_hours >= 0",
+        "arrival_day_in_range": "arrival_day_terminal_arrivals >= 0 and arrival_day_terminal_departures >= 0 and arrival_day_max_occupied_berths between 0 and 3 and arrival_day_terminal_utilisation_pct between 0 and 100.000001 and arrival_day_mean_occupied_berths between 0 and 3.000001"},
     "call_operations": {"departure_after_arrival": "berth_departure_time >= berth_arrival_time", "transits_not_negative": "coalesce(inbound_transit_minutes, 0) >= 0 and coalesce(outbound_transit_minutes, 0) >= 0"},
     "call_delay_metrics": {"delay_is_positive_part": "estimated_delay_minutes = greatest(duration_variance_minutes, 0)", "unscored_by_quality": "(delay_band = 'unscored') = (delay_quality in ('censored', 'review', 'lower_confidence'))"},
     "berth_duration_baseline": {"percentiles_rise": "p25_minutes <= p50_minutes and p50_minutes <= p75_minutes and p75_minutes <= p90_minutes and p90_minutes <= p95_minutes"},
     "berth_performance": {"share_in_range": "utilisation_pct between 0 and 100.000001", "scored_at_most_all": "scored_calls <= total_calls"},
-    "occupancy_intervals": {"interval_is_positive": "interval_end > interval_start", "berths_at_most_calls": "occupied_berths <= active_calls"},
-    "terminal_daily_metrics": {"share_in_range": "terminal_utilisation_pct between 0 and 100.000001", "counts_not_negative": "arrivals >= 0 and departures >= 0 and severe_delay_arrivals >= 0"},
+    "occupancy_intervals": {"interval_is_positive": "interval_end > interval_start", "berths_at_most_calls": "occupied_berths <= active_calls", "berths_in_range": "occupied_berths between 0 and 3 and active_calls >= 0"},
+    "terminal_daily_metrics": {"share_in_range": "terminal_utilisation_pct between 0 and 100.000001", "counts_not_negative": "arrivals >= 0 and departures >= 0 and severe_delay_arrivals >= 0", "berths_in_range": "occupied_berth_minutes >= 0 and max_occupied_berths between 0 and 3 and mean_occupied_berths between 0 and 3.000001"},
     "historical_duration_baseline_daily": {"enough_history": "baseline_scope = 'insufficient_history' or (expected_minutes is not null and greatest(berth_history_calls, terminal_history_calls) >= 5)", "none_without_history": "baseline_scope <> 'insufficient_history' or expected_minutes is null"},
     "risk_features_daily": {"scored_and_unscored_are_all": "active_scored_calls + active_unscored_calls = active_calls", "severe_at_most_delayed": "active_severe_calls <= active_delayed_calls", "signals_in_range": "capacity_pressure between 0 and 1 and berth_saturation between 0 and 1"},
-    "risk_score_daily": {"score_in_range": "risk_score between 0 and 100", "coverage_in_range": "data_coverage_score between 0 and 1", "points_add_up": "abs(risk_score - (capacity_points + saturation_points + active_delay_points + active_severe_points + delay_intensity_points + utilisation_3d_points + backlog_points)) <= 0.4"},
+    "risk_score_daily": {"score_in_range": "risk_score between 0 and 100", "coverage_in_range": "data_coverage_score between 0 and 1", "points_in_range": " and ".join(f"{n}_points between 0 and {most}" for n, most in _POINTS.items()), "points_add_up": "abs(risk_score - (capacity_points + saturation_points + active_delay_points + active_severe_points + delay_intensity_points + utilisation_3d_points + backlog_points)) <= 0.4"},
     "risk_explanations_daily": {"drivers_in_order": "coalesce(primary_driver_points, 0) >= coalesce(secondary_driver_points, 0) and coalesce(secondary_driver_points, 0) >= coalesce(tertiary_driver_points, 0)"}}
 
 
 def violations(models: dict[str, DataFrame]) -> DataFrame:
-    """model, check_name, violation_key of everything that is wrong in the models given; no rows if all holds."""
+    """model, check_name, violation_key of everything that is wrong in the models given; no rows if all holds. Give confirmed_calls too, to see calls that the models lose."""
     out = []
     for name, df in models.items():
         found = []
@@ -49,6 +60,8 @@ def violations(models: dict[str, DataFrame]) -> DataFrame:
         out += [x.withColumn("model", F.lit(name)) for x in found]
     if {"call_operations", "operational_calls"} <= models.keys():
         out.append(checks.covers(models["call_operations"], models["operational_calls"], ["validated_call_id"], "operations_cover_calls").withColumn("model", F.lit("call_operations")))
+    if {"operational_calls", "confirmed_calls"} <= models.keys():
+        out.append(checks.covers(models["operational_calls"], models["confirmed_calls"], ["validated_call_id"], "calls_cover_confirmed").withColumn("model", F.lit("operational_calls")))
     return checks.report(out).select("model", "check_name", "violation_key")
 
 

@@ -206,6 +206,21 @@ def test_files(spark, tmp_path):
         files.sql_file(spark, "  ")
 
 
+def test_gates_see_lost_calls_and_bounds(spark):
+    seen = spark.createDataFrame([(123456789, _at(0), 29.73, -93.87, 0.2), (123456789, _at(10), 29.73, -93.87, 0.1)], "mmsi long, recorded_at timestamp, latitude double, longitude double, speed_knots double")
+    ring = [[{"x": x, "y": y} for x, y in ((-93.88, 29.72), (-93.86, 29.72), (-93.86, 29.74), (-93.88, 29.74))]]
+    zones = spark.createDataFrame([(1, 1, "B1", "berth", 1, dt.date(2020, 1, 1), None, ring)], f"zone_id int, terminal_id int, zone_code string, zone_type string, zone_priority int, valid_from date, valid_to date, polygon {spatial.POLYGON}")
+    confirmed = spark.createDataFrame([(1, 123456789, 9876543, "A", 1, _at(0), _at(120))], "validated_call_id long, mmsi long, imo long, vessel_name string, terminal_id int, arrival_time timestamp, departure_time timestamp")
+    models = terminal.build(seen, zones, confirmed, keep=lambda name, df: clusters.cut(df)) | {"confirmed_calls": confirmed}
+    # one call is no baseline, so it has no expected duration
+    assert [tuple(r) for r in gates.violations(models).collect()] == [("call_delay_metrics", "not_null_expected_duration_minutes", "1")]
+    some = {
+        "operational_calls": models["operational_calls"].filter("false"), "confirmed_calls": confirmed, "berth_stay_candidates": models["berth_stay_candidates"].union(models["berth_stay_candidates"]),
+        "risk_score_daily": models["risk_score_daily"].withColumn("backlog_points", F.lit(11.0)), "terminal_daily_metrics": models["terminal_daily_metrics"].withColumn("max_occupied_berths", F.lit(4))}
+    found = {(r["model"], r["check_name"]) for r in gates.violations(some).collect()}
+    assert {("operational_calls", "calls_cover_confirmed"), ("berth_stay_candidates", "unique_validated_call_id_zone_code_stay_no"), ("risk_score_daily", "points_in_range"), ("terminal_daily_metrics", "berths_in_range")} <= found
+
+
 def test_checks_tell_violations(spark):
     df = spark.createDataFrame([(1, "a"), (1, None), (2, "x")], "k int, v string")
     found = checks.report([checks.unique(df, ["k"]), checks.not_null(df, "v", "k"), checks.accepted(df, "v", ["a"], "k"), checks.holds(df, "k < 2", "k", "small")])
