@@ -4,7 +4,8 @@ The tokenizers used here drop white space before they merge, so a text's ids are
 space, one after another. Where the tokenizer also lowers case and splits letters, single digits and other marks (PRE_SPLIT),
 words are cut further, at places where it always splits: around ASCII digits, and between ASCII letters and other ASCII
 marks (but not behind an apostrophe, which may start a contraction). A slice that holds a special token is cut into words
-only. Pieces are known by 64-bit hashes; new ones are tokenized many in a call and kept up to a fixed number.
+only. Known pieces are found by 64-bit hashes and compared byte by byte; new ones are tokenized many in a call and kept up
+to a fixed number.
 """
 
 import json
@@ -71,6 +72,8 @@ class WordIds:
         self.n, self.used = 0, 0
         self.flat = np.zeros(1 << 16, np.uint32)
         self.begin, self.length, self.hash = np.zeros(1 << 14, np.int64), np.zeros(1 << 14, np.int64), np.zeros(1 << 14, np.uint64)
+        self.bytes, self.bytes_used = np.zeros(1 << 14, np.uint64), 0
+        self.bytes_at, self.bytes_length = np.zeros(1 << 14, np.int64), np.zeros(1 << 14, np.int64)
         self.slot = np.full(SLOTS, -1, np.int32)
 
     def _find(self, hashes: np.ndarray) -> np.ndarray:
@@ -86,25 +89,50 @@ class WordIds:
                 break
         return out
 
-    def _append(self, hashes: np.ndarray, ids: np.ndarray, lengths: np.ndarray) -> None:
+    def _same(self, at: np.ndarray, data: np.ndarray, starts: np.ndarray, stops: np.ndarray) -> np.ndarray:
+        """Whether words are, byte by byte, the known pieces whose numbers are given."""
+        out = self.bytes_length[at] == stops - starts
+        some = np.flatnonzero(out)
+        found, count = W.eights(data, starts[some], stops[some])
+        ends = np.cumsum(count)
+        equal = found == self.bytes[np.repeat(self.bytes_at[at[some]] - ends + count, count) + np.arange(len(found))]
+        if len(some):
+            out[some] = np.logical_and.reduceat(equal, ends - count)
+        return out
+
+    def _append(self, hashes: np.ndarray, words: list[bytes], ids: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+        """The numbers that the pieces get."""
         n, more = self.n, len(hashes)
+        stops = np.cumsum([len(x) for x in words])
+        raw, count = W.eights(np.frombuffer(b"".join(words), np.uint8), np.concatenate(([0], stops[:-1])), stops)
         while self.used + len(ids) > len(self.flat):
             self.flat = np.concatenate((self.flat, np.zeros_like(self.flat)))
+        while self.bytes_used + len(raw) > len(self.bytes):
+            self.bytes = np.concatenate((self.bytes, np.zeros_like(self.bytes)))
         while n + more > len(self.begin):
-            self.begin, self.length, self.hash = (np.concatenate((x, np.zeros_like(x))) for x in (self.begin, self.length, self.hash))
+            for name in ("begin", "length", "hash", "bytes_at", "bytes_length"):
+                old = getattr(self, name)
+                setattr(self, name, np.concatenate((old, np.zeros_like(old))))
         self.flat[self.used : self.used + len(ids)] = ids
-        self.begin[n : n + more] = self.used + np.cumsum(lengths) - lengths
-        self.length[n : n + more], self.hash[n : n + more] = lengths, hashes
-        left = np.arange(n, n + more)
+        self.bytes[self.bytes_used : self.bytes_used + len(raw)] = raw
+        here = slice(n, n + more)
+        self.begin[here] = self.used + np.cumsum(lengths) - lengths
+        self.length[here], self.hash[here] = lengths, hashes
+        self.bytes_at[here] = self.bytes_used + np.cumsum(count) - count
+        self.bytes_length[here] = [len(x) for x in words]
+        left = numbers = np.arange(n, n + more)
         for probe in range(PROBES):  # a piece that finds no free slot stays unknown
             at = ((self.hash[left] + np.uint64(probe)) & np.uint64(SLOTS - 1)).astype(np.int64)
             free = np.flatnonzero(self.slot[at] < 0)
             self.slot[at[free]] = left[free]
             left = left[self.slot[at] != left]
-        self.n, self.used = n + more, self.used + len(ids)
+        self.n, self.used, self.bytes_used = n + more, self.used + len(ids), self.bytes_used + len(raw)
+        return numbers
 
-    def _add(self, hashes: np.ndarray, pieces: list[str]) -> None:
-        """Tokenizes new pieces: those that are one token run each need no separator, their last tokens are marked."""
+    def _add(self, hashes: np.ndarray, words: list[bytes]) -> np.ndarray:
+        """Tokenizes new pieces and gives them numbers. Those that are one token run each need no separator, their last
+        tokens are marked."""
+        pieces, numbers = [x.decode() for x in words], np.zeros(len(words), np.int64)
         plain, parted, own = [], [], []
         for i, x in enumerate(pieces):
             if self.cut and x.isascii() and (x.isalpha() or len(x) == 1 or not any(map(str.isalnum, x))):
@@ -119,10 +147,11 @@ class WordIds:
                 lengths = np.diff(ends, prepend=-1) - (group is parted)
                 if len(lengths) != len(group):
                     raise ValueError("the tokenizer doesn't split as its file says")
-                self._append(hashes[group], ids if group is plain else ids[ids != self.mark], lengths)
+                numbers[group] = self._append(hashes[group], [words[i] for i in group], ids if group is plain else ids[ids != self.mark], lengths)
         if own:
             each = [np.asarray(x.ids, np.uint32) for x in self.encode([pieces[i] for i in own], add_special_tokens=False)]
-            self._append(hashes[own], np.concatenate(each), np.array([len(x) for x in each]))
+            numbers[own] = self._append(hashes[own], [words[i] for i in own], np.concatenate(each), np.array([len(x) for x in each]))
+        return numbers
 
     def _pieces(self, data: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """The bytes (lower-cased where pieces are cut), and starts, stops and each text's first piece."""
@@ -149,14 +178,15 @@ class WordIds:
         if self.n > KNOWN:
             self._forget()
         found = self._find(hashes)
+        known = np.flatnonzero(found >= 0)
+        found[known[~self._same(found[known], data, starts[known], stops[known])]] = -1
         new = np.flatnonzero(found < 0)
         if len(new):
-            values, one = np.unique(hashes[new], return_index=True)
-            raw, at = data.tobytes(), new[one]
-            before = self.n
-            self._add(values, [raw[a:b].decode() for a, b in zip(starts[at].tolist(), stops[at].tolist(), strict=True)])
-            order = np.argsort(self.hash[before : self.n])
-            found[new] = before + order[np.searchsorted(self.hash[before : self.n][order], hashes[new])]
+            raw, number = data.tobytes(), {}
+            each = np.fromiter((number.setdefault(raw[a:b], len(number)) for a, b in zip(starts[new].tolist(), stops[new].tolist(), strict=True)), np.int64, len(new))
+            one = np.zeros(len(number), np.int64)
+            one[each] = new
+            found[new] = self._add(hashes[one], list(number))[each]
         return found, firsts
 
     def lengths(self, column: pa.Array) -> np.ndarray:

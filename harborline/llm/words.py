@@ -10,11 +10,13 @@ WHITE_BYTES = (9, 10, 11, 12, 13, 32)
 WHITE = np.isin(np.arange(256), WHITE_BYTES)
 LOWER = np.arange(256, dtype=np.uint8) + np.where((np.arange(256) >= 65) & (np.arange(256) <= 90), 32, 0).astype(np.uint8)
 
-#: Odd multipliers of the two polynomial hashes (over bytes, over words).
+#: Odd multipliers: of places in a word, and of the polynomial hash over words' hashes.
 BYTE_BASE = 0x9DDFEA08EB382D69
 WORD_BASE = 0xC6A4A7935BD1E995
 SLICE_BYTES = 2 << 20
 CHUNK_BYTES = 1 << 20
+#: Masks of the first 0 to 8 bytes of 8.
+_UPTO = np.array([(1 << 8 * n) - 1 for n in range(9)], np.uint64)
 
 
 def utf8(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -60,7 +62,7 @@ class _Table:
         return self.up, self.down
 
 
-_BYTES, _WORDS = _Table(BYTE_BASE), _Table(WORD_BASE)
+_WORDS = _Table(WORD_BASE)
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -86,19 +88,50 @@ def find(data: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray, np
     return starts, np.flatnonzero(closes) + 1, np.searchsorted(starts, ends, "left")
 
 
-def hashes(data: np.ndarray, starts: np.ndarray, stops: np.ndarray) -> np.ndarray:
-    """A 64-bit hash of each word's bytes; the work is cut into chunks of bytes, so very long texts need little memory."""
-    out = np.empty(len(starts), np.uint64)
-    at = 0
+def hashes(data: np.ndarray, starts: np.ndarray, stops: np.ndarray, seed: int = 0) -> np.ndarray:
+    """A 64-bit hash of each word's bytes; different seeds give independent hashes.
+
+    A word is read in pieces of 8 bytes. Each is mixed with a number that its place in the word alone gives, and the
+    results are added up; as mixing isn't linear, sums of words that repeat each other's pieces have nothing in common.
+    """
+    length = (stops - starts).astype(np.int64)
+    pieces = (length + 7) >> 3
+    eights = _eights(data)
+    out = np.zeros(len(starts), np.uint64)
+    at, last = 0, np.cumsum(pieces)
     while at < len(starts):
-        to = max(at + 1, int(np.searchsorted(stops, starts[at] + CHUNK_BYTES, "right")))
-        low, high = int(starts[at]), int(stops[to - 1])
-        up, down = _BYTES.get(high - low + 1)
-        sums = np.zeros(high - low + 1, np.uint64)
-        np.cumsum((data[low:high].astype(np.uint64) + np.uint64(1)) * up[: high - low], out=sums[1:])
-        out[at:to] = (sums[stops[at:to] - low] - sums[starts[at:to] - low]) * down[starts[at:to] - low]
+        to = max(at + 1, int(np.searchsorted(last, (last[at - 1] if at else 0) + CHUNK_BYTES // 8, "right")))
+        if (n := int(pieces[at])) > CHUNK_BYTES // 8:  # one very long word
+            for k in range(0, n, CHUNK_BYTES // 8):
+                place = np.arange(k, min(n, k + CHUNK_BYTES // 8))
+                out[at : at + 1] += _mixed(eights, starts[at] + 8 * place, length[at] - 8 * place, place, seed).sum(dtype=np.uint64)
+            to = at + 1
+        else:
+            some, ends = pieces[at:to], np.cumsum(pieces[at:to])
+            place = np.arange(ends[-1]) - np.repeat(ends - some, some)
+            mixed = _mixed(eights, np.repeat(starts[at:to], some) + 8 * place, np.repeat(length[at:to], some) - 8 * place, place, seed)
+            out[at:to] = mixed if len(mixed) == to - at else np.add.reduceat(mixed, ends - some)
         at = to
-    return mix(out)
+    return mix(out + length.astype(np.uint64) * np.uint64(BYTE_BASE))
+
+
+def _eights(data: np.ndarray) -> np.ndarray:
+    """The 8 bytes from each place on."""
+    return np.ndarray((len(data) + 1,), "<u8", np.concatenate((data, np.zeros(8, np.uint8))), strides=(1,))
+
+
+def eights(data: np.ndarray, starts: np.ndarray, stops: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The bytes of words, 8 in a number and zeros behind a word's end, and how many numbers each word has."""
+    length = (stops - starts).astype(np.int64)
+    pieces = (length + 7) >> 3
+    place = np.arange(pieces.sum()) - np.repeat(np.cumsum(pieces) - pieces, pieces)
+    return _eights(data)[np.repeat(starts, pieces) + 8 * place] & _UPTO[np.minimum(np.repeat(length, pieces) - 8 * place, 8)], pieces
+
+
+def _mixed(eights: np.ndarray, at: np.ndarray, left: np.ndarray, place: np.ndarray, seed: int) -> np.ndarray:
+    """Pieces of 8 bytes (what lies behind a word's end is cut off), mixed with their place in the word."""
+    found = eights[at] & _UPTO[np.minimum(left, 8)]
+    return mix(mix(found ^ mix((place + 1).astype(np.uint64) * np.uint64(BYTE_BASE) + np.uint64(seed))) + np.uint64(WORD_BASE))
 
 
 def rolling(words: np.ndarray, k: int) -> np.ndarray:

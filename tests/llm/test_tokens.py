@@ -10,6 +10,7 @@ import pytest
 from tokenizers import Tokenizer
 
 from harborline.llm import packing, rans, secrets
+from harborline.llm import words as W
 from harborline.llm.tokens import WordIds, default_path
 
 TRICKY = [
@@ -38,6 +39,22 @@ def test_pieces_are_cut_only_where_the_tokenizer_splits(tokenizer):
         assert list(found) == [*tokenizer.encode(text, add_special_tokens=False).ids, 2], text
 
 
+def test_pieces_of_equal_hash_are_told_apart(tokenizer, monkeypatch):
+    """Words made of each other's swapped halves collide under any polynomial modulo 2**64; a hash of nothing always does."""
+    a, b = "a", "b"
+    while len(a) < 2048:
+        a, b = a + b, b + a
+    texts = [a, b, f"{b} {a}", "one two", "two three one"]
+    expected = [tokenizer.encode(t, add_special_tokens=False).ids for t in texts]
+    split = lambda ids, lengths: [list(x[:-1]) for x in np.split(ids, np.cumsum(lengths)[:-1])]
+    words = WordIds(default_path())
+    assert [split(*words.ids(pa.array([t]), 2)) for t in texts] == [[x] for x in expected]
+    monkeypatch.setattr(W, "hashes", lambda data, starts, stops: np.zeros(len(starts), np.uint64))
+    words = WordIds(default_path())
+    for _ in range(2):
+        assert split(*words.ids(pa.array(texts), 2)) == expected
+
+
 @pytest.mark.parametrize("n", [0, 1, 7, 64, 1000, 5000])
 def test_blocks_round_trip(n):
     rng = np.random.default_rng(n)
