@@ -6,12 +6,19 @@ that agree in any of the 32 bands are candidates. At a similarity of 0.75 all ba
 Register by register, a collision-corrected Jaccard estimate drops hopeless candidates (4 standard errors below the
 threshold); the rest are confirmed on their full shingle sets, and links make components.
 
-Equal shingle sets are one class from the start. In a bucket each class is compared with two hubs: the class that
-shares most buckets (in a group of edited copies this is the one nearest to the original), and a random one. Hopeful
-estimates make loose clusters. Buckets whose classes are in several clusters are closed: in tiles of bounded size all
-classes of different clusters are compared by registers, and hopeful pairs join their clusters; so whatever is hopeful
-and shares a bucket is in one cluster. Inside a cluster similarities are exact: tiles of full sets are multiplied, and a
-task returns the components of its tile, not its pairs. No bucket is cut and no partner dropped.
+Equal shingle sets are one class from the start. Each bucket has a hub, the class that shares most buckets with others (in
+a group of edited copies this is the one nearest to the original), and each class is compared with the greatest of its
+buckets' hubs: one link a class, which leads to a class that shares more, so links are trees. Hopeful ones make loose
+clusters. Buckets whose classes are in several clusters are closed: the classes outside the bucket's largest cluster are
+compared by registers with all its classes, and hopeful pairs join their clusters; so whatever is hopeful and shares a
+bucket is in one cluster. Clusters are confirmed on full sets in the same two steps: first the links to hubs, then in
+clusters that these leave in parts, the classes outside the largest part are compared with all. Comparisons are made in
+tiles of bounded size, and a tile returns a spanning forest of the parts that it found linked, not its pairs. No bucket
+is cut and no partner dropped. A bucket or cluster of m classes, s of them outside its largest part, takes s * m
+comparisons; only classes that resemble each other and yet aren't near-duplicates make s large.
+
+Tables of one row a key are written before they are joined with the members of the key, so that Spark's skew join can
+split the members of a hot one.
 
 Null and empty texts have an empty set: they are linked with nothing and kept. Rows with the same doc_id are separate
 rows; exact copies among them are one class. Classes are known by 64-bit sums of their hashes.
@@ -24,6 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from harborline.llm import native
 from harborline.llm import words as W
 from harborline.llm.store import written
 
@@ -31,9 +39,13 @@ SHINGLE, THRESHOLD_PCT = 5, 75
 REGISTERS, BAND = 128, 4
 BUCKET_BITS, MANTISSA_BITS = 7, 10
 ERRORS = 4.0
-TILE = 1024
-#: Most classes, and shingles, that a tile of full sets is made for; columns multiplied at a time.
-TILE_SHINGLES, COLUMNS = 1_500_000, 2048
+#: Classes, and shingles, on a side of a tile; columns multiplied at a time.
+TILE = 512
+TILE_SHINGLES, COLUMNS = 750_000, 2048
+#: Classes of a group that is compared together with others, and about how many of these at a time.
+SMALL, SMALL_TILES = 16, 64
+#: Pairs of registers that are compared at a time.
+PAIRS = 50_000
 
 
 def shingle_sets(data: np.ndarray, ends: np.ndarray, k: int = SHINGLE) -> tuple[np.ndarray, np.ndarray]:
@@ -147,33 +159,66 @@ def _band_keys(registers: np.ndarray) -> np.ndarray:
     return np.where(rows != 0, W.mix(rows ^ salt), np.uint64(0)).view(np.int64)
 
 
-def _open_pairs(threshold: float):
-    """Within a tile (or between its two halves): hopeful pairs of classes in different clusters."""
+def forest(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Links (node, least node) that connect what the links (a, b) connect: one for each node but the least."""
+    names, index = np.unique(np.concatenate((a, b)), return_inverse=True)
+    i, j = index[: len(a)], index[len(a) :]
+    label = np.arange(len(names))
+    while True:
+        low, new = np.minimum(label[i], label[j]), label.copy()
+        for at in (i, j, label[i], label[j]):
+            np.minimum.at(new, at, low)
+        new = new[new]
+        if (new == label).all():
+            break
+        label = new
+    moved = np.flatnonzero(label != np.arange(len(names)))
+    return names[moved], names[label[moved]]
+
+
+_NO_LINKS = pa.table({"a": pa.array([], pa.int64()), "b": pa.array([], pa.int64())})
+
+
+def _links(a: np.ndarray, b: np.ndarray) -> pa.Table:
+    a, b = forest(a, b)
+    return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
+
+
+def _tiles(table: pa.Table) -> tuple[pa.Table, np.ndarray]:
+    """The rows sorted by tile and side, and where tiles begin (and the last ends)."""
+    table = table.sort_by([(c, "ascending") for c in ("in", "p", "q", "side")]).combine_chunks()
+    keys = [np.asarray(table.column(c)) for c in ("in", "p", "q")]
+    return table, np.flatnonzero(np.concatenate(([True], np.logical_or.reduce([x[1:] != x[:-1] for x in keys]), [True])))
+
+
+def _hopeful_parts(threshold: float):
+    """Of tiles: a forest of the parts between which there are hopeful pairs of classes."""
 
     def run(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
-        band = key[0].as_py()
-        half, node = np.asarray(table.column("half")), np.asarray(table.column("node"))
-        comp, size = np.asarray(table.column("comp")), np.asarray(table.column("n_shingles"))
+        if not table.num_rows:
+            return _NO_LINKS
+        table, cuts = _tiles(table)
+        side, comp, size = (np.asarray(table.column(c)) for c in ("side", "comp", "n_shingles"))
         regs = _matrix(table.column("registers"))
-        full, keys = regs > 0, _band_keys(regs)
-        left, right = np.flatnonzero(half != 1), np.flatnonzero(half != 0)
-        found = [(np.zeros(0, np.int64), np.zeros(0, np.int64))]
-        step = max(1, 2_000_000 // (REGISTERS * max(1, len(right))))
-        for at in range(0, len(left), step):
-            some = left[at : at + step]
-            equal = ((regs[some][:, None] == regs[right][None]) & full[right][None]).sum(2)
-            both = full[some].astype(np.float32) @ full[right].astype(np.float32).T
-            used = np.maximum(full[some].sum(1)[:, None] + full[right].sum(1)[None] - both, 1)
-            low, high = np.minimum(size[some][:, None], size[right][None]), np.maximum(size[some][:, None], size[right][None])
-            i, j = np.nonzero(hopeful(equal / used, used, threshold) & (low >= threshold * high) & (comp[some][:, None] != comp[right][None]))
-            i, j = some[i], right[j]
-            i, j = (x[(half[i] != 2) | (i < j)] for x in (i, j))
-            if len(i):
-                shared = (keys[i] == keys[j]) & (keys[i] != 0)
-                good = (keys[i, shared.argmax(1)] == band) & hopeful(*estimate(regs[i], regs[j], size[i], size[j]), threshold)
-                found.append((i[good], j[good]))
-        i, j = (np.concatenate(x) for x in zip(*found, strict=True))
-        return pa.table({"a": pa.array(node[i]), "b": pa.array(node[j])})
+        left = np.flatnonzero(side == 0)
+        tile = np.searchsorted(cuts, left, "right") - 1
+        stop = cuts[tile + 1]
+        low = stop - np.bincount(np.searchsorted(cuts, np.flatnonzero(side == 1), "right") - 1, minlength=len(cuts))[tile]
+        total, at, found = np.cumsum(stop - low), 0, [(comp[:0], comp[:0])]
+        while at < len(left):
+            to = max(at + 1, int(np.searchsorted(total, (total[at - 1] if at else 0) + PAIRS, "right")))
+            count = (stop - low)[at:to]
+            i = np.repeat(left[at:to], count)
+            j = np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count) + np.repeat(low[at:to], count)
+            fit = np.flatnonzero((comp[i] != comp[j]) & (np.minimum(size[i], size[j]) >= threshold * np.maximum(size[i], size[j])))
+            i, j, at = i[fit], j[fit], to
+            equal = ((regs[i] == regs[j]) & (regs[i] > 0)).sum(1)
+            used = np.maximum(((regs[i] | regs[j]) > 0).sum(1), 1)
+            fit = np.flatnonzero(hopeful(equal / used, used, threshold))  # the correction below only lowers an estimate
+            i, j = i[fit], j[fit]
+            good = hopeful(*estimate(regs[i], regs[j], size[i], size[j]), threshold)
+            found.append(forest(comp[i[good]], comp[j[good]]))
+        return _links(*(np.concatenate(x) for x in zip(*found, strict=True)))
 
     return run
 
@@ -196,12 +241,10 @@ def _sets(text: str):
     return run
 
 
-def _confirmed(percent: int):
-    """Of a tile: (a, b) for each class and the least class that confirmed links lead to within the tile."""
+def _confirmed_parts(percent: int):
+    """Of tiles: a forest of the parts between which there are links, confirmed on full sets."""
 
-    def run(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
-        half, node = np.asarray(table.column("half")), np.asarray(table.column("node"))
-        sets = [W.unpack(x) for x in table.column("shingles").to_pylist()]
+    def one(side: np.ndarray, comp: np.ndarray, sets: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
         size = np.array([len(x) for x in sets])
         owner = np.repeat(np.arange(len(sets)), size)
         _, column, often = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
@@ -211,24 +254,23 @@ def _confirmed(percent: int):
         owner, column = owner[keep], number[column[keep]]
         order = np.argsort(column, kind="stable")
         owner, column = owner[order], column[order]
-        left, right = np.flatnonzero(half != 1), np.flatnonzero(half != 0)
+        left, right = np.flatnonzero(side == 0), np.flatnonzero(side == 1)
         both = np.zeros((len(left), len(right)), np.float32)
         for at in range(0, int(column[-1]) + 1 if len(column) else 0, COLUMNS):
             a, b = np.searchsorted(column, (at, at + COLUMNS))
-            dense = np.zeros((len(node), COLUMNS), np.float32)
+            dense = np.zeros((len(comp), COLUMNS), np.float32)
             dense[owner[a:b], column[a:b] - at] = 1
             both += dense[left] @ dense[right].T
-        linked = 100 * both >= percent * (size[left][:, None] + size[right][None] - both)
-        label = np.arange(len(node))
-        while True:
-            new = label.copy()
-            new[left] = np.minimum(new[left], np.where(linked, new[right][None], len(node)).min(1))
-            new[right] = np.minimum(new[right], np.where(linked, new[left][:, None], len(node)).min(0))
-            if (new == label).all():
-                break
-            label = new
-        moved = np.flatnonzero(label != np.arange(len(node)))
-        return pa.table({"a": pa.array(node[moved]), "b": pa.array(node[label[moved]])})
+        i, j = np.nonzero((100 * both >= percent * (size[left][:, None] + size[right][None] - both)) & (comp[left][:, None] != comp[right][None]))
+        return forest(comp[left[i]], comp[right[j]])
+
+    def run(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
+        if not table.num_rows:
+            return _NO_LINKS
+        table, cuts = _tiles(table)
+        side, comp, blobs = np.asarray(table.column("side")), np.asarray(table.column("comp")), table.column("shingles")
+        found = [one(side[a:b], comp[a:b], [W.unpack(x) for x in blobs[a:b].to_pylist()]) for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True)]
+        return _links(*(np.concatenate(x) for x in zip(*found, strict=True)))
 
     return run
 
@@ -257,39 +299,77 @@ def _candidates(pairs: DataFrame, classes: DataFrame, threshold: float) -> DataF
     """(a, b, estimate) of those pairs whose sizes and registers leave hope."""
     left = classes.select(F.col("node").alias("a"), F.col("n_shingles").alias("na"), F.col("registers").alias("ra"))
     right = classes.select(F.col("node").alias("b"), F.col("n_shingles").alias("nb"), F.col("registers").alias("rb"))
-    fit = pairs.join(left.drop("ra"), "a").join(right.drop("rb"), "b").filter(F.least("na", "nb") >= F.lit(threshold) * F.greatest("na", "nb"))
-    joined = fit.join(left.select("a", "ra"), "a").join(right.select("b", "rb"), "b")
-    return joined.select("a", "b", "na", "nb", "ra", "rb").mapInArrow(_estimates(threshold), "a bigint, b bigint, estimate double")
-
-
-def _tiled(members: DataFrame, tiles) -> DataFrame:
-    """members, each once for every pair of tiles that it is in, with p, q and half: 2 in a tile with itself, else 0 in
-    the lower tile, 1 in the higher."""
-    mine = F.pmod(F.xxhash64("node"), F.col("__tiles")).cast("int")
-    placed = members.withColumn("__tiles", tiles.cast("int")).withColumn("__mine", mine)
-    to = F.expr("transform(sequence(0, __tiles - 1), t -> struct(least(t, __mine) as p, greatest(t, __mine) as q, if(t = __mine, 2, if(__mine < t, 0, 1)) as half))")
-    return placed.withColumn("__to", F.explode(to)).select(*members.columns, "__to.p", "__to.q", "__to.half")
-
-
-def _open(bands: DataFrame, clusters: DataFrame, classes: DataFrame, threshold: float) -> DataFrame:
-    """Hopeful pairs across clusters in the buckets that hold several, in tiles of at most 2 * TILE classes."""
-    labelled = bands.join(clusters, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
-    several = labelled.groupBy("band").agg(F.min("comp").alias("low"), F.max("comp").alias("high"), F.count("*").alias("members")).filter("low < high and members > 2")
-    member = labelled.join(several.select("band", "members"), "band").select("band", "node", "comp", "members")
-    sent = _tiled(member, F.ceil(F.col("members") / TILE)).join(classes.select("node", "n_shingles", "registers"), "node")
-    return sent.groupBy("band", "p", "q").applyInArrow(_open_pairs(threshold), "a bigint, b bigint").distinct()
-
-
-def _links(clusters: DataFrame, classes: DataFrame, docs: DataFrame, key: str, text: str, percent: int) -> DataFrame:
-    """(a, b) within clusters: classes that links confirmed on full sets connect."""
+    fit = pairs.join(left, "a").join(right, "b").filter(F.least("na", "nb") >= F.lit(threshold) * F.greatest("na", "nb"))
+    return fit.select("a", "b", "na", "nb", "ra", "rb").mapInArrow(_estimates(threshold), "a bigint, b bigint, estimate double")
+
+
+def _tiled(rows: DataFrame, groups: int) -> DataFrame:
+    """rows, with `first` and `second` (numbers of tiles) and the sides that they are on, once for each tile p, q and side:
+    side 0 of all tiles in a row, side 1 of all in a column. `bin` has one tile, or about SMALL_TILES of the small ones."""
+    of = lambda n, seed: f"cast(pmod(xxhash64(node, {seed}), {n}) as int)"
+    left = f"if(is_first, transform(sequence(0, second - 1), q -> struct({of('first', 1)} as p, q as q, 0 as side)), array())"
+    right = f"if(is_second, transform(sequence(0, first - 1), p -> struct(p as p, {of('second', 2)} as q, 1 as side)), array())"
+    placed = rows.withColumn("__to", F.expr(f"explode(concat({left}, {right}))")).select("*", "__to.*")
+    bin_ = F.when(F.col("small"), F.pmod(F.xxhash64("in"), F.lit(groups // SMALL_TILES + 1))).otherwise(F.xxhash64("in", "p", "q"))
+    return placed.withColumn("bin", bin_).select("bin", "in", "p", "q", "side", "node", "comp")
+
+
+def _apart(members: DataFrame, name: str, rows: int) -> DataFrame:
+    """members (in, node, comp, weight), of those groups `in` whose classes are in several parts, in tiles: on
+    the first side the classes outside the largest part, on the second all. A tile has at most `rows` in weight a side."""
+    parts = members.groupBy("in", "comp").agg(F.count("*").alias("n"), F.sum("weight").alias("weight"))
+    main = F.max(F.struct("n", "comp"))["comp"]
+    several = parts.groupBy("in").agg(main.alias("main"), F.min("comp").alias("low"), F.max("comp").alias("high"), F.sum("weight").alias("total"),
+                                      F.max(F.struct("n", "comp", "weight"))["weight"].alias("inside")).filter("low < high")
+    outside, small = F.ceil((F.col("total") - F.col("inside")) / rows), F.col("total") <= SMALL
+    several = written(several.select("in", "main", outside.cast("int").alias("first"), F.ceil(F.col("total") / rows).cast("int").alias("second"), small.alias("small")), name)
+    sides = members.join(several, "in").withColumns({"is_first": F.col("comp") != F.col("main"), "is_second": F.lit(True)})
+    return _tiled(sides, several.count())
+
+
+def _relabelled(labels: DataFrame, parts: DataFrame) -> DataFrame:
+    """labels (node, comp) after the parts (a, b) have been joined."""
+    joined = components(parts)
+    return labels.join(joined.select(F.col("node").alias("comp"), F.col("comp").alias("into")), "comp", "left").select("node", F.coalesce("into", "comp").alias("comp"))
+
+
+def _clusters(bands: DataFrame, classes: DataFrame, threshold: float) -> tuple[DataFrame, DataFrame]:
+    """(node, comp) of the classes in loose clusters, and the hopeful links (a, b) to hubs."""
+    shared = bands.groupBy("node").agg(F.sum("members").alias("shared"))
+    hubs = written(bands.join(shared, "node").groupBy("band").agg(F.max(F.struct("shared", "node")).alias("hub")), "hubs")
+    star = bands.select("band", "node").join(hubs, "band").groupBy("node").agg(F.max("hub")["node"].alias("hub")).filter("node <> hub")
+    hoped = written(_candidates(star.select(F.col("node").alias("a"), F.col("hub").alias("b")), classes, threshold), "candidates").select("a", "b")
+    members = bands.select(F.col("band").alias("in"), "node")
+    loose = written(members.select("node").distinct().join(components(hoped), "node", "left").select("node", F.coalesce("comp", "node").alias("comp")), "loose")
+    labelled = members.join(loose, "node").withColumn("weight", F.lit(1))
+    sent = _apart(labelled, "open-buckets", TILE).join(classes.select("node", "n_shingles", "registers"), "node")
+    more = written(sent.groupBy("bin").applyInArrow(_hopeful_parts(threshold), "a bigint, b bigint").distinct(), "open-parts")
+    return written(_relabelled(loose, more), "clusters"), hoped
+
+
+def _confirmed(clusters: DataFrame, hoped: DataFrame, classes: DataFrame, docs: DataFrame, key: str, text: str, percent: int) -> DataFrame:
+    """(node, comp) of the classes that confirmed links within clusters connect."""
+    several = clusters.groupBy("comp").agg(F.count("*").alias("members")).filter("members > 1").select(F.col("comp").alias("in"))
+    clusters = written(clusters.withColumnRenamed("comp", "in").join(written(several, "several"), "in"), "several-members")
     named = clusters.join(classes.select("node", "n_shingles", "first_key"), "node")
     wanted = named.select("node", F.col("first_key").alias(key))
     texts = docs.join(wanted, docs[key].eqNullSafe(wanted[key])).select(wanted["node"], docs[text])
-    sets = texts.mapInArrow(_sets(text), "node bigint, shingles binary")
-    sizes = named.groupBy("comp").agg(F.count("*").alias("members"), F.sum("n_shingles").alias("shingles"))
-    tiles = F.ceil(F.greatest(F.col("members") / TILE, F.col("shingles") / TILE_SHINGLES))
-    sent = _tiled(named.join(sizes, "comp").select("comp", "node", "members", "shingles"), tiles).drop("members", "shingles").join(sets, "node")
-    return sent.groupBy("comp", "p", "q").applyInArrow(_confirmed(percent), "a bigint, b bigint")
+    sets = written(texts.mapInArrow(_sets(text), "node bigint, shingles binary"), "sets", compression="none")
+    # the links to hubs: a hub is the first side of its tiles, its classes are the second
+    weight = F.greatest(F.lit(1.0), F.col("n_shingles") * (TILE / TILE_SHINGLES))
+    size = classes.select(F.col("node").alias("a"), weight.alias("weight"))
+    tiles = hoped.join(size, "a").groupBy(F.col("b").alias("in")).agg(F.sum("weight").alias("total"))
+    tiles = written(tiles.select("in", F.lit(1).alias("first"), F.ceil(F.col("total") / TILE).cast("int").alias("second"), (F.col("total") <= SMALL).alias("small")), "hub-tiles")
+    ends = hoped.select(F.col("b").alias("in"), F.col("a").alias("node"), F.lit(False).alias("is_first"), F.lit(True).alias("is_second"))
+    ends = ends.join(tiles, "in").unionByName(tiles.withColumns({"node": F.col("in"), "is_first": F.lit(True), "is_second": F.lit(False)}))
+    sent = _tiled(ends.withColumn("comp", F.col("node")), tiles.count()).join(sets, "node")
+    sure = written(sent.groupBy("bin").applyInArrow(_confirmed_parts(percent), "a bigint, b bigint"), "sure-links")
+    # what these leave in parts
+    labels = written(clusters.join(components(sure), "node", "left").select("in", "node", F.coalesce("comp", "node").alias("comp")), "sure-parts")
+    weighed = labels.join(classes.select("node", "n_shingles"), "node").select("in", "node", "comp", weight.alias("weight"))
+    sent = _apart(weighed, "open-clusters", TILE).join(sets, "node")
+    more = written(sent.groupBy("bin").applyInArrow(_confirmed_parts(percent), "a bigint, b bigint").distinct(), "more-links")
+    return written(_relabelled(labels.select("node", "comp"), more), "confirmed")
 
 
 def near_duplicates(docs: DataFrame, *, key: str = "doc_id", text: str = "text", threshold_pct: int = THRESHOLD_PCT, extra: tuple[str, ...] = ()) -> DataFrame:
@@ -303,19 +383,10 @@ def near_duplicates(docs: DataFrame, *, key: str = "doc_id", text: str = "text",
     full = sketches.filter("n_shingles > 0")
     classes = written(full.groupBy("node").agg(F.min(key).alias("first_key"), F.first("n_shingles").alias("n_shingles"), F.first("registers").alias("registers")), "classes", compression="none")
     every = classes.select("node", "registers").mapInArrow(_bands, "band bigint, node bigint")
-    bands = written(every.join(every.groupBy("band").agg(F.count("*").alias("members")).filter("members > 1"), "band"), "bands")
-    shared = bands.groupBy("node").agg(F.sum("members").alias("shared"))
-    salted = F.col("node").bitwiseXOR(F.xxhash64("band"))
-    hubs = bands.join(shared, "node").groupBy("band").agg(F.max_by("node", "shared").alias("central"), F.min(salted).alias("least")).select(
-        "band", F.explode(F.array("central", F.col("least").bitwiseXOR(F.xxhash64("band")))).alias("hub"))
-    star = bands.join(hubs, "band").filter("node <> hub").select(F.least("node", "hub").alias("a"), F.greatest("node", "hub").alias("b")).distinct()
-    hoped = written(_candidates(star, classes, threshold), "candidates")
-    members = bands.select("band", "node")
-    loose = components(hoped)
-    more = written(_open(members, loose, classes, threshold), "open-pairs")
-    if not more.isEmpty():
-        loose = components(hoped.select("a", "b").union(more))
-    comps = components(written(_links(loose, classes, docs, key, text, threshold_pct), "links"))
+    counts = written(every.groupBy("band").agg(F.count("*").alias("members")).filter("members > 1"), "buckets")
+    bands = written(every.join(counts, "band"), "bands")
+    clusters, hoped = _clusters(bands, classes, threshold)
+    comps = _confirmed(clusters, hoped, classes, docs, key, text, threshold_pct)
     first = classes.select("node", "first_key")
     of_linked = comps.join(first, "node").groupBy("comp").agg(F.min("first_key").alias("least"))
     ids = first.join(comps, "node", "left").join(of_linked, "comp", "left").select("node", F.coalesce("least", "first_key").alias("component_id"))
@@ -326,12 +397,13 @@ def near_duplicates(docs: DataFrame, *, key: str = "doc_id", text: str = "text",
 def without_duplicates(docs: DataFrame, *, key: str = "doc_id", text: str = "text", threshold_pct: int = THRESHOLD_PCT) -> DataFrame:
     """The rows of docs that stay: of each component the document with the least key, of repeated rows one; all rows
     without words."""
-    named = docs.withColumns({"__key": F.coalesce(F.col(key).cast("string"), F.lit("null")), "__hash": F.xxhash64(text)})
-    found = near_duplicates(named, key=key, text=text, threshold_pct=threshold_pct, extra=("__key", "__hash"))
-    stay = found.filter(F.col(key).eqNullSafe(F.col("component_id"))).groupBy("__key", "__hash").agg(F.max("n_shingles").alias("__n"))
-    same = Window.partitionBy("__key", "__hash").orderBy("__n")
-    numbered = named.join(stay, ["__key", "__hash"]).withColumn("__row", F.row_number().over(same))
-    return numbered.filter("__row = 1 or __n = 0").select(docs.columns)
+    at, hashed, n, row = (native.name(docs, x) for x in ("__key", "__hash", "__n", "__row"))
+    named = docs.withColumns({at: F.coalesce(F.concat(F.lit("k"), F.col(key).cast("string")), F.lit("null")), hashed: F.xxhash64(text)})
+    found = near_duplicates(named, key=key, text=text, threshold_pct=threshold_pct, extra=(at, hashed))
+    stay = found.filter(F.col(key).eqNullSafe(F.col("component_id"))).groupBy(at, hashed).agg(F.max("n_shingles").alias(n))
+    same = Window.partitionBy(at, hashed).orderBy(n)
+    numbered = named.join(stay, [at, hashed]).withColumn(row, F.row_number().over(same))
+    return numbered.filter((F.col(row) == 1) | (F.col(n) == 0)).select(docs.columns)
 
 
 def digest(found: DataFrame) -> DataFrame:
