@@ -37,7 +37,7 @@ def mask(policy: str) -> int:
 
 
 def measured(docs: DataFrame, text: str = "text") -> DataFrame:
-    """docs with the measurements. A word counts as repeated if a 3-word window over it starts twice or more in the text.
+    """docs with the measurements (in place of columns of such names). A word counts as repeated if a 3-word window over it starts twice or more in the text.
 
     Windows are found again by sorting: a key holds the upper bits of a window's 64-bit hash and its place in as many
     lower bits as the text needs; equal neighbours are compared on the full hash.
@@ -77,9 +77,11 @@ def passes(policy: str = POLICY) -> Column:
 
 def passing(docs: DataFrame, policy: str = POLICY, text: str = "text") -> DataFrame:
     """The rows of docs that pass a policy. A row number, which is never negative, keeps the optimizer from moving the
-    condition below the measurements, where it would be made of many copies of them."""
-    numbered = ledger(docs, text).withColumn("__row", F.monotonically_increasing_id())
-    return numbered.filter(passes(policy) & (F.col("__row") >= 0)).select(docs.columns)
+    condition below the measurements, where it would be made of many copies of them. The ledger is made beside docs'
+    columns, which are kept in one struct meanwhile, so that none of them is overwritten."""
+    kept = docs.select(F.struct(*docs.columns).alias("__docs"), F.col(text).alias("text"))
+    numbered = ledger(kept).withColumn("__row", F.monotonically_increasing_id())
+    return numbered.filter(passes(policy) & (F.col("__row") >= 0)).select("__docs.*")
 
 
 def ablations(kept: DataFrame, policy: str = POLICY) -> DataFrame:
