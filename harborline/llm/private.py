@@ -1,13 +1,17 @@
 r"""Personal data by bootstrapped contextual extraction, with built-in functions only.
 
 Seeds are the base spans (email, ip, card, phone; each a fixed pattern and a check). Every run of words with a digit or
-an @ is a candidate instance; the two words before it are its lexical pattern. Patterns and instances make a bipartite
-graph, summed over all documents. In each round a pattern's confidence in a kind is the share of its distinct instances
-that are believed to be of the kind, smoothed, and an instance is believed as much as its best pattern. Candidates
-behind a pattern of high confidence and support that no base span covers become spans of kind `found_<kind>`.
+an @ is a candidate instance; the two words before it, lower-cased, are its lexical pattern. Patterns and instances make a
+bipartite graph, summed over all documents. In each round a pattern's confidence in a kind is the share of its distinct
+instances that are believed to be of the kind, smoothed, and an instance is believed as much as its best pattern; beliefs
+only rise, and rounds go on until no pattern is added and the confidences have settled. Candidates behind a pattern of
+high confidence and support that no base span touches become spans of kind `found_<kind>`. A candidate with fewer than two
+words between it and the last one, or the start of the text, has no pattern.
 
 Counts are made by (pattern, instance) before anything is gathered by pattern or instance, so a frequent word is no hot
 group. Texts are not shuffled. Null and empty texts have no spans. Rows with equal id and equal text get equal spans.
+Without seeds there are no patterns. Places in a text are running sums in blocks of sqrt(n) matches, so a text with n
+matches takes about n * sqrt(n) / 2 additions.
 """
 
 from pyspark.sql import Column, DataFrame
@@ -31,8 +35,11 @@ _MAYBE = {"email": "instr({t}, '@') > 0", "ip": r"{t} rlike '[0-9]\\.[0-9]'", "c
 _BYTE = "(25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9]?[0-9])"
 
 CANDIDATE = r"(?<![^\x20\x09-\x0D])[^\x20\x09-\x0D0-9@]*+[0-9@][^\x20\x09-\x0D]*+(?:\x20[^\x20\x09-\x0D0-9@]*+[0-9@][^\x20\x09-\x0D]*+)*+"
-CONTEXT_CHARS = 80
-ROUNDS, CONFIDENCE, SUPPORT, SMOOTHING = 3, 0.8, 5, 1.0
+#: The last two words before a candidate, in reversed text.
+_CONTEXT = r"^[\x20\x09-\x0D]+([^\x20\x09-\x0D]++[\x20\x09-\x0D]++[^\x20\x09-\x0D]++)"
+CONFIDENCE, SUPPORT, SMOOTHING, SETTLED = 0.8, 5, 1.0, 1e-3
+#: Code points in a block of a text that spans are cut out of.
+BLOCK = 4096
 
 
 def _sql(pattern: str) -> str:
@@ -54,14 +61,29 @@ def _valid(kind: str, x: str) -> str:
     return "true"
 
 
+def _let(name: str, value: str, body: str) -> str:
+    """The body, with a name for a value that is computed once."""
+    return f"get(transform(array({value}), {name} -> {body}), 0)"
+
+
+def _running(values: str, add: str = "a + y") -> str:
+    """Running sums (or what `add` makes of a and y, from 0L on) of an array of numbers."""
+    at = "cast(i div w as int)"
+    sums = f"transform(v, (x, i) -> aggregate(slice(v, {at} * w + 1, cast(i % w as int) + 1), get(u, {at}), (a, y) -> {add}))"
+    parts = f"transform(sequence(0, cast((size(v) - 1) div w as int)), k -> aggregate(slice(v, k * w + 1, w), 0L, (a, y) -> {add}))"
+    before = f"transform(t, (x, k) -> aggregate(slice(t, 1, k), 0L, (a, y) -> {add}))"
+    some = _let("w", "cast(ceil(sqrt(size(v))) as int)", _let("t", parts, _let("u", before, sums)))
+    return _let("v", values, f"if(size(v) = 0, cast(array() as array<bigint>), {some})")
+
+
 def with_matches(df: DataFrame, text: str, pattern: str, out: str, maybe: str = "true") -> DataFrame:
     """df with `out`: the matches as array of struct<start, end, value>, in code points; and `out`_gaps, the pieces between."""
     p = _sql(pattern)
     df = df.withColumn("__m", F.expr(f"if({maybe}, regexp_extract_all({text}, {p}, 0), cast(array() as array<string>))"))
     df = df.withColumn(f"{out}_gaps", F.expr(f"if(size(__m) > 0, split({text}, {p}, -1), cast(array() as array<string>))"))
-    before = f"aggregate(slice({out}_gaps, 1, i + 1), 0L, (a, y) -> a + length(y)) + aggregate(slice(__m, 1, i), 0L, (a, y) -> a + length(y))"
-    spans = F.expr(f"transform(__m, (x, i) -> struct({before} as start, {before} + length(x) as `end`, x as value))")
-    return df.withColumn(out, spans).drop("__m")
+    ends = _running(_let("g", f"{out}_gaps", "transform(__m, (x, i) -> cast(length(get(g, i)) + length(x) as bigint))"))
+    spans = _let("m", "__m", _let("e", ends, "transform(m, (x, i) -> struct(get(e, i) - length(x) as start, get(e, i) as `end`, x as value))"))
+    return df.withColumn(out, F.expr(spans)).drop("__m")
 
 
 def with_base(df: DataFrame, text: str, out: str) -> DataFrame:
@@ -83,28 +105,44 @@ def scanned(docs: DataFrame, *, key: str = "doc_id", text: str = "text") -> Data
     rows = docs.select(F.col(key), native.whole(text).alias("__text")).withColumn("text_hash", F.xxhash64("__text"))
     rows = with_base(rows, "__text", "base")
     rows = with_matches(rows, "__text", CANDIDATE, "__seen", "__text rlike '[0-9@]'")
-    context = f"regexp_extract(lower(substring(get(__seen_gaps, i), -{CONTEXT_CHARS}, {CONTEXT_CHARS})), '([^\\\\x20\\\\x09-\\\\x0D]+[\\\\x20\\\\x09-\\\\x0D]+[^\\\\x20\\\\x09-\\\\x0D]+)[\\\\x20\\\\x09-\\\\x0D]+$', 1)"
+    rows = rows.withColumn("__kinds", F.expr(_kinds("base", "__seen")))
+    context = f"lower(reverse(regexp_extract(reverse(get(g, i)), {_sql(_CONTEXT)}, 1)))"
     lead, tail = _cores("x.value").split(", length(x.value)")
-    seen = f"""filter(transform(__seen, (x, i) -> struct(
+    seen = _let("g", "__seen_gaps", _let("k", "__kinds", f"""filter(transform(__seen, (x, i) -> struct(
         x.start + {lead} as start, x.start + length(x.value){tail} as `end`,
         {context} as context,
         substring(x.value, {lead} + 1, length(x.value){tail} - {lead}) as instance,
-        get(filter(base, b -> b.start < x.`end` and b.`end` > x.start), 0).kind as kind)), c -> c.context <> '' and c.`end` > c.start)"""
+        get(k, i) as kind)), c -> c.context <> '' and c.`end` > c.start)"""))
     return rows.withColumn("seen", F.expr(seen)).select(key, "text_hash", "base", "seen")
 
 
+def _kinds(base: str, seen: str) -> str:
+    """The kind of a base span that touches each of the candidates, or null. Both are sorted by start and candidates don't
+    overlap: the base span that reaches farthest of those that start up to a candidate, or the next one, touches it."""
+    events = f"array_sort(concat(transform({base}, b -> struct(b.start as at, 0 as candidate, b.`end` as stop, b.rank as rank)), transform({seen}, x -> struct(x.start as at, 1 as candidate, x.`end` as stop, 0 as rank))))"
+    reach = _running("transform(e, b -> if(b.candidate = 0, b.stop * 8 + b.rank, 0L))", "greatest(a, y)")
+    near = "if(get(e, j + 1).candidate = 0 and get(e, j + 1).at < x.stop, get(e, j + 1).rank, null)"
+    rank = f"if(x.candidate = 0, -1, if(get(r, j) div 8 > x.at, cast(get(r, j) % 8 as int), {near}))"
+    names = ", ".join(f"'{k}'" for k in KINDS)
+    return _let("e", events, _let("r", reach, f"transform(filter(transform(e, (x, j) -> {rank}), k -> k is null or k >= 0), k -> get(array({names}), k))"))
+
+
 def confident_patterns(seen: DataFrame) -> DataFrame:
     """(context, kind, confidence, support) of the patterns that may name new instances. seen: context, instance, kind."""
     edges = written(seen.groupBy("context", "instance").agg(F.max("kind").alias("seed")), "pattern-edges")
-    known = edges.filter("seed is not null").groupBy("instance").agg(F.max("seed").alias("kind")).withColumn("belief", F.lit(1.0))
-    for step in range(ROUNDS):
-        total = edges.groupBy("context").agg(F.count("*").alias("n"))
+    known = written(edges.filter("seed is not null").groupBy("instance").agg(F.max("seed").alias("kind")).withColumn("belief", F.lit(1.0)), "seeds")
+    seeds, before = known, None
+    total = written(edges.groupBy("context").agg(F.count("*").alias("n")), "pattern-sizes")
+    while True:
         held = edges.join(known, "instance").groupBy("context", "kind").agg(F.sum("belief").alias("mass"), F.count(F.when(F.col("belief") >= 1, 1)).alias("support"))
-        patterns = held.join(total, "context").select("context", "kind", (F.col("mass") / (F.col("n") + SMOOTHING)).alias("confidence"), "support").filter(f"confidence >= {CONFIDENCE} and support >= {SUPPORT}")
-        if step < ROUNDS - 1:
-            new = edges.filter("seed is null").join(patterns, "context").groupBy("instance", "kind").agg(F.max("confidence").alias("belief"))
-            seeds = edges.filter("seed is not null").groupBy("instance").agg(F.max("seed").alias("kind")).withColumn("belief", F.lit(1.0))
-            known = written(seeds.unionByName(new.join(seeds.select("instance"), "instance", "left_anti")), "believed-instances")
+        sure = held.join(total, "context").select("context", "kind", (F.col("mass") / (F.col("n") + SMOOTHING)).alias("confidence"), "support")
+        patterns = written(sure.filter((F.col("confidence") >= CONFIDENCE) & (F.col("support") >= SUPPORT)), "patterns")
+        now = patterns.agg(F.count("*"), F.coalesce(F.sum("confidence"), F.lit(0.0))).first()
+        if now[0] == (before or (0, 0))[0] and (before is None or now[1] - before[1] <= SETTLED * now[0]):
+            break
+        before = now
+        new = edges.filter("seed is null").join(patterns, "context").groupBy("instance", "kind").agg(F.max("confidence").alias("belief"))
+        known = written(seeds.unionByName(new.join(seeds.select("instance"), "instance", "left_anti")), "believed-instances")
     return patterns.groupBy("context").agg(F.max_by(F.struct("kind", "support"), "confidence").alias("k"), F.max("confidence").alias("confidence")).select("context", "k.kind", "k.support", "confidence")
 
 
@@ -130,23 +168,29 @@ def _with_found(rows: DataFrame) -> DataFrame:
 
 def masked_text(text: str, spans: str) -> Column:
     """The text with each span (overlapping ones as one) replaced by its kind in brackets."""
-    return F.expr(f"""if(size({spans}) = 0, {text}, concat(
-        array_join(transform({spans}, (x, i) -> if(i > 0 and x.start < array_max(transform(slice({spans}, 1, i), y -> y.`end`)), '',
-            concat(substring({text}, cast(if(i = 0, 0, array_max(transform(slice({spans}, 1, i), y -> y.`end`))) + 1 as int), cast(x.start - if(i = 0, 0, array_max(transform(slice({spans}, 1, i), y -> y.`end`))) as int)), '[', upper(replace(x.kind, 'found_', '')), ']'))), ''),
-        substring({text}, cast(array_max(transform({spans}, y -> y.`end`)) + 1 as int))))""")
+    low, high = f"greatest(A - k * {BLOCK}, 0)", f"least(Z - k * {BLOCK}, {BLOCK})"
+    cut = f"if(Z <= A, '', array_join(transform(sequence(A div {BLOCK}, (Z - 1) div {BLOCK}), k -> substring(get(b, cast(k as int)), cast({low} + 1 as int), cast({high} - {low} as int))), ''))"
+    piece = lambda a, z: cut.replace("A", a).replace("Z", z)
+    one = f"if(i > 0 and x.start < p, '', concat({piece('p', 'x.start')}, '[', upper(replace(x.kind, 'found_', '')), ']'))"
+    each = f"transform(s, (x, i) -> {_let('p', 'if(i = 0, 0L, get(m, i - 1))', one)})"
+    reach = _running("transform(s, x -> x.`end`)", "greatest(a, y)")
+    rest = piece("get(m, size(m) - 1)", f"length({text})")
+    whole = _let("s", spans, _let("m", reach, _let("b", f"regexp_extract_all({text}, '(?s).{{1,{BLOCK}}}', 0)", f"concat(array_join({each}, ''), {rest})")))
+    return F.expr(f"if(size({spans}) = 0, {text}, {whole})")
 
 
 def mask(docs: DataFrame, *, key: str = "doc_id", text: str = "text", size: str = "n_chars") -> DataFrame:
-    """docs with personal data masked in the text, and its length in `size` where docs have that column."""
-    rows = written(scanned(docs, key=key, text=text), "private-rows")
-    found = _found(rows, [key, "text_hash"]).select(F.col(key).alias("__key"), F.col("text_hash").alias("__hash"), "found")
-    mine = with_base(docs.withColumn("__text", native.whole(text)), "__text", "__base")
-    joined = mine.join(found, F.col(key).eqNullSafe(F.col("__key")) & (F.xxhash64("__text") == F.col("__hash")), "left")
-    spans = joined.withColumn("__spans", F.array_sort(F.concat("__base", F.coalesce("found", F.expr("slice(__base, 1, 0)")))))
-    out = spans.withColumn(text, F.when(F.col(text).isNotNull(), masked_text("__text", "__spans")))
+    """docs with personal data masked in the text, and its length in `size` where docs have that column. Columns are kept
+    in one struct meanwhile, so that none is overwritten."""
+    found = _found(written(scanned(docs, key=key, text=text), "private-rows"), [key, "text_hash"]).toDF("__key", "__hash", "found")
+    mine = with_base(docs.select(F.struct(*docs.columns).alias("docs"), native.whole(text).alias("text")), "text", "base")
+    joined = mine.join(found, F.col(f"docs.{key}").eqNullSafe(F.col("__key")) & (F.xxhash64("text") == F.col("__hash")), "left")
+    spans = joined.withColumn("spans", F.array_sort(F.concat("base", F.coalesce("found", F.expr("slice(base, 1, 0)")))))
+    masked = spans.withColumn("masked", F.when(F.col(f"docs.{text}").isNotNull(), masked_text("text", "spans")))
+    out = {text: F.col("masked")}
     if size in docs.columns:
-        out = out.withColumn(size, F.when(F.size("__spans") > 0, F.length(text)).otherwise(F.col(size)).cast(docs.schema[size].dataType))
-    return out.select(docs.columns)
+        out[size] = F.when(F.size("spans") > 0, F.length("masked")).otherwise(F.col(f"docs.{size}")).cast(docs.schema[size].dataType)
+    return masked.select(*[out.get(c, F.col(f"docs.{c}")).alias(c) for c in docs.columns])
 
 
 def _listed(spans: str) -> Column:

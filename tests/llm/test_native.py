@@ -1,5 +1,7 @@
 import hashlib
+import random
 import re
+import time
 from collections import Counter
 
 import duckdb
@@ -172,6 +174,49 @@ def test_sure_patterns_find_unseen_identifiers(spark):
     assert found[101] == []
 
 
+def test_unseen_identifiers_are_found_and_others_left_alone(spark):
+    """Recall and false alarms on planted identifiers that no base pattern matches, behind patterns learned from seeds."""
+    rng = random.Random(4)
+    word = lambda: "".join(rng.choice("abcdefghiklmnoprst") for _ in range(rng.randint(3, 9)))
+    digits = lambda n: "".join(rng.choice("0123456789") for _ in range(n))
+    seeds = {
+        ("write to", "email"): lambda: f"{word()}@{word()}.org", ("reach me", "email"): lambda: f"{word()}.{word()}@mail.net",
+        ("host address", "ip"): lambda: f"10.{rng.randint(0, 255)}.7.{rng.randint(0, 255)}", ("call us", "phone"): lambda: f"+49 {digits(4)} {digits(6)}"}
+    unseen = {"email": lambda: f"{word()}{digits(2)}", "ip": lambda: f"fe80::{digits(4)}:{digits(2)}", "phone": lambda: f"0{digits(3)}-{digits(6)}"}
+    rows, planted = [], {}
+    for i in range(600):
+        (context, kind), value = rng.choice(list(seeds.items()))
+        rows.append((i, f"{word()} {word()} {context} {value()} {word()}"))
+    for i in range(600, 700):
+        context, kind = rng.choice(list(seeds))
+        value = unseen[kind]()
+        before = f"{word()} {word()} {word() * 20} {context} "
+        rows.append((i, f"{before}{value} {word()}"))
+        planted[i] = [(len(before), len(before) + len(value), f"found_{kind}")]
+    rows += [(i, f"{word()} {rng.choice(['in the', 'there were', 'page number'])} {digits(3)} {word()}") for i in range(700, 1000)]
+    found = private.find_private(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    new = {r["doc_id"]: [(x["start"], x["end"], x["kind"]) for x in r["spans"] if x["kind"].startswith("found_")] for r in found}
+    assert sum(new[i] == planted[i] for i in planted) >= 0.9 * len(planted)
+    assert not any(new[i] for i in new if i not in planted)
+
+
+def test_a_text_of_many_matches(spark):
+    """Running places are those of a search, and cost about n * sqrt(n)."""
+    text = " ".join(f"é mail x{i}@b.org or {i}" if i % 3 else f"call +1 (743) 555-{i:05} 10.0.0.1" for i in range(32_000))
+    df = spark.createDataFrame([(1, text)], "doc_id long, text string")
+    began = time.monotonic()
+    found = private.find_private(df).first()
+    masked = private.mask(df).first()["text"]
+    assert time.monotonic() - began < 60
+    assert [tuple(x) for x in found["base"]] == _private(text)
+    spans, at, out = [tuple(x) for x in found["spans"]], 0, []
+    for start, _, end, kind in spans:
+        if not out or start >= at:
+            out.append(text[at:start] + f"[{kind.replace('found_', '').upper()}]")
+        at = max(at, end)
+    assert masked == "".join(out) + text[at:]
+
+
 def test_quotes_are_linked_and_removed(spark):
     rows = [
         (1, 0, "user", "Where is the ship now? It should be at the berth."), (1, 1, "assistant", "On Monday A wrote:\n> Where is the ship\n> now?\nIt left the terminal at noon today."),
