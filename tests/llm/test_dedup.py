@@ -103,6 +103,19 @@ def test_substrings_are_removed_as_by_brute_force(docs, rows):
     assert sum(k[2] for k in expected) > 0
 
 
+def test_words_that_collide_under_polynomials_are_told_apart(spark):
+    a, b = "a", "b"
+    while len(a) < 2048:
+        a, b = a + b, b + a
+    rows = [(1, " ".join([a] * 40)), (2, " ".join([b] * 40)), (3, " ".join([a, *"cdefg"])), (4, " ".join([b, *"cdefg"])), (5, a), (6, b)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    found = near_dedup.near_duplicates(df).collect()
+    assert Counter((r["doc_id"], r["n_shingles"], r["component_id"]) for r in found) == _components(rows)
+    mixed = [(1, " ".join([a, *map(str, range(40))])), (2, " ".join([b, *map(str, range(40))]))]
+    repeats = {r["doc_id"]: r["repeats"] for r in substrings.remove_repeats(spark.createDataFrame(mixed, "doc_id long, text string")).collect()}
+    assert [[(s["first_word"], s["end_word"]) for s in repeats[i]] for i in (1, 2)] == [[(1, 41)], [(1, 41)]]
+
+
 def test_repeated_spans_tell_the_removed_words(docs):
     for r in substrings.remove_repeats(docs).collect():
         assert sum(s["end_word"] - s["first_word"] for s in r["repeats"]) == r["n_removed"]
