@@ -100,6 +100,7 @@ def mix(docs: DataFrame, **options) -> DataFrame:
     plan, taken = queue(numbered, row, **options)
     empty = plan.filter("size = 0").select("row", F.lit(1).alias("round"), F.lit(0.0).alias("virtual_finish"))
     copies = taken.select("row", "round", "virtual_finish").unionByName(empty).toDF(row, round_, finish)
+    copies = written(copies, "mix-copies")  # its size tells whether texts must be shuffled to meet it
     return numbered.join(copies, row).select(*docs.columns, round_, finish).orderBy(finish)
 
 

@@ -183,6 +183,7 @@ def mask(docs: DataFrame, *, key: str = "doc_id", text: str = "text", size: str
     """docs with personal data masked in the text, and its length in `size` where docs have that column. Columns are kept
     in one struct meanwhile, so that none is overwritten."""
     found = _found(written(scanned(docs, key=key, text=text), "private-rows"), [key, "text_hash"]).toDF("__key", "__hash", "found")
+    found = written(found, "private-found")  # its size tells whether texts must be shuffled to meet it
     mine = with_base(docs.select(F.struct(*docs.columns).alias("docs"), native.whole(text).alias("text")), "text", "base")
     joined = mine.join(found, F.col(f"docs.{key}").eqNullSafe(F.col("__key")) & (F.xxhash64("text") == F.col("__hash")), "left")
     spans = joined.withColumn("spans", F.array_sort(F.concat("base", F.coalesce("found", F.expr("slice(base, 1, 0)")))))
