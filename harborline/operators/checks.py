@@ -38,6 +38,12 @@ def references(child: DataFrame, column: str, parent: DataFrame, parent_column:
     return _tagged(orphan, f"references_{column}", F.col(column))
 
 
+def counts(tables: dict[str, DataFrame]) -> DataFrame:
+    """One row: the number of rows of each table."""
+    each = [df.agg(F.count("*").alias(name)) for name, df in tables.items()]
+    return reduce(DataFrame.crossJoin, each)
+
+
 def report(checks: list[DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, checks)
 

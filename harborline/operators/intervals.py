@@ -1,7 +1,7 @@
 """Intervals as two columns: clipping, days, sweep lines, elementary intervals, joins by time.
 
-None of the joins here is a nested loop over two tables: day joins explode an interval to the days it touches, and joins
-by containment have an equality besides.
+None of the joins here is a nested loop over two tables: joins by containment have an equality besides. Sums by day take
+steps at an interval's first and last days; only what needs a row for each day of an interval (`by_day`) makes them.
 """
 
 from pyspark.sql import DataFrame, Window
@@ -29,6 +29,28 @@ def by_day(df: DataFrame, start: str, end: str, out: str = "metric_date") -> Dat
     return df.filter(touched).withColumn(out, F.explode(F.sequence(F.to_date(start), last, F.expr("interval 1 day"))))
 
 
+def daily_use(df: DataFrame, start: str, end: str, out: str = "metric_date") -> DataFrame:
+    """out, active (intervals that touch the day), minutes (that they cover of it), for each day that any touches.
+
+    An interval gives four rows at most, however long it is: steps where it starts and ends to touch days and to cover them in
+    full, and the minutes of its first and last day. Steps are summed by day; the running sums go over days alone.
+    """
+    low, high = F.col(start).cast("timestamp"), F.col(end).cast("timestamp")
+    first, last = F.to_date(low), F.to_date(high - F.expr("interval 1 microsecond"))
+    step = lambda day, active, full, minutes: F.struct(day.alias(out), F.lit(active).alias("active"), F.lit(full).alias("full"), minutes.alias("minutes"))
+    none = F.lit(0.0)
+    one = [step(first, 1, 0, minutes_between(low, F.least(high, F.date_add(first, 1).cast("timestamp")))), step(F.date_add(last, 1), -1, 0, none)]
+    more = [step(F.date_add(first, 1), 0, 1, none), step(last, 0, -1, minutes_between(last.cast("timestamp"), high))]
+    steps = df.filter(high > low).select(F.inline(F.when(last > first, F.array(*one, *more)).otherwise(F.array(*one))))
+    sums = steps.groupBy(out).agg(*[F.sum(c).alias(c) for c in ("active", "full", "minutes")])
+    days = calendar(sums.agg(F.min(out).alias("low"), F.max(out).alias("high")), "low", "high", out)
+    running = Window.orderBy(out).rowsBetween(Window.unboundedPreceding, 0)
+    zero = lambda c: F.coalesce(F.col(c), F.lit(0))
+    return days.join(sums, out, "left").select(
+        out, F.sum(zero("active")).over(running).alias("active"), (F.sum(zero("full")).over(running) * 1440.0 + zero("minutes")).alias("minutes"),
+    ).filter("active > 0")
+
+
 def day_overlap_minutes(start: str, end: str, day: str):
     low, high = F.col(day).cast("timestamp"), F.date_add(day, 1).cast("timestamp")
     return F.greatest(minutes_between(F.greatest(F.col(start).cast("timestamp"), low), F.least(F.col(end).cast("timestamp"), high)), F.lit(0.0))

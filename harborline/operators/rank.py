@@ -15,9 +15,16 @@ def best_record(df: DataFrame, keys: list[str], wanted: list[str], newest: str)
     return first_per_key(df, keys, [*[F.col(c).isNotNull().desc() for c in wanted], F.col(newest).desc_nulls_last()])
 
 
-def numbered(df: DataFrame, order: list[Column], out: str) -> DataFrame:
-    """A surrogate number over all rows; one window for all rows, so for tables of calls, not of positions."""
-    return df.withColumn(out, F.row_number().over(Window.orderBy(*order)).cast("long"))
+def numbered(df: DataFrame, order: list[Column], out: str, cell: Column | None = None) -> DataFrame:
+    """A surrogate number over all rows. With a cell that rises with the order (such as the day of a time), rows are numbered
+    within cells, and only the counts of cells go through one window; without one, all rows do."""
+    if cell is None:
+        return df.withColumn(out, F.row_number().over(Window.orderBy(*order)).cast("long"))
+    placed = df.withColumn("__cell", cell)
+    before = F.sum("n").over(Window.orderBy("__cell").rowsBetween(Window.unboundedPreceding, -1))
+    starts = placed.groupBy("__cell").agg(F.count("*").alias("n")).select(F.col("__cell").alias("__of"), F.coalesce(before, F.lit(0)).alias("__before"))
+    number = F.col("__before") + F.row_number().over(Window.partitionBy("__cell").orderBy(*order))
+    return placed.join(starts, F.col("__cell").eqNullSafe(F.col("__of"))).withColumn(out, number.cast("long")).drop("__cell", "__of", "__before")
 
 
 def ranked(df: DataFrame, keys: list[str], order: list[Column], out: str = "rank") -> DataFrame:

@@ -1,6 +1,6 @@
 """Aggregates: exact percentiles, weighted means, point-in-time baselines, profiles."""
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from harborline.functions.numbers import round_half_up
@@ -47,11 +47,17 @@ def null_profile(df: DataFrame) -> DataFrame:
 
 
 def pit_history(days: DataFrame, day: str, df: DataFrame, keys: list[str], ended: str, value: str) -> DataFrame:
-    """day, keys, n and p50, p75, p90, p95 of the values of all rows that ended before the day began.
+    """day, keys, history_calls and p50, p75, p90, p95 of the values of all rows that ended before the day began; for days with any.
 
-    Values are summed up by end day first; the join of days with earlier end days is one of dates, not of rows.
+    One pass over each key's days in order: values are gathered by end day, and a window keeps those of all earlier days. No
+    row is repeated for later days. Exact percentiles of a key need its values together; they are of the size of calls.
     """
-    daily = df.groupBy(*keys, F.to_date(ended).alias("__ended")).agg(F.collect_list(value).alias("__values"))
-    joined = days.select(day).join(daily, F.col("__ended") < F.col(day))
-    each = joined.select(day, *keys, F.explode("__values").alias("__value"))
-    return each.groupBy(day, *keys).agg(F.count("*").alias("history_calls"), *percentiles("__value", (0.5, 0.75, 0.9, 0.95)))
+    daily = df.groupBy(*keys, F.to_date(ended).alias(day)).agg(F.collect_list(value).alias("__values")).withColumn("__asked", F.lit(False))
+    grid = df.select(*keys).distinct().crossJoin(days.select(day).distinct()) if keys else days.select(day).distinct()
+    both = daily.unionByName(grid.withColumns({"__values": F.lit(None).cast("array<double>"), "__asked": F.lit(True)}))
+    earlier = Window.partitionBy(*keys).orderBy(F.unix_date(day)).rangeBetween(Window.unboundedPreceding, -1)
+    known = both.withColumn("__known", F.sort_array(F.flatten(F.collect_list("__values").over(earlier)))).filter(F.col("__asked") & (F.size("__known") > 0))
+    place = lambda p: (F.size("__known") - 1) * F.lit(p)
+    at = lambda p, f: F.get("__known", f(place(p)).cast("int"))
+    each = [(at(p, F.floor) + (at(p, F.ceil) - at(p, F.floor)) * (place(p) - F.floor(place(p)))).alias(f"p{round(100 * p)}_minutes") for p in (0.5, 0.75, 0.9, 0.95)]
+    return known.select(day, *keys, F.size("__known").cast("long").alias("history_calls"), *each)

@@ -80,7 +80,7 @@ def anchorage(points: DataFrame, eps: float = 200.0, min_samples: int = 20, vess
 
 
 #: Speeds (from, below) and greatest distance to a berth in metres of what each zone type is drawn from.
-EVIDENCE = {"manoeuvre": (0.5, 2.0, 1500.0), "channel": (2.0, None, 3000.0), "approach": (None, None, 2500.0)}
+EVIDENCE = {"manoeuvring_basin": (0.5, 2.0, 1500.0), "shipping_channel": (2.0, None, 3000.0), "approach": (None, None, 2500.0)}
 
 
 def evidence(points: DataFrame, zone_type: str, least: int = 20) -> DataFrame:

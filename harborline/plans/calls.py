@@ -25,7 +25,7 @@ def port_calls(hits: DataFrame, config: Config = DEFAULT) -> DataFrame:
         F.min("distance_metres").alias("closest_distance_metres"), F.avg("speed_knots").alias("average_speed_knots"), F.max("speed_knots").alias("maximum_speed_knots"),
     ).withColumn("duration_minutes", minutes_between(F.col("arrival_time"), F.col("departure_time")))
     kept = calls.filter((F.col("duration_minutes") >= config.least_call) & (F.col("position_count") >= config.least_positions)).drop("session_no")
-    return numbered(kept, [F.col("arrival_time"), F.col("mmsi"), F.col("terminal_id")], "port_call_id")
+    return numbered(kept, [F.col("arrival_time"), F.col("mmsi"), F.col("terminal_id")], "port_call_id", F.to_date("arrival_time"))
 
 
 def bounds(df: DataFrame, start: str, end: str) -> DataFrame:
@@ -36,7 +36,7 @@ def bounds(df: DataFrame, start: str, end: str) -> DataFrame:
 def probable_calls(calls: DataFrame, vessels: DataFrame, terminals: DataFrame, dataset: DataFrame, config: Config = DEFAULT) -> DataFrame:
     """Calls long, slow and near enough, by large tankers, at the terminal; with flags for calls cut by the dataset's ends."""
     minutes, speed, distance, types, length, width = config.probable
-    joined = calls.join(F.broadcast(terminals.select("terminal_id", "terminal_name")), "terminal_id").join(vessels.select("mmsi", "imo", "vessel_name", "vessel_type", "length_metres", "width_metres"), "mmsi")
+    joined = calls.join(terminals.select("terminal_id", "terminal_name"), "terminal_id").join(vessels.select("mmsi", "imo", "vessel_name", "vessel_type", "length_metres", "width_metres"), "mmsi")
     chosen = joined.filter(
         (F.col("terminal_name") == config.terminal_name) & (F.col("duration_minutes") >= minutes) & (F.col("average_speed_knots") <= speed)
         & (F.col("closest_distance_metres") <= distance) & F.col("vessel_type").between(*types)
@@ -57,7 +57,7 @@ def gap_analysis(calls: DataFrame, positions: DataFrame, terminals: DataFrame) -
     from harborline.functions.spatial import distance_m
 
     pairs = _pairs(calls).select("terminal_id", "mmsi", "port_call_id", "next_call_id", "departure_time", "next_arrival").join(
-        F.broadcast(terminals.select("terminal_id", F.col("latitude").alias("__lat"), F.col("longitude").alias("__lon"), "detection_radius_metres")), "terminal_id")
+        terminals.select("terminal_id", F.col("latitude").alias("__lat"), F.col("longitude").alias("__lon"), "detection_radius_metres"), "terminal_id")
     here = positions.select(F.col("mmsi").alias("__mmsi"), "recorded_at", "latitude", "longitude")
     inside = (F.col("recorded_at") > F.col("departure_time")) & (F.col("recorded_at") < F.col("next_arrival"))
     joined = pairs.join(here, (F.col("mmsi") == F.col("__mmsi")) & inside, "left")
@@ -90,7 +90,7 @@ def validated_calls(probable: DataFrame, outages: DataFrame, config: Config = DE
         "duration_minutes": minutes_between(F.col("arrival_time"), F.col("departure_time")),
         "validation_method": first_match([(F.col("source_call_count") > 1, "merged_across_source_outage")], "original_probable_call"),
     }).drop("group_no")
-    return numbered(merged, [F.col("arrival_time"), F.col("mmsi"), F.col("terminal_id")], "validated_call_id")
+    return numbered(merged, [F.col("arrival_time"), F.col("mmsi"), F.col("terminal_id")], "validated_call_id", F.to_date("arrival_time"))
 
 
 def confirmed_calls(validated: DataFrame, registry: DataFrame) -> DataFrame:

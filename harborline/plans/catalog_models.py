@@ -5,10 +5,11 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from harborline.functions import spatial
 from harborline.operators import rank, sessions
 from harborline.plans import calls as call_plans
-from harborline.plans import enrichment, serve, terminal
-from harborline.plans.catalog_operators import MINUTES, R4, _zones, events, ntz, r4, table
+from harborline.plans import enrichment, gates, serve, terminal
+from harborline.plans.catalog_operators import MINUTES, R4, events, ntz, r4, table
 from harborline.plans.config import Config
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -36,10 +37,11 @@ ops as (select row_number() over (order by a, user_id)::bigint as validated_call
   case session_no % 5 when 0 then 'inbound_only' when 1 then 'outbound_only' when 2 then 'berth_only' else 'full' end as movement_coverage from c),
 ds as (select min(ts) as dataset_start, max(ts) as dataset_end from events),
 el as (select * from ops where movement_coverage = 'full' and berth_detection_confidence = 'high' and berth_continuity <> 'review'),
-bb as (select berth_zone_code, count(*)::bigint as n, quantile_cont(berth_duration_minutes, 0.5) as p50, quantile_cont(berth_duration_minutes, 0.75) as p75, quantile_cont(berth_duration_minutes, 0.9) as p90, quantile_cont(berth_duration_minutes, 0.95) as p95 from el group by 1),
-tb as (select count(*)::bigint as n, quantile_cont(berth_duration_minutes, 0.5) as p50, quantile_cont(berth_duration_minutes, 0.75) as p75, quantile_cont(berth_duration_minutes, 0.9) as p90, quantile_cont(berth_duration_minutes, 0.95) as p95 from el),
+bb as (select berth_zone_code, count(*)::bigint as n, quantile_cont(berth_duration_minutes, 0.5) as p50, quantile_cont(berth_duration_minutes, 0.75) as p75, quantile_cont(berth_duration_minutes, 0.9) as p90, quantile_cont(berth_duration_minutes, 0.95) as p95, quantile_cont(berth_duration_minutes, 0.75) - quantile_cont(berth_duration_minutes, 0.25) as iqr from el group by 1),
+tb as (select count(*)::bigint as n, quantile_cont(berth_duration_minutes, 0.5) as p50, quantile_cont(berth_duration_minutes, 0.75) as p75, quantile_cont(berth_duration_minutes, 0.9) as p90, quantile_cont(berth_duration_minutes, 0.95) as p95, quantile_cont(berth_duration_minutes, 0.75) - quantile_cont(berth_duration_minutes, 0.25) as iqr from el),
 d0 as (select ops.*, case when bb.n >= 5 then 'berth' else 'terminal' end as baseline_scope, case when bb.n >= 5 then bb.n else tb.n end as baseline_sample_size, case when bb.n >= 5 then bb.p50 else tb.p50 end as expected,
-  case when bb.n >= 5 then bb.p75 else tb.p75 end as p75, case when bb.n >= 5 then bb.p90 else tb.p90 end as p90, case when bb.n >= 5 then bb.p95 else tb.p95 end as p95,
+  case when bb.n >= 5 then bb.p75 else tb.p75 end as p75, case when bb.n >= 5 then bb.p90 else tb.p90 end as p90, case when bb.n >= 5 then bb.p95 else tb.p95 end as p95, case when bb.n >= 5 then bb.iqr else tb.iqr end as iqr,
+  berth_arrival_time <= dataset_start + interval 10 minutes as left_censored, berth_departure_time >= dataset_end - interval 10 minutes as right_censored,
   case when berth_arrival_time <= dataset_start + interval 10 minutes or berth_departure_time >= dataset_end - interval 10 minutes then 'censored' when berth_continuity = 'review' then 'review' when berth_continuity = 'moderate_gap' then 'usable_with_gap' when berth_detection_confidence <> 'high' then 'lower_confidence' else 'usable' end as delay_quality
   from ops left join bb using (berth_zone_code) cross join tb cross join ds),
 dl as (select *, greatest(berth_duration_minutes - expected, 0) as delay, case when delay_quality in ('censored', 'review', 'lower_confidence') then 'unscored' when berth_duration_minutes <= p75 then 'normal' when berth_duration_minutes <= p90 then 'elevated' when berth_duration_minutes <= p95 then 'high' else 'severe' end as delay_band from d0),
@@ -89,7 +91,7 @@ def _operations(spark: SparkSession, sf_dir: str) -> DataFrame:
         "session_no", F.col("user_id").alias("mmsi"), F.concat(F.lit("B"), (F.col("user_id") % 3 + 1).cast("string")).alias("berth_zone_code"), F.col("start_time").alias("berth_arrival_time"), F.col("end_time").alias("berth_departure_time"),
         F.col("duration_minutes").alias("berth_duration_minutes"), F.when(F.col("point_count") >= 4, "high").otherwise("medium").alias("berth_detection_confidence"),
         ladder(7, ("review", "moderate_gap", "minor_gaps"), "continuous").alias("berth_continuity"), ladder(5, ("inbound_only", "outbound_only", "berth_only"), "full").alias("movement_coverage"))
-    return rank.numbered(named, [F.col("berth_arrival_time"), F.col("mmsi")], "validated_call_id").drop("session_no")
+    return rank.numbered(named, [F.col("berth_arrival_time"), F.col("mmsi")], "validated_call_id", F.to_date("berth_arrival_time")).drop("session_no")
 
 
 def _dataset(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -103,10 +105,13 @@ def _models(spark: SparkSession, sf_dir: str, *cached: str) -> dict[str, DataFra
     return terminal.analytics(cut(_operations(spark, sf_dir)), _dataset(spark, sf_dir), keep=lambda name, df: cut(df) if name in cached else df)
 
 
-@query(CHAIN + f"select validated_call_id, mmsi, baseline_scope, baseline_sample_size, {R4.format('expected')} as expected, {R4.format('delay')} as delay, delay_quality, delay_band from dl")
+_DELAYS = {"expected": "expected_duration_minutes", "delay": "estimated_delay_minutes", "berth_duration_minutes - expected": "duration_variance_minutes", "delay / 60": "estimated_delay_hours", "p75": "p75_minutes", "p90": "p90_minutes", "p95": "p95_minutes", "iqr": "baseline_iqr_minutes"}
+
+
+@query(CHAIN + f"select validated_call_id, mmsi, baseline_scope, baseline_sample_size, {', '.join(R4.format(k) + ' as ' + v for k, v in _DELAYS.items())}, left_censored, right_censored, delay_quality, delay_band from dl")
 def delay_bands_fallback(spark, sf_dir):
     d = _models(spark, sf_dir)["call_delay_metrics"]
-    return d.select("validated_call_id", "mmsi", "baseline_scope", "baseline_sample_size", r4(F.col("expected_duration_minutes")).alias("expected"), r4(F.col("estimated_delay_minutes")).alias("delay"), "delay_quality", "delay_band")
+    return d.select("validated_call_id", "mmsi", "baseline_scope", "baseline_sample_size", *[r4(F.col(c)).alias(c) for c in _DELAYS.values()], "left_censored", "right_censored", "delay_quality", "delay_band")
 
 
 @query(CHAIN + f", z as (select berth_zone_code, s, e from cl), ev as (select berth_zone_code, s as t, 1 as d from z union all select berth_zone_code, e, -1 from z), g as (select berth_zone_code, t, sum(d) as d from ev group by 1, 2), o as (select berth_zone_code, t, sum(d) over (partition by berth_zone_code order by t rows unbounded preceding) as occ, lead(t) over (partition by berth_zone_code order by t) as u from g), oc as (select berth_zone_code, sum((epoch_us(u) - epoch_us(t)) / 6e7) as minutes from o where occ > 0 and u is not null group by 1) select berth_zone_code, count(*)::bigint as total_calls, count(*) filter (where delay_band <> 'unscored')::bigint as scored_calls, count(*) filter (where delay_band = 'severe')::bigint as severe_delay_calls, {R4.format('quantile_cont(berth_duration_minutes, 0.5)')} as median, {R4.format('quantile_cont(berth_duration_minutes, 0.9)')} as p90, {R4.format('avg(delay) filter (where delay_band <> $$unscored$$)')} as mean_delay, {R4.format('max(minutes)')} as occupied_minutes, {R4.format('max(minutes) * 100.0 / max((epoch_us(dataset_end) - epoch_us(dataset_start)) / 6e7)')} as utilisation_pct from dl join oc using (berth_zone_code) cross join ds group by 1")
@@ -115,9 +120,9 @@ def berth_performance(spark, sf_dir):
     return b.select("berth_zone_code", "total_calls", "scored_calls", "severe_delay_calls", r4(F.col("median_duration_minutes")).alias("median"), r4(F.col("p90_duration_minutes")).alias("p90"), r4(F.col("mean_estimated_delay_minutes")).alias("mean_delay"), r4(F.col("occupied_minutes")).alias("occupied_minutes"), r4(F.col("utilisation_pct")).alias("utilisation_pct"))
 
 
-@query(CHAIN + "select interval_start, interval_end, occupied_berths, active_calls from oi")
+@query(CHAIN + f"select interval_start, interval_end, occupied_berths, active_calls, {R4.format(MINUTES.format(a='interval_start', b='interval_end'))} as duration_minutes from oi")
 def occupancy_elementary_intervals(spark, sf_dir):
-    return ntz(_models(spark, sf_dir)["occupancy_intervals"])
+    return ntz(_models(spark, sf_dir)["occupancy_intervals"].withColumn("duration_minutes", r4(F.col("duration_minutes"))))
 
 
 _DAILY = ("occupied_berth_minutes", "terminal_utilisation_pct", "mean_occupied_berths", "mean_arrival_delay_minutes")
@@ -183,13 +188,32 @@ def daily_movements(spark, sf_dir):
 # --- positions to calls ----------------------------------------------------------------------------------------------
 
 _CONFIG = Config(call_gap=720, episode_gap=720, call_margin=120, least_call=30)
-_ZONED = "(values ('A', 'berth', 10, -93.90, -93.86, 29.70, 29.76), ('B', 'berth', 10, -93.88, -93.84, 29.72, 29.74), ('C', 'approach', 30, -94.0, -93.82, 29.6, 29.9)) z(zone_code, zone_type, zone_priority, x0, x1, y0, y1)"
+_box = lambda x0, x1, y0, y1: [(x0, y0), (x1, y0), (x1, y1), (x0, y1)]
+#: zone_code, type, priority, valid from, valid to, outer ring (convex, counter-clockwise), hole.
+_ZONED = [
+    ("A", "berth", 10, "2024-01-08", None, _box(-93.9003, -93.8703, 29.7103, 29.7403), None),
+    ("B", "berth", 10, None, None, [(-93.8803, 29.7203), (-93.8403, 29.7253), (-93.8353, 29.7453), (-93.8753, 29.7403)], None),
+    ("C", "approach", 30, None, None, _box(-94.0003, -93.8203, 29.6003, 29.9003), _box(-93.8603, -93.8303, 29.6953, 29.7153)),
+    ("D", "shipping_channel", 20, None, None, [(-93.9303, 29.7503), (-93.7903, 29.7553), (-93.7903, 29.7653), (-93.9303, 29.7603)], None),
+    ("E", "manoeuvring_basin", 15, "2023-01-01", "2025-01-01", [(-93.8603, 29.7403), (-93.8203, 29.7403), (-93.8403, 29.7553)], None),
+    ("F", "anchorage", 25, None, "2024-01-20", _box(-93.8203, -93.8003, 29.6903, 29.7503), None)]
+
+
+def _inside(ring: list[tuple[float, float]]) -> str:
+    """A convex ring as half planes."""
+    return " and ".join(f"({x1} - ({x0})) * (lat - ({y0})) - ({y1} - ({y0})) * (lon - ({x0})) >= 0" for (x0, y0), (x1, y1) in zip(ring, [*ring[1:], ring[0]], strict=True))
+
+
+_HITS = " union all ".join(
+    f"select mmsi, recorded_at, speed_knots, '{code}' as zone_code, '{kind}' as zone_type, {order} as zone_priority from pos where {_inside(ring)}" + (f" and not ({_inside(hole)})" if hole else "")
+    + (f" and recorded_at::date >= date '{low}'" if low else "") + (f" and recorded_at::date < date '{high}'" if high else "")
+    for code, kind, order, low, high, ring, hole in _ZONED)
 POSITIONS = f"""
 with pos as (select user_id as mmsi, ts as recorded_at, value / 490.0 as speed_knots, -93.92 + (event_id * 37 % 1000) / 1000.0 * 0.12 as lon, 29.69 + (event_id * 91 % 1000) / 1000.0 * 0.08 as lat from events),
 m as (select mmsi, recorded_at, case when lag(recorded_at) over w is null or {MINUTES.format(a='lag(recorded_at) over w', b='recorded_at')} > 720 then 1 else 0 end as s from pos window w as (partition by mmsi order by recorded_at)),
 n as (select *, sum(s) over (partition by mmsi order by recorded_at rows unbounded preceding) as k from m),
 calls as (select row_number() over (order by min(recorded_at), mmsi)::bigint as validated_call_id, mmsi, min(recorded_at) as arrival_time, max(recorded_at) as departure_time from n group by mmsi, k having count(*) >= 3),
-hits as (select mmsi, recorded_at, speed_knots, zone_code, zone_type, zone_priority from pos join {_ZONED} on lon between x0 and x1 and lat between y0 and y1),
+hits as ({_HITS}),
 pz as (select * from (select *, row_number() over (partition by mmsi, recorded_at order by zone_priority, zone_code) as r from hits) where r = 1),
 st as (select pos.mmsi, pos.recorded_at, pos.speed_knots, zone_code, zone_type from pos left join pz using (mmsi, recorded_at)),
 e1 as (select *, case when lag(recorded_at) over w is null or {MINUTES.format(a='lag(recorded_at) over w', b='recorded_at')} > 720 or lag(zone_code) over w is distinct from zone_code then 1 else 0 end as s from st window w as (partition by mmsi order by recorded_at)),
@@ -217,18 +241,16 @@ def _positions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _typed_zones(spark: SparkSession) -> DataFrame:
-    kinds = {"A": (1, "berth"), "B": (2, "berth"), "C": (3, "approach")}
-    rows = [(code, *kinds[code]) for code in kinds]
-    typed = spark.createDataFrame(rows, "zone_code string, zone_id int, zone_type string")
-    shapes = _zones(spark)
-    wide = F.transform("polygon", lambda ring: F.transform(ring, lambda p: F.struct(F.when((F.col("zone_code") == "C") & (p["x"] > -93.75), F.lit(-93.82)).otherwise(p["x"]).alias("x"), p["y"].alias("y"))))
-    return shapes.withColumn("polygon", wide).join(F.broadcast(typed), "zone_code").withColumns({"terminal_id": F.lit(1), "valid_from": F.lit(None).cast("date"), "valid_to": F.lit(None).cast("date")})
+    rings = lambda *r: [[{"x": x, "y": y} for x, y in ring] for ring in r if ring]
+    rows = [(i, 1, code, kind, order, low, high, rings(ring, hole)) for i, (code, kind, order, low, high, ring, hole) in enumerate(_ZONED, 1)]
+    typed = spark.createDataFrame(rows, f"zone_id int, terminal_id int, zone_code string, zone_type string, zone_priority int, valid_from string, valid_to string, polygon {spatial.POLYGON}")
+    return typed.withColumns({c: F.col(c).cast("date") for c in ("valid_from", "valid_to")})
 
 
 def _calls(spark: SparkSession, sf_dir: str) -> DataFrame:
     marked = sessions.number_islands(_positions(spark, sf_dir), ["mmsi"], "recorded_at", 720)
     c = marked.groupBy("mmsi", "session_no").agg(F.min("recorded_at").alias("arrival_time"), F.max("recorded_at").alias("departure_time"), F.count("*").alias("n")).filter("n >= 3")
-    return rank.numbered(c, [F.col("arrival_time"), F.col("mmsi")], "validated_call_id").select("validated_call_id", "mmsi", "arrival_time", "departure_time")
+    return rank.numbered(c, [F.col("arrival_time"), F.col("mmsi")], "validated_call_id", F.to_date("arrival_time")).select("validated_call_id", "mmsi", "arrival_time", "departure_time")
 
 
 def _primary(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -264,10 +286,20 @@ def berth_stays(spark, sf_dir):
     return ntz(s.select("validated_call_id", "zone_code", F.col("stay_no").cast("long").alias("stay_no"), "start_time", "end_time", "point_count", r4(F.col("stationary_fraction")).alias("stationary_fraction")))
 
 
-@query(POSITIONS + f"select validated_call_id, mmsi, berth_zone_code, a as berth_arrival_time, b as berth_departure_time, fragments::bigint as fragment_count, points::bigint as berth_point_count, {R4.format('largest')} as largest_gap_minutes, {R4.format('greatest(elapsed - observed, 0)')} as bridged_minutes, confidence, continuity from oc2")
+_BERTH = {"largest": "largest_internal_gap_minutes", "observed": "observed_berth_minutes", "greatest(elapsed - observed, 0)": "bridged_minutes", "elapsed": "berth_duration_minutes", "frac": "stationary_fraction"}
+_DIFFERENCES = {MINUTES.format(a="arrival_time", b="a"): "arrival_difference_minutes", MINUTES.format(a="departure_time", b="b"): "departure_difference_minutes"}
+_CALL = "validated_call_id, mmsi, case when berth_zone_code is not null then 1 end as terminal_id, berth_zone_code, a as berth_arrival_time, b as berth_departure_time, fragments::bigint as fragment_count, points::bigint as berth_point_count, confidence as berth_detection_confidence, continuity as berth_continuity"
+_CALL_COLUMNS = ("validated_call_id", "mmsi", "terminal_id", "berth_zone_code", "berth_arrival_time", "berth_departure_time", "fragment_count", "berth_point_count", "berth_detection_confidence", "berth_continuity")
+
+
+def _rounded(columns: dict[str, str]) -> str:
+    return ", ".join(f"{R4.format(k)} as {v}" for k, v in columns.items())
+
+
+@query(POSITIONS + f"select {_CALL}, {_rounded(_BERTH | _DIFFERENCES)}, arrival_time as original_arrival_time, departure_time as original_departure_time from oc2")
 def dominant_berth(spark, sf_dir):
     o = _operational(spark, sf_dir)
-    return ntz(o.select("validated_call_id", "mmsi", "berth_zone_code", "berth_arrival_time", "berth_departure_time", "fragment_count", "berth_point_count", r4(F.col("largest_gap_minutes")).alias("largest_gap_minutes"), r4(F.col("bridged_minutes")).alias("bridged_minutes"), F.col("berth_detection_confidence").alias("confidence"), F.col("berth_continuity").alias("continuity")))
+    return ntz(o.select(*_CALL_COLUMNS, *[r4(F.col(c)).alias(c) for c in (_BERTH | _DIFFERENCES).values()], "original_arrival_time", "original_departure_time"))
 
 
 @query(POSITIONS + "select validated_call_id, episode_number, zone_code, x as start_time, y as end_time, movement_phase from tp")
@@ -276,16 +308,42 @@ def timeline_phases(spark, sf_dir):
     return ntz(t.select("validated_call_id", F.col("episode_number").cast("long").alias("episode_number"), "zone_code", "start_time", "end_time", "movement_phase"))
 
 
-@query(POSITIONS + f"""select validated_call_id, {R4.format(MINUTES.format(a='i0', b='a'))} as inbound_transit, {R4.format(MINUTES.format(a='b', b='o1'))} as outbound_transit, coalesce(inb, 0)::bigint as inbound_episodes, coalesce(ber, 0)::bigint as berth_episodes, coalesce(appr, 0) > 0 as has_inbound_approach,
-case when i0 is not null and o0 is not null then 'full' when i0 is not null then 'inbound_only' when o0 is not null then 'outbound_only' else 'berth_only' end as movement_coverage
-from oc2 left join (select validated_call_id, min(x) filter (where movement_phase = 'inbound') as i0, min(x) filter (where movement_phase = 'outbound') as o0, max(y) filter (where movement_phase = 'outbound') as o1, count(*) filter (where movement_phase = 'inbound') as inb, count(*) filter (where movement_phase = 'berth') as ber, sum({MINUTES.format(a='x', b='y')}) filter (where movement_phase = 'inbound' and zone_type = 'approach') as appr from tp group by 1) using (validated_call_id)""")
+_IN, _OUT = "movement_phase = 'inbound'", "movement_phase = 'outbound'"
+_TIMES = {
+    "first_zone_detection_time": "min(x)", "last_zone_detection_time": "max(y)", "inbound_start_time": f"min(x) filter (where {_IN})",
+    "inbound_approach_time": f"min(x) filter (where {_IN} and zone_type = 'approach')", "inbound_channel_time": f"min(x) filter (where {_IN} and zone_type = 'shipping_channel')",
+    "inbound_manoeuvre_time": f"min(x) filter (where {_IN} and zone_type = 'manoeuvring_basin')", "outbound_start_time": f"min(x) filter (where {_OUT})",
+    "outbound_manoeuvre_time": f"min(x) filter (where {_OUT} and zone_type = 'manoeuvring_basin')", "outbound_channel_time": f"min(x) filter (where {_OUT} and zone_type = 'shipping_channel')",
+    "outbound_approach_exit_time": f"max(y) filter (where {_OUT} and zone_type = 'approach')", "outbound_end_time": f"max(y) filter (where {_OUT})"}
+_EPISODES = {f"{p}_{n}_episodes": f"{w} and zone_type = '{z}'" for p, w in (("inbound", _IN), ("outbound", _OUT)) for n, z in (("approach", "approach"), ("channel", "shipping_channel"), ("manoeuvre", "manoeuvring_basin"))}
+_EPISODES |= {"inbound_episode_count": _IN, "outbound_episode_count": _OUT, "very_short_episode_count": MINUTES.format(a="x", b="y") + " < 2", "total_timeline_episodes": "true"}
+_FLAGS = {f"has_{c.removesuffix('_time').removesuffix('_exit')}": c for c in ("inbound_approach_time", "inbound_channel_time", "inbound_manoeuvre_time", "outbound_manoeuvre_time", "outbound_channel_time", "outbound_approach_exit_time")}
+_MOVES = {MINUTES.format(a="inbound_start_time", b="a"): "inbound_transit_minutes", MINUTES.format(a="b", b="outbound_end_time"): "outbound_transit_minutes", MINUTES.format(a="first_zone_detection_time", b="last_zone_detection_time"): "observed_terminal_cycle_minutes"}
+
+
+@query(POSITIONS + f""", mv as (select validated_call_id, {', '.join(f"{v} as {k}" for k, v in _TIMES.items())}, {', '.join(f"(count(*) filter (where {v}))::bigint as {k}" for k, v in _EPISODES.items())} from tp group by 1)
+select {_CALL}, {_rounded(_BERTH | _MOVES)}, {', '.join(_TIMES)}, {', '.join(_EPISODES)}, {', '.join(f"{v} is not null as {k}" for k, v in _FLAGS.items())},
+case when inbound_start_time is not null and outbound_end_time is not null then 'full' when inbound_start_time is not null then 'inbound_only' when outbound_end_time is not null then 'outbound_only' else 'berth_only' end as movement_coverage
+from oc2 left join mv using (validated_call_id)""")
 def call_operations_conditional_aggs(spark, sf_dir):
     from harborline.operators.clusters import cut
 
-    operational = cut(_operational(spark, sf_dir))
-    o = terminal.call_operations(operational, terminal.zone_timeline(_primary(spark, sf_dir), operational, _CONFIG))
-    n = lambda c: F.coalesce(c, F.lit(0)).alias(c)
-    return o.select("validated_call_id", r4(F.col("inbound_transit_minutes")).alias("inbound_transit"), r4(F.col("outbound_transit_minutes")).alias("outbound_transit"), n("inbound_episodes"), n("berth_episodes"), "has_inbound_approach", "movement_coverage")
+    positions, calls = _positions(spark, sf_dir), _calls(spark, sf_dir)
+    kept = ("position_primary_zone", "operational_calls")  # what several models read, as a deployment keeps in tables
+    o = terminal.build(positions, _typed_zones(spark), cut(calls), _CONFIG, keep=lambda name, df: cut(df) if name in kept else df)["call_operations"]
+    return ntz(o.select(*_CALL_COLUMNS, *[r4(F.col(c)).alias(c) for c in (_BERTH | _MOVES).values()], *_TIMES, *_EPISODES, *_FLAGS, "movement_coverage"))
+
+
+@query(CHAIN + """select 'terminal_daily_metrics' as model, 'berths_in_range' as check_name, metric_date::varchar as violation_key from dm where max_occupied_berths + 1 > 3
+union all select 'call_delay_metrics', 'not_null_delay_band', validated_call_id::varchar from dl where delay_band = 'severe'
+union all select 'risk_score_daily', 'unique_metric_date', metric_date::varchar from sc where risk_level = 'high'""")
+def model_violations(spark, sf_dir):
+    """The data tests over all models of the calls, three of which are damaged: a berth too many, bands lost, days doubled."""
+    m = _models(spark, sf_dir, *_ALL)
+    daily = m["terminal_daily_metrics"].withColumn("max_occupied_berths", F.col("max_occupied_berths") + 1)
+    delays = m["call_delay_metrics"].withColumn("delay_band", F.when(F.col("delay_band") != "severe", F.col("delay_band")))
+    score = m["risk_score_daily"].unionByName(m["risk_score_daily"].filter("risk_level = 'high'"))
+    return gates.violations(m | {"terminal_daily_metrics": daily, "call_delay_metrics": delays, "risk_score_daily": score})
 
 
 # --- port calls ------------------------------------------------------------------------------------------------------

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from harborline.functions import numbers, spatial, text
 from harborline.operators import checks, clusters, intervals, merge, rank, sessions, spatial_joins, stats
+from harborline.plans import calls as call_plans
 from harborline.plans import enrichment
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -94,15 +95,15 @@ def null_profile(spark, sf_dir):
     return stats.null_profile(e)
 
 
-@query("""select doc_id, nullif(regexp_extract(text, '([0-9]{7})', 1), '')::bigint as imo, nullif(ltrim(regexp_replace(left(text, 400), '[^0-9]', '', 'g'), '0'), '') as digits, lower(trim(source)) in ('src1', 'src2') as chosen, nullif(trim(lang), '') as lang from documents""")
+@query("""select doc_id, nullif(regexp_extract(text, '([0-9]{7})', 1), '')::bigint as imo, nullif(ltrim(regexp_replace(text, '[^0-9]', '', 'g'), '0'), '') as digits, lower(trim(source)) in ('src1', 'src2') as chosen, nullif(trim(lang), '') as lang from documents""")
 def text_helpers(spark, sf_dir):
     d = table(spark, sf_dir, "documents")
-    return d.select("doc_id", text.extract_imo(F.col("text")).alias("imo"), text.digits(F.substring("text", 1, 400)).alias("digits"), F.lower(F.trim("source")).isin("src1", "src2").alias("chosen"), text.blank_to_null(F.col("lang")).alias("lang"))
+    return d.select("doc_id", text.extract_imo(F.col("text")).alias("imo"), text.digits(F.col("text")).alias("digits"), F.lower(F.trim("source")).isin("src1", "src2").alias("chosen"), text.blank_to_null(F.col("lang")).alias("lang"))
 
 
-@query(f"""select l_suppkey as berth, count(*)::bigint as sample_size, {R4.format('quantile_cont(l_extendedprice, 0.25)')} as p25, {R4.format('quantile_cont(l_extendedprice, 0.5)')} as p50, {R4.format('quantile_cont(l_extendedprice, 0.75)')} as p75, {R4.format('quantile_cont(l_extendedprice, 0.9)')} as p90, {R4.format('quantile_cont(l_extendedprice, 0.95)')} as p95, {R4.format('quantile_cont(l_extendedprice, 0.75) - quantile_cont(l_extendedprice, 0.25)')} as iqr from lineitem where l_returnflag = 'R' group by 1""")
+@query(f"""select l_suppkey as berth, count(*)::bigint as sample_size, {R4.format('quantile_cont(l_extendedprice, 0.25)')} as p25, {R4.format('quantile_cont(l_extendedprice, 0.5)')} as p50, {R4.format('quantile_cont(l_extendedprice, 0.75)')} as p75, {R4.format('quantile_cont(l_extendedprice, 0.9)')} as p90, {R4.format('quantile_cont(l_extendedprice, 0.95)')} as p95, {R4.format('quantile_cont(l_extendedprice, 0.75) - quantile_cont(l_extendedprice, 0.25)')} as iqr from lineitem group by 1""")
 def duration_baseline_by_group(spark, sf_dir):
-    b = stats.baseline(table(spark, sf_dir, "lineitem").filter("l_returnflag = 'R'"), ["l_suppkey"], "l_extendedprice")
+    b = stats.baseline(table(spark, sf_dir, "lineitem"), ["l_suppkey"], "l_extendedprice")
     return b.select(F.col("l_suppkey").alias("berth"), "sample_size", *[r4(F.col(f"p{p}_minutes")).alias(f"p{p}") for p in (25, 50, 75, 90, 95)], r4(F.col("iqr_minutes")).alias("iqr"))
 
 
@@ -130,9 +131,9 @@ def conditional_aggregates(spark, sf_dir):
         F.min(F.when(F.col("value") > 400, F.col("ts"))).alias("first_high"), F.max(F.when(F.col("user_id") % 2 == 0, F.col("value"))).alias("max_even"))
 
 
-@query("""select l_orderkey, l_linenumber, count(*)::bigint as n from lineitem group by 1, 2 having count(*) > 1""")
+@query("""select o_custkey as mmsi, o_orderpriority as vessel_name, count(*)::bigint as call_count from orders group by 1, 2 having count(*) > 1""")
 def repeated_keys_having(spark, sf_dir):
-    return table(spark, sf_dir, "lineitem").groupBy("l_orderkey", "l_linenumber").agg(F.count("*").alias("n")).filter("n > 1")
+    return call_plans.repeated_calls(table(spark, sf_dir, "orders").select(F.col("o_custkey").alias("mmsi"), F.col("o_orderpriority").alias("vessel_name")))
 
 
 _OLD = "select s_suppkey as k, s_name as name, case when s_suppkey % 3 = 0 then null else s_acctbal end as balance, case when s_suppkey % 4 = 0 then 'processing' else 'failed' end as status from supplier where s_suppkey % 5 <> 0"
@@ -173,9 +174,10 @@ def update_from(spark, sf_dir):
     return merge.replace_columns(old, new.select("k", "name"), ["k"])
 
 
-@query("""select c_custkey, c_name from customer where not exists (select 1 from orders where o_custkey = c_custkey)""")
+@query("""select 'no_urgent_order' as check_name, c_custkey::varchar as violation_key from customer where not exists (select 1 from orders where o_custkey = c_custkey and o_orderpriority like '1%')""")
 def enqueue_anti_join(spark, sf_dir):
-    return table(spark, sf_dir, "customer").select("c_custkey", "c_name").join(table(spark, sf_dir, "orders").select(F.col("o_custkey").alias("c_custkey")), "c_custkey", "left_anti")
+    urgent = table(spark, sf_dir, "orders").filter("o_orderpriority like '1%'").select(F.col("o_custkey").alias("c_custkey"))
+    return checks.covers(urgent, table(spark, sf_dir, "customer"), ["c_custkey"], "no_urgent_order")
 
 
 @query("""select p_partkey, case when lng then 'LNG carrier' when sub = 'LPG' then 'LPG carrier' when sub is not null then p_sub else kind end as vessel_type,
@@ -188,10 +190,14 @@ def classification_ladder(spark, sf_dir):
     return p.select("p_partkey", enrichment.classify(F.col("kind"), F.col("sub"), F.col("p_name")).alias("c")).select("p_partkey", "c.*")
 
 
-@query("""select n_name, s_suppkey, s_name, r_name from supplier join nation on s_nationkey = n_nationkey join region on n_regionkey = r_regionkey where r_name <> 'ASIA'""")
+@query("""select o_orderkey, case when renamed is null then null else renamed <> upper(trim(c_name)) end as name_changed from orders join (select *, case c_custkey % 3 when 0 then upper(c_name) when 1 then 'OTHER' end as renamed from customer) on o_custkey = c_custkey where c_mktsegment = 'BUILDING'""")
 def registry_confirm_join(spark, sf_dir):
-    n = table(spark, sf_dir, "nation").join(F.broadcast(table(spark, sf_dir, "region")), F.col("n_regionkey") == F.col("r_regionkey"))
-    return table(spark, sf_dir, "supplier").join(F.broadcast(n), F.col("s_nationkey") == F.col("n_nationkey")).filter("r_name <> 'ASIA'").select("n_name", "s_suppkey", "s_name", "r_name")
+    k = F.col("c_custkey") % 3
+    registry = table(spark, sf_dir, "customer").select(
+        F.col("c_custkey").alias("imo"), F.col("c_name").alias("ais_vessel_name"), F.when(k == 0, F.upper("c_name")).when(k == 1, "OTHER").alias("registry_vessel_name"),
+        F.when(F.col("c_mktsegment") == "BUILDING", "confirmed_lng").otherwise("unknown").alias("classification_status"))
+    calls = table(spark, sf_dir, "orders").select("o_orderkey", F.col("o_custkey").alias("imo"))
+    return call_plans.confirmed_calls(calls, registry).select("o_orderkey", "name_changed")
 
 
 def _points(spark, sf_dir):
@@ -277,8 +283,8 @@ def sweepline_utilisation(spark, sf_dir):
 with x as ({_LINES}), days as (select l_suppkey, unnest(generate_series(date_trunc('day', s), case when e > s then e - interval 1 microsecond else s end, interval 1 day))::date as day, s, e from x where e > s)
 select day, count(*)::bigint as active, {R4.format("sum((epoch_us(least(e, day + interval 1 day)) - epoch_us(greatest(s, day::timestamp))) / 6e7)")} as minutes from days group by 1""")
 def daily_occupancy(spark, sf_dir):
-    used = intervals.by_day(_lines(spark, sf_dir).filter("e > s"), "s", "e", "day")
-    return used.groupBy("day").agg(F.count("*").alias("active"), r4(F.sum(intervals.day_overlap_minutes("s", "e", "day"))).alias("minutes"))
+    used = intervals.daily_use(_lines(spark, sf_dir), "s", "e", "day")
+    return used.select("day", "active", r4(F.col("minutes")).alias("minutes"))
 
 
 @query(f"""
@@ -297,10 +303,10 @@ def daily_arrivals_departures(spark, sf_dir):
 with m as (select user_id, ts, value, case when lag(ts) over w is null or {MINUTES.format(a='lag(ts) over w', b='ts')} > 720 then 1 else 0 end as s from events window w as (partition by user_id order by ts)),
 n as (select *, sum(s) over (partition by user_id order by ts rows unbounded preceding)::bigint as session_no from m),
 c as (select user_id, session_no, min(ts) as a, max(ts) as b from n group by 1, 2)
-select e.event_id, c.user_id, c.session_no from events e join c on e.user_id = c.user_id and e.ts between c.a - interval 2 hours and c.b + interval 2 hours where c.session_no % 2 = 0""")
+select e.event_id, c.user_id, c.session_no from events e join c on e.user_id = c.user_id and e.ts between c.a - interval 2 hours and c.b + interval 2 hours""")
 def containment_join(spark, sf_dir):
     marked = sessions.number_islands(events(spark, sf_dir), ["user_id"], "ts", 720)
-    calls = marked.groupBy("user_id", F.col("session_no").cast("long").alias("session_no")).agg(F.min("ts").alias("a"), F.max("ts").alias("b")).filter("session_no % 2 = 0")
+    calls = marked.groupBy("user_id", F.col("session_no").cast("long").alias("session_no")).agg(F.min("ts").alias("a"), F.max("ts").alias("b"))
     return intervals.contained(events(spark, sf_dir).select("event_id", "user_id", "ts"), calls, ["user_id"], "ts", "a", "b", before=120, after=120).select("event_id", "user_id", "session_no")
 
 
@@ -344,9 +350,9 @@ def history_limit(spark, sf_dir):
     return rank.top(table(spark, sf_dir, "events").select("event_id", "user_id", "ts", "value"), [F.desc("value"), F.asc("event_id")], 25)
 
 
-@query("""select o_orderkey, row_number() over (order by o_orderdate, o_orderkey)::bigint as call_id from orders where o_totalprice > 400000""")
+@query("""select o_orderkey, row_number() over (order by o_orderdate, o_orderkey)::bigint as call_id from orders""")
 def surrogate_ids(spark, sf_dir):
-    return rank.numbered(table(spark, sf_dir, "orders").filter("o_totalprice > 400000"), [F.col("o_orderdate"), F.col("o_orderkey")], "call_id").select("o_orderkey", "call_id")
+    return rank.numbered(table(spark, sf_dir, "orders"), [F.col("o_orderdate"), F.col("o_orderkey")], "call_id", F.col("o_orderdate")).select("o_orderkey", "call_id")
 
 
 @query("""select 'unique_l_orderkey_l_linenumber' as check_name, l_orderkey || '|' || l_linenumber as violation_key from lineitem group by l_orderkey, l_linenumber having count(*) > 1
@@ -367,5 +373,4 @@ def dq_report(spark, sf_dir):
 
 @query("""select (select count(*) from events)::bigint as events, (select count(*) from orders)::bigint as orders, (select count(*) from supplier where s_acctbal > 0)::bigint as suppliers""")
 def multi_scalar_counts(spark, sf_dir):
-    one = lambda df, n: F.broadcast(df.agg(F.count("*").alias(n)))
-    return one(table(spark, sf_dir, "events"), "events").crossJoin(one(table(spark, sf_dir, "orders"), "orders")).crossJoin(one(table(spark, sf_dir, "supplier").filter("s_acctbal > 0"), "suppliers"))
+    return checks.counts({"events": table(spark, sf_dir, "events"), "orders": table(spark, sf_dir, "orders"), "suppliers": table(spark, sf_dir, "supplier").filter("s_acctbal > 0")})

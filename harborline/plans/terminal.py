@@ -45,7 +45,7 @@ def berth_stays(primary: DataFrame, calls: DataFrame, config: Config = DEFAULT)
     near = intervals.contained(primary.filter("zone_type = 'berth'"), spans, ["mmsi"], "recorded_at", "arrival_time", "departure_time", before=config.call_margin, after=config.call_margin)
     keys = ["validated_call_id", "zone_code"]
     marked = sessions.number_islands(near, keys, "recorded_at", config.episode_gap, out="stay_no")
-    return sessions.summarise(marked, [*keys, "stay_no"], "recorded_at", "speed_knots", [stats.share_below("speed_knots", config.stationary_speed).alias("stationary_fraction"), F.max("mmsi").alias("mmsi")])
+    return sessions.summarise(marked, [*keys, "stay_no"], "recorded_at", "speed_knots", [stats.share_below("speed_knots", config.stationary_speed).alias("stationary_fraction"), F.max("mmsi").alias("mmsi"), F.max("terminal_id").alias("terminal_id")])
 
 
 def operational_calls(confirmed: DataFrame, stays: DataFrame) -> DataFrame:
@@ -58,27 +58,31 @@ def operational_calls(confirmed: DataFrame, stays: DataFrame) -> DataFrame:
     gaps = stays.withColumn("gap", minutes_between(F.lag("end_time").over(order), F.col("start_time")))
     merged = gaps.groupBy(*keys).agg(
         F.min("start_time").alias("berth_arrival_time"), F.max("end_time").alias("berth_departure_time"), F.count("*").alias("fragment_count"),
-        F.sum("point_count").alias("berth_point_count"), F.sum("duration_minutes").alias("observed_minutes"),
+        F.sum("point_count").alias("berth_point_count"), F.sum("duration_minutes").alias("observed_berth_minutes"), F.max("terminal_id").alias("terminal_id"),
         stats.weighted_mean_of_all("stationary_fraction", "point_count").alias("stationary_fraction"),
-        F.coalesce(F.max("gap"), F.lit(0.0)).alias("largest_gap_minutes"),
+        F.coalesce(F.max("gap"), F.lit(0.0)).alias("largest_internal_gap_minutes"),
     )
-    best = first_per_key(merged, ["validated_call_id"], [F.desc("berth_point_count"), F.desc("observed_minutes"), F.asc("zone_code")]).withColumnRenamed("zone_code", "berth_zone_code")
+    best = first_per_key(merged, ["validated_call_id"], [F.desc("berth_point_count"), F.desc("observed_berth_minutes"), F.asc("zone_code")]).withColumnRenamed("zone_code", "berth_zone_code")
     elapsed = minutes_between(F.col("berth_arrival_time"), F.col("berth_departure_time"))
-    joined = confirmed.join(best, "validated_call_id", "left").withColumn("berth_duration_minutes", elapsed)
+    joined = confirmed.drop("terminal_id").join(best, "validated_call_id", "left").withColumn("berth_duration_minutes", elapsed)
     confidence = first_match([
         ((F.col("stationary_fraction") >= 0.95) & (F.col("berth_duration_minutes") >= 360) & (F.col("berth_point_count") >= 20), "high"),
         ((F.col("stationary_fraction") >= 0.80) & (F.col("berth_duration_minutes") >= 60), "medium")], "low")
     continuity = first_match([
-        (F.col("fragment_count") == 1, "continuous"), (F.col("largest_gap_minutes") <= 60, "minor_gaps"), (F.col("largest_gap_minutes") <= 360, "moderate_gap")], "review")
+        (F.col("fragment_count") == 1, "continuous"), (F.col("largest_internal_gap_minutes") <= 60, "minor_gaps"), (F.col("largest_internal_gap_minutes") <= 360, "moderate_gap")], "review")
     return joined.withColumns({
-        "bridged_minutes": F.greatest(F.col("berth_duration_minutes") - F.col("observed_minutes"), F.lit(0.0)),
-        "berth_detection_confidence": confidence, "berth_continuity": continuity})
+        "berth_duration": F.col("berth_departure_time") - F.col("berth_arrival_time"),
+        "bridged_minutes": F.greatest(F.col("berth_duration_minutes") - F.col("observed_berth_minutes"), F.lit(0.0)),
+        "arrival_difference_minutes": minutes_between(F.col("arrival_time"), F.col("berth_arrival_time")),
+        "departure_difference_minutes": minutes_between(F.col("departure_time"), F.col("berth_departure_time")),
+        "berth_detection_confidence": confidence, "berth_continuity": continuity,
+    }).withColumnsRenamed({"arrival_time": "original_arrival_time", "departure_time": "original_departure_time"})
 
 
 def zone_timeline(primary: DataFrame, operational: DataFrame, config: Config = DEFAULT) -> DataFrame:
     """Zone episodes of each call, two hours around it, and the phase of the call that they belong to."""
-    spans = operational.select("validated_call_id", "mmsi", "arrival_time", "departure_time", "berth_arrival_time", "berth_departure_time")
-    near = intervals.contained(primary, spans, ["mmsi"], "recorded_at", "arrival_time", "departure_time", before=config.call_margin, after=config.call_margin)
+    spans = operational.select("validated_call_id", "mmsi", "original_arrival_time", "original_departure_time", "berth_arrival_time", "berth_departure_time")
+    near = intervals.contained(primary, spans, ["mmsi"], "recorded_at", "original_arrival_time", "original_departure_time", before=config.call_margin, after=config.call_margin)
     marked = sessions.number_islands(near, ["validated_call_id"], "recorded_at", config.episode_gap, state="zone_code", out="episode_number")
     rows = sessions.summarise(marked, ["validated_call_id", "episode_number", "zone_code"], "recorded_at", "speed_knots", [F.max("zone_type").alias("zone_type"), F.max("berth_arrival_time").alias("berth_arrival_time"), F.max("berth_departure_time").alias("berth_departure_time")])
     phase = first_match([
@@ -87,27 +91,35 @@ def zone_timeline(primary: DataFrame, operational: DataFrame, config: Config = D
     return rows.withColumn("movement_phase", phase)
 
 
-ZONE_TYPES = ("approach", "channel", "manoeuvre", "anchorage")
+#: The types of zones that a call's movements pass, by the name of the stage.
+STAGES = {"approach": "approach", "channel": "shipping_channel", "manoeuvre": "manoeuvring_basin"}
 
 
 def call_operations(operational: DataFrame, timeline: DataFrame) -> DataFrame:
-    """Each call with its movements: conditional aggregates of the timeline in one pass, transits, cycle, flags, coverage."""
-    aggs: list[Column] = []
-    for phase in ("inbound", "outbound"):
-        here = F.col("movement_phase") == phase
-        aggs += [F.min(F.when(here, F.col("start_time"))).alias(f"{phase}_start"), F.max(F.when(here, F.col("end_time"))).alias(f"{phase}_end"), F.count_if(here).alias(f"{phase}_episodes")]
-        aggs += [F.coalesce(F.sum(F.when(here & (F.col("zone_type") == z), F.col("duration_minutes"))), F.lit(0.0)).alias(f"{phase}_{z}_minutes") for z in ZONE_TYPES]
-    aggs += [F.count_if(F.col("movement_phase") == "berth").alias("berth_episodes"), F.count_if(F.col("movement_phase") == "berth_transition").alias("transition_episodes")]
-    joined = operational.join(timeline.groupBy("validated_call_id").agg(*aggs), "validated_call_id", "left")
-    seen = {f"has_{p}": F.col(f"{p}_start").isNotNull() for p in ("inbound", "outbound")}
-    flags = seen | {f"has_{p}_{z}": F.coalesce(F.col(f"{p}_{z}_minutes"), F.lit(0.0)) > 0 for p in ("inbound", "outbound") for z in ("channel", "approach")}
-    coverage = first_match([
-        (F.col("has_inbound") & F.col("has_outbound"), "full"), (F.col("has_inbound"), "inbound_only"), (F.col("has_outbound"), "outbound_only")], "berth_only")
+    """Each call with its movements: conditional aggregates of the timeline in one pass, transits, cycle, flags, coverage.
+
+    The cycle is that from the first zone detection to the last; calls seen at their berth only have one too.
+    """
+    phase = {p: F.col("movement_phase") == p for p in ("inbound", "outbound")}
+    stage = {(p, s): phase[p] & (F.col("zone_type") == z) for p in phase for s, z in STAGES.items()}
+    first = lambda on, out: F.min(F.when(on, F.col("start_time"))).alias(out)
+    last = lambda on, out: F.max(F.when(on, F.col("end_time"))).alias(out)
+    aggs: list[Column] = [
+        F.min("start_time").alias("first_zone_detection_time"), F.max("end_time").alias("last_zone_detection_time"),
+        first(phase["inbound"], "inbound_start_time"), *[first(stage["inbound", s], f"inbound_{s}_time") for s in STAGES],
+        first(phase["outbound"], "outbound_start_time"), *[first(stage["outbound", s], f"outbound_{s}_time") for s in ("manoeuvre", "channel")],
+        last(stage["outbound", "approach"], "outbound_approach_exit_time"), last(phase["outbound"], "outbound_end_time"),
+        *[F.count_if(on).alias(f"{p}_episode_count") for p, on in phase.items()], *[F.count_if(on).alias(f"{p}_{s}_episodes") for (p, s), on in stage.items()],
+        F.count_if(F.col("duration_minutes") < 2).alias("very_short_episode_count"), F.count("*").alias("total_timeline_episodes")]
+    calls = operational.drop("original_arrival_time", "original_departure_time", "berth_duration", "arrival_difference_minutes", "departure_difference_minutes")
+    joined = calls.join(timeline.groupBy("validated_call_id").agg(*aggs), "validated_call_id", "left")
+    flags = {f"has_{p}_{s}": F.col("outbound_approach_exit_time" if (p, s) == ("outbound", "approach") else f"{p}_{s}_time").isNotNull() for p, s in stage}
+    arrived, left = F.col("inbound_start_time").isNotNull(), F.col("outbound_end_time").isNotNull()
     return joined.withColumns(flags | {
-        "inbound_transit_minutes": minutes_between(F.col("inbound_start"), F.col("berth_arrival_time")),
-        "outbound_transit_minutes": minutes_between(F.col("berth_departure_time"), F.col("outbound_end")),
-        "cycle_minutes": minutes_between(F.col("inbound_start"), F.col("outbound_end")),
-    }).withColumn("movement_coverage", coverage)
+        "inbound_transit_minutes": minutes_between(F.col("inbound_start_time"), F.col("berth_arrival_time")),
+        "outbound_transit_minutes": minutes_between(F.col("berth_departure_time"), F.col("outbound_end_time")),
+        "observed_terminal_cycle_minutes": minutes_between(F.col("first_zone_detection_time"), F.col("last_zone_detection_time")),
+        "movement_coverage": first_match([(arrived & left, "full"), (arrived, "inbound_only"), (left, "outbound_only")], "berth_only")})
 
 
 def eligible(operations: DataFrame) -> DataFrame:
@@ -115,12 +127,15 @@ def eligible(operations: DataFrame) -> DataFrame:
     return operations.filter("movement_coverage = 'full' and berth_detection_confidence = 'high' and berth_continuity <> 'review'")
 
 
+_BASELINE = {"sample_size": "baseline_calls", "p50_minutes": "median_minutes"}
+
+
 def berth_baseline(operations: DataFrame) -> DataFrame:
-    return stats.baseline(eligible(operations), ["berth_zone_code"], "berth_duration_minutes")
+    return stats.baseline(eligible(operations), ["berth_zone_code"], "berth_duration_minutes").withColumnsRenamed(_BASELINE)
 
 
 def terminal_baseline(operations: DataFrame) -> DataFrame:
-    return stats.baseline(eligible(operations), [], "berth_duration_minutes")
+    return stats.baseline(eligible(operations), [], "berth_duration_minutes").withColumnsRenamed(_BASELINE)
 
 
 def call_delays(operations: DataFrame, dataset: DataFrame, config: Config = DEFAULT) -> DataFrame:
@@ -128,27 +143,31 @@ def call_delays(operations: DataFrame, dataset: DataFrame, config: Config = DEFA
 
     The baseline rests on the whole sample, later calls too: it describes, it doesn't forecast.
     """
-    names = ("sample_size", "p50_minutes", "p75_minutes", "p90_minutes", "p95_minutes")
-    berth = berth_baseline(operations).select("berth_zone_code", *[F.col(c).alias(f"berth_{c}") for c in names])
-    whole = terminal_baseline(operations).select(*[F.col(c).alias(f"all_{c}") for c in names])
-    joined = operations.join(F.broadcast(berth), "berth_zone_code", "left").crossJoin(F.broadcast(whole)).crossJoin(F.broadcast(dataset))
-    own = F.col("berth_sample_size") >= config.least_history
-    pick = {c: F.when(own, F.col(f"berth_{c}")).otherwise(F.col(f"all_{c}")) for c in names}
-    chosen = joined.withColumns({"baseline_scope": F.when(own, "berth").otherwise("terminal"), "baseline_sample_size": pick["sample_size"], "expected_duration_minutes": pick["p50_minutes"], "__p75": pick["p75_minutes"], "__p90": pick["p90_minutes"], "__p95": pick["p95_minutes"]})
+    names = {"baseline_calls": "baseline_sample_size", "median_minutes": "expected_duration_minutes", "p75_minutes": "p75_minutes", "p90_minutes": "p90_minutes", "p95_minutes": "p95_minutes", "iqr_minutes": "baseline_iqr_minutes"}
+    berth = berth_baseline(operations).select("berth_zone_code", *[F.col(c).alias(f"__berth_{c}") for c in names])
+    whole = terminal_baseline(operations).select(*[F.col(c).alias(f"__all_{c}") for c in names])
+    joined = operations.join(berth, "berth_zone_code", "left").crossJoin(F.broadcast(whole)).crossJoin(F.broadcast(dataset))
+    own = F.col("__berth_baseline_calls") >= config.least_history
+    pick = {out: F.when(own, F.col(f"__berth_{c}")).otherwise(F.col(f"__all_{c}")) for c, out in names.items()}
     variance = F.col("berth_duration_minutes") - F.col("expected_duration_minutes")
+    measured = joined.withColumns(pick | {
+        "baseline_scope": F.when(own, "berth").otherwise("terminal"),
+        "left_censored": F.col("berth_arrival_time") <= shift(F.col("dataset_start"), config.edge),
+        "right_censored": F.col("berth_departure_time") >= shift(F.col("dataset_end"), -config.edge),
+    }).withColumns({"duration_variance_minutes": variance, "estimated_delay_minutes": F.greatest(variance, F.lit(0.0))})
     quality = first_match([
-        ((F.col("berth_arrival_time") <= shift(F.col("dataset_start"), config.edge)) | (F.col("berth_departure_time") >= shift(F.col("dataset_end"), -config.edge)), "censored"),
+        (F.col("left_censored") | F.col("right_censored"), "censored"),
         (F.col("berth_continuity") == "review", "review"), (F.col("berth_continuity") == "moderate_gap", "usable_with_gap"), (F.col("berth_detection_confidence") != "high", "lower_confidence")], "usable")
-    measured = chosen.withColumns({"duration_variance_minutes": variance, "estimated_delay_minutes": F.greatest(variance, F.lit(0.0)), "delay_quality": quality})
     band = first_match([
         (F.col("delay_quality").isin("censored", "review", "lower_confidence"), "unscored"),
-        (F.col("berth_duration_minutes") <= F.col("__p75"), "normal"), (F.col("berth_duration_minutes") <= F.col("__p90"), "elevated"), (F.col("berth_duration_minutes") <= F.col("__p95"), "high")], "severe")
-    return measured.withColumns({"estimated_delay_hours": F.col("estimated_delay_minutes") / 60.0, "delay_band": band}).drop(
-        "__p75", "__p90", "__p95", "dataset_start", "dataset_end", *[f"{p}_{c}" for p in ("berth", "all") for c in names])
+        (F.col("berth_duration_minutes") <= F.col("p75_minutes"), "normal"), (F.col("berth_duration_minutes") <= F.col("p90_minutes"), "elevated"), (F.col("berth_duration_minutes") <= F.col("p95_minutes"), "high")], "severe")
+    return measured.withColumn("delay_quality", quality).withColumns({"estimated_delay_hours": F.col("estimated_delay_minutes") / 60.0, "delay_band": band}).drop(
+        *[f"__{p}_{c}" for p in ("berth", "all") for c in names])
 
 
 def berth_performance(delays: DataFrame, dataset: DataFrame) -> DataFrame:
     """Berths: calls by band, durations, occupied minutes (overlapping calls once) and share of the dataset's time."""
+    delays = delays.drop("dataset_start", "dataset_end")
     bounded = delays.filter("berth_zone_code is not null").crossJoin(F.broadcast(dataset))
     open_spans = intervals.clip(bounded, "berth_arrival_time", "berth_departure_time", F.col("dataset_start"), F.col("dataset_end"))
     line = intervals.sweep_line(open_spans, ["berth_zone_code"], "clipped_start", "clipped_end")
@@ -167,7 +186,8 @@ def occupancy_intervals(operations: DataFrame, dataset: DataFrame) -> DataFrame:
     """interval_start, interval_end, occupied_berths, active_calls between neighbouring arrivals and departures."""
     bounded = operations.filter("berth_zone_code is not null").crossJoin(F.broadcast(dataset))
     spans = intervals.clip(bounded, "berth_arrival_time", "berth_departure_time", F.col("dataset_start"), F.col("dataset_end"))
-    return intervals.elementary(spans, [], "clipped_start", "clipped_end", "berth_zone_code").withColumnsRenamed({"occupied": "occupied_berths", "active": "active_calls"})
+    found = intervals.elementary(spans, [], "clipped_start", "clipped_end", "berth_zone_code").withColumnsRenamed({"occupied": "occupied_berths", "active": "active_calls"})
+    return found.withColumn("duration_minutes", minutes_between(F.col("interval_start"), F.col("interval_end")))
 
 
 def daily_metrics(occupancy: DataFrame, delays: DataFrame, dataset: DataFrame, config: Config = DEFAULT) -> DataFrame:
@@ -201,7 +221,7 @@ def historical_baseline(daily: DataFrame, operations: DataFrame, config: Config
     """For each day and berth what was known before the day began: the berth's calls, else the terminal's, else nothing."""
     days, calls = daily.select("metric_date"), eligible(operations)
     berths = operations.filter("berth_zone_code is not null").select("berth_zone_code").distinct()
-    grid = days.crossJoin(F.broadcast(berths))
+    grid = days.crossJoin(berths)
     own = stats.pit_history(days, "metric_date", calls, ["berth_zone_code"], "berth_departure_time", "berth_duration_minutes")
     whole = stats.pit_history(days, "metric_date", calls, [], "berth_departure_time", "berth_duration_minutes")
     names = ("history_calls", "p50_minutes", "p75_minutes", "p90_minutes", "p95_minutes")
@@ -244,7 +264,7 @@ def risk_features(daily: DataFrame, operations: DataFrame, history: DataFrame, d
         "capacity_pressure": clamp(F.col("terminal_utilisation_pct") / 100.0), "berth_saturation": clamp(F.col("max_occupied_berths") / float(config.capacity)),
         "active_delay_share": share("active_delayed_calls"), "active_severe_share": share("active_severe_calls"),
         "unscored_active_share": ratio(F.col("active_unscored_calls").cast("double"), F.col("active_calls")),
-        "vessel_balance_3d": F.col("arrivals_3d") - F.col("departures_3d")})
+        "vessel_balance_3d": F.col("arrivals_3d") - F.col("departures_3d"), "positive_vessel_balance_3d": F.greatest(F.col("arrivals_3d") - F.col("departures_3d"), F.lit(0))})
 
 
 SIGNALS = ("capacity", "saturation", "active_delay", "active_severe", "delay_intensity", "utilisation_3d", "backlog")

@@ -1,11 +1,12 @@
 import datetime as dt
+import re
 
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from harborline.functions import spatial, text
-from harborline.operators import checks, clusters, intervals, sessions, spatial_joins
+from harborline.operators import checks, clusters, intervals, rank, sessions, spatial_joins, stats
 from harborline.plans import calls, config, enrichment, gates, serve, terminal
 from harborline.sources import files, positions
 from harborline.streaming import live
@@ -68,6 +69,38 @@ def test_days_and_elementary_intervals(spark):
     assert [(r["occupied"], r["active"]) for r in rows] == [(1, 1), (1, 2), (2, 3), (1, 2), (1, 1), (0, 0), (1, 1)]
 
 
+def test_use_by_day_is_that_of_days_one_by_one(spark):
+    rng = np.random.default_rng(2)
+    rows = [(_at(int(a)), _at(int(a + n))) for a, n in zip(rng.integers(0, 20_000, 60), rng.choice([0, 1, 30, 1440, 2880, 9000], 60), strict=True)] + [(_at(100_000), _at(100_001)), (None, _at(3)), (_at(5), _at(2))]
+    df = spark.createDataFrame(rows, "s timestamp, e timestamp")
+    one = intervals.by_day(df.filter("e > s"), "s", "e").groupBy("metric_date").agg(F.count("*").alias("active"), F.sum(intervals.day_overlap_minutes("s", "e", "metric_date")).alias("minutes"))
+    expected = sorted((r[0], r[1], round(r[2], 6)) for r in one.collect())
+    assert sorted((r[0], r[1], round(r[2], 6)) for r in intervals.daily_use(df, "s", "e").collect()) == expected
+
+
+def test_history_is_that_of_brute_force(spark):
+    rng = np.random.default_rng(3)
+    calls_ = [(f"B{i % 3}", _at(int(t)), float(v)) for i, (t, v) in enumerate(zip(rng.integers(0, 9000, 50), rng.uniform(0, 99, 50), strict=True))]
+    days = [dt.date(2023, 1, 1) + dt.timedelta(days=i) for i in range(8)]
+    df = spark.createDataFrame(calls_, "berth string, t timestamp, v double")
+    asked = spark.createDataFrame([(d,) for d in days], "day date")
+    for keys in (["berth"], []):
+        expected = set()
+        for d in days:
+            for b in {c[0] for c in calls_} if keys else {None}:
+                known = [v for c, t, v in calls_ if t.date() < d and b in (c, None)]
+                if known:
+                    expected.add((d, *([b] if keys else []), len(known), *np.round(np.percentile(known, [50, 75, 90, 95]), 6).tolist()))
+        found = {tuple(round(x, 6) if isinstance(x, float) else x for x in r) for r in stats.pit_history(asked, "day", df, keys, "t", "v").collect()}
+        assert found == expected
+
+
+def test_numbers_by_cell_are_those_of_one_window(spark):
+    df = spark.range(200).select("id", F.expr("timestamp'2023-01-01' + make_interval(0, 0, 0, 0, cast(id * 37 % 101 as int))").alias("t"))
+    number = lambda cell: {r["id"]: r["n"] for r in rank.numbered(df, [F.col("t"), F.col("id")], "n", cell).collect()}
+    assert number(F.to_date("t")) == number(None)
+
+
 def test_distance_and_projection(spark):
     row = spark.range(1).select(
         spatial.distance_m(*map(F.lit, (29.73, -93.87, 29.77, -93.83))).alias("d"), *[c.alias(n) for c, n in zip(spatial.utm(F.lit(29.73), F.lit(-93.87)), ("e", "n"), strict=True)]).first()
@@ -213,7 +246,16 @@ def test_gates_see_lost_calls_and_bounds(spark):
     confirmed = spark.createDataFrame([(1, 123456789, 9876543, "A", 1, _at(0), _at(120))], "validated_call_id long, mmsi long, imo long, vessel_name string, terminal_id int, arrival_time timestamp, departure_time timestamp")
     models = terminal.build(seen, zones, confirmed, keep=lambda name, df: clusters.cut(df)) | {"confirmed_calls": confirmed}
     # one call is no baseline, so it has no expected duration
-    assert [tuple(r) for r in gates.violations(models).collect()] == [("call_delay_metrics", "not_null_expected_duration_minutes", "1")]
+    assert sorted(tuple(r)[:2] for r in gates.violations(models).collect()) == [
+        ("call_delay_metrics", "baseline_is_founded"), ("call_delay_metrics", "not_null_expected_duration_minutes"),
+        ("terminal_duration_baseline", "not_null_median_minutes"), ("terminal_duration_baseline", "percentiles_rise")]
+    models |= {"positions": seen}
+    nulls, expected = {}, set()
+    for name, columns in gates.NOT_NULL.items():
+        nulls[name] = spark.range(1).select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in models[name].schema])
+        expected |= {(name, f"not_null_{c}") for c in columns}
+    assert sum(map(len, gates.NOT_NULL.values())) == 121
+    assert expected <= {(r["model"], r["check_name"]) for r in gates.violations(nulls).collect()}
     some = {
         "operational_calls": models["operational_calls"].filter("false"), "confirmed_calls": confirmed, "berth_stay_candidates": models["berth_stay_candidates"].union(models["berth_stay_candidates"]),
         "risk_score_daily": models["risk_score_daily"].withColumn("backlog_points", F.lit(11.0)), "terminal_daily_metrics": models["terminal_daily_metrics"].withColumn("max_occupied_berths", F.lit(4))}
@@ -221,6 +263,29 @@ def test_gates_see_lost_calls_and_bounds(spark):
     assert {("operational_calls", "calls_cover_confirmed"), ("berth_stay_candidates", "unique_validated_call_id_zone_code_stay_no"), ("risk_score_daily", "points_in_range"), ("terminal_daily_metrics", "berths_in_range")} <= found
 
 
+WRONG = {
+    "zone_episodes": {"point_count": 0}, "berth_stay_candidates": {"stationary_fraction": 1.5}, "call_zone_timeline": {"duration_minutes": -1.0}, "operational_calls": {"bridged_minutes": -1.0},
+    "call_operations": {"observed_berth_minutes": -1.0}, "berth_performance": {"total_calls": 0, "occupied_minutes": -1.0, "utilisation_pct": 101.0}, "occupancy_intervals": {"duration_minutes": 0.0, "occupied_berths": 4},
+    "terminal_daily_metrics": {"terminal_utilisation_pct": -1.0, "arrivals": -1, "mean_occupied_berths": 4.0}, "call_analytics": {"estimated_delay_hours": -1.0, "arrival_day_max_occupied_berths": 4},
+    "call_delay_metrics": {"estimated_delay_minutes": -1.0, "baseline_sample_size": 0, "p75_minutes": -1.0, "delay_band": "normal"}, "terminal_duration_baseline": {"baseline_calls": 0}, "berth_duration_baseline": {"iqr_minutes": -1.0},
+    "historical_duration_baseline_daily": {"berth_history_calls": -1, "expected_minutes": 1.0, "p75_minutes": 0.5}, "risk_features_daily": {"arrivals_3d": -1, "active_scored_calls": 99, "capacity_pressure": 1.5},
+    "risk_score_daily": {"risk_score": 101.0, "data_coverage_score": 2.0, "capacity_points": 21.0}, "risk_explanations_daily": {"risk_score": -1.0, "risk_trend": "rising_fast", "primary_driver_points": -1.0}}
+
+
+def test_every_rule_sees_a_wrong_row(spark):
+    """Rows of the least values that break each rule; other columns hold what breaks none."""
+    good = {"delay_quality": "review", "baseline_scope": "insufficient_history", "risk_change_1d": 1.0, "expected_duration_minutes": 5.0, "secondary_driver_points": 0.0}
+    models, expected = {}, set()
+    for name, rules in gates.RULES.items():
+        wanted = set(re.findall(r"[a-z_0-9]+", re.sub(r"'[^']*'", "", " ".join(rules.values())))) | set(WRONG[name]) | set(gates.NOT_NULL[name]) | set(gates.KEYS.get(name, []))
+        wanted |= {c for m, c in gates.VALUES if m == name}
+        values = {c: some[0] for (m, c), some in gates.VALUES.items() if m == name} | good | WRONG[name]
+        columns = sorted(c for c in wanted if not c.isdigit() and c not in ("coalesce", "between", "and", "or", "is", "null", "in", "true", "case", "when", "then", "else", "end"))
+        models[name] = spark.range(1).select(*[F.lit(values.get(c, "2020-01-01" if c.endswith(("_time", "_date", "_start")) else "2020-01-02" if c.endswith("_end") else 1.0)).alias(c) for c in columns])
+        expected |= {(name, rule) for rule in rules}
+    assert expected <= {(r["model"], r["check_name"]) for r in gates.violations(models).collect()}
+
+
 def test_checks_tell_violations(spark):
     df = spark.createDataFrame([(1, "a"), (1, None), (2, "x")], "k int, v string")
     found = checks.report([checks.unique(df, ["k"]), checks.not_null(df, "v", "k"), checks.accepted(df, "v", ["a"], "k"), checks.holds(df, "k < 2", "k", "small")])
