@@ -13,7 +13,7 @@ of two fingerprints is the Dice share of equal hashes, on the best level: a chan
 A text's size decides nothing, so a copy that loses or gains a term loses no more than that term's share.
 
 Equal texts have equal fingerprints. A text without terms (null counts as empty) has one hash, of the text itself.
-Rows with equal doc_id are ordered by text. Extra columns are ignored.
+Rows with equal doc_id are ordered by text; doc_id must be a number. Extra columns are ignored.
 """
 
 import numpy as np
@@ -25,6 +25,8 @@ from harborline.llm import native, ordering
 BAND = (1 / 200, 1 / 20)
 LEXICON_BITS, SUBSETS = 19, 32
 LADDER = (0, 4, 8, 12)
+#: Text bytes that one task puts in order.
+BUCKET_BYTES = 32 << 20
 _TERM = "[^\\p{L}\\p{N}]+"
 
 
@@ -33,9 +35,9 @@ def terms(text: Column) -> Column:
     return F.transform(F.array_distinct(F.filter(F.split(F.lower(text), _TERM, -1), lambda x: x != "")), lambda x: F.xxhash64(x))
 
 
-def lexicon(docs: DataFrame, text: str = "text", band: tuple[float, float] = BAND) -> Column:
-    """A literal bitmap (2**LEXICON_BITS bits in 64-bit numbers) of the hashes of the terms in the band."""
-    n = docs.count()
+def lexicon(docs: DataFrame, text: str = "text", band: tuple[float, float] = BAND, n: int | None = None) -> Column:
+    """A literal bitmap (2**LEXICON_BITS bits in 64-bit numbers) of the hashes of the terms in the band. n: number of docs."""
+    n = docs.count() if n is None else n
     counts = docs.select(F.explode(terms(native.whole(text))).alias("term")).groupBy("term").agg(F.count("*").alias("df"))
     chosen = counts.filter(F.col("df").between(band[0] * n, band[1] * n))
     bit = F.col("term").bitwiseAND(F.lit((1 << LEXICON_BITS) - 1).cast("long"))
@@ -88,8 +90,9 @@ def text_of(fingerprint: str) -> Column:
 def edited_neighbours(docs: DataFrame, *, key: str = "doc_id", text: str = "text", band: tuple[float, float] = BAND) -> DataFrame:
     """Fingerprints of every text and of its edit (its last quarter replaced by the start of the next document)."""
     docs = docs.select(F.col(key), native.whole(text).alias("text"))
-    bitmap = lexicon(docs, "text", band)
-    buckets = 4 * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    n, size = docs.agg(F.count("*"), F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()  # two numbers
+    bitmap = lexicon(docs, "text", band, n)
+    buckets = max(4 * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), size // BUCKET_BYTES + 1)
     rows, bucket, guest = ordering.with_next(docs, key, buckets)
     rows = with_fingerprint(rows, "text", "fp", bitmap)
     order = Window.partitionBy(bucket).orderBy(guest, F.col(key).asc_nulls_first(), "text")

@@ -1,9 +1,11 @@
 """Neighbours in key order without one global window."""
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import NumericType
 
 from harborline.llm import native
+from harborline.llm.store import written
 
 SEGMENTS = 64
 
@@ -18,7 +20,9 @@ def _segment(key: Column, bounds: list, low: int = 0) -> Column:
 
 def range_bucket(df: DataFrame, key: str, buckets: int) -> Column:
     """A bucket number that rises with a numeric key: quantile segments (their bounds are the only rows collected), each
-    cut into equal steps. A null key is in bucket 0."""
+    cut into equal steps. A null key is in bucket 0; keys that aren't numbers are an error."""
+    if not isinstance(df.schema[key].dataType, NumericType):
+        raise ValueError(f"{key}: only numeric keys have ranges")
     steps = max(1, -(-buckets // SEGMENTS))
     points = [i / SEGMENTS for i in range(SEGMENTS + 1)]
     found = df.agg(F.percentile_approx(key, points, 1000).alias("q")).first()["q"]
@@ -42,11 +46,10 @@ def with_next(df: DataFrame, key: str, buckets: int) -> tuple[DataFrame, str, st
     """
     bucket, guest = native.name(df, "__bucket"), native.name(df, "__guest")
     placed = df.withColumn(bucket, range_bucket(df, key, buckets))
-    firsts = placed.groupBy(bucket).agg(F.min(key).alias("low"), F.count(F.when(F.col(key).isNull(), 1)).alias("nulls"))
-    order = sorted((r[bucket], None if r["nulls"] else r["low"]) for r in firsts.collect())  # a row for each bucket
-    if not order:
-        return placed.withColumn(guest, F.lit(False)), bucket, guest
-    to = [(order[i][1], order[i - 1][0]) for i in range(len(order))]
-    hosts = df.sparkSession.createDataFrame(to, f"low {df.schema[key].dataType.simpleString()}, host int")
-    guests = placed.join(F.broadcast(hosts), F.col(key).eqNullSafe(F.col("low"))).drop(bucket, "low").withColumnRenamed("host", bucket)
+    firsts = placed.groupBy(F.col(bucket).alias("of")).agg(F.min(key).alias("low"), F.count(F.when(F.col(key).isNull(), 1)).alias("nulls"))
+    order = Window.orderBy("of")  # a row for each bucket
+    host = F.coalesce(F.lag("of").over(order), F.max("of").over(Window.partitionBy()))
+    hosts = firsts.select(F.when(F.col("nulls") == 0, F.col("low")).alias("__low"), host.alias("__host"))
+    hosts = written(hosts, "bucket-hosts")  # its size tells whether rows must be shuffled to meet it
+    guests = placed.join(hosts, F.col(key).eqNullSafe(F.col("__low"))).drop(bucket, "__low").withColumnRenamed("__host", bucket)
     return placed.withColumn(guest, F.lit(False)).unionByName(guests.withColumn(guest, F.lit(True))), bucket, guest

@@ -250,4 +250,4 @@ def read_ids(spark: SparkSession, path: str, *, key: str = "doc_id") -> DataFram
     before = F.sum("ids").over(Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1))  # a row for each part
     starts = totals.select("part", F.coalesce(before, F.lit(0)).alias("before"))
     found = blocks.select("part", "first", "doc_ids", "lengths", "payload").mapInArrow(_decode(key, shared, stride, schema), f"part int, `{key}` {kind}, start bigint, n_tokens bigint, ids_crc32 bigint")
-    return found.join(F.broadcast(starts), "part").select(key, (F.col("before") + F.col("start")).alias("start"), "n_tokens", "ids_crc32")
+    return found.join(starts, "part").select(key, (F.col("before") + F.col("start")).alias("start"), "n_tokens", "ids_crc32")
