@@ -97,5 +97,20 @@ def ablations(kept: DataFrame, policy: str = POLICY) -> DataFrame:
         total((F.col("failed") == 0) | alone).alias("n_kept_without_rule"), F.bit_or("failed").alias("failed_with_it"))
 
 
+ORACLE_SQL = r"""
+with d as (select doc_id, row_number() over () as n, coalesce(text, '') as text, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') as w from documents),
+i as (select n, unnest(generate_series(1, len(w) - 2)) as i from d),
+t as (select n, i, w[i] || chr(0) || w[i + 1] || chr(0) || w[i + 2] as t from i join d using (n)),
+r as (select n, i, count(*) over (partition by n, t) as often from t),
+c as (select n, count(distinct j)::bigint as n_repeat_words from (select n, unnest([i, i + 1, i + 2]) as j from r where often > 1) group by n),
+m as (select doc_id, text, len(w)::bigint as n_words, len(array_to_string(w, ''))::bigint as word_chars, (len(text) - len(regexp_replace(text, '[#*$%&|<>]', '', 'g')))::bigint as n_symbols,
+        (len(text) - len(regexp_replace(text, '[A-Z]', '', 'g')))::bigint as n_capitals,
+        list_filter(string_split(text, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) as lines, coalesce(n_repeat_words, 0) as n_repeat_words from d left join c using (n)),
+f as (select *, len(lines)::bigint as n_lines, (len(lines) - len(list_distinct(lines)))::bigint as n_dup_lines from m),
+b as (select *, (case when n_words < 50 then 1 else 0 end + case when 100 * n_repeat_words > 50 * n_words then 2 else 0 end + case when 100 * n_symbols > 30 * n_words then 4 else 0 end
+        + case when word_chars < 2 * n_words or word_chars > 20 * n_words then 8 else 0 end + case when 2 * n_dup_lines > n_lines and n_lines >= 4 then 16 else 0 end + case when 2 * n_capitals > word_chars then 32 else 0 end)::bigint as failed_rules from f)
+select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, (failed_rules & 3) <> 0 as base_failed, failed_rules = 0 as kept, failed_rules from b"""
+
+
 def digest(kept: DataFrame) -> DataFrame:
     return kept.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", (~passes(BASE_POLICY)).alias("base_failed"), passes().alias("kept"), "failed_rules")

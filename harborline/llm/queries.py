@@ -65,5 +65,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 ORACLE_SQL: dict[str, str] = {
+    "op6_quality_rules": quality.ORACLE_SQL,
     "op9_mix_sources": mixing.ORACLE_SQL,
 }

@@ -27,6 +27,14 @@ def test_quality_measures_are_those_of_brute_force(docs, rows):
     assert all(not r["kept"] or not r["base_failed"] for r in found.collect())
 
 
+def test_quality_is_that_of_sql(docs, tmp_path):
+    docs.write.parquet(str(tmp_path / "d"))
+    con = duckdb.connect()
+    con.sql(f"create view documents as select * from '{tmp_path}/d/*.parquet'")
+    expected = Counter(tuple(r) for r in con.sql(quality.ORACLE_SQL).fetchall())
+    assert Counter(tuple(r) for r in quality.digest(quality.ledger(docs)).collect()) == expected
+
+
 def test_policies_and_ablations_agree_with_the_ledger(docs):
     kept = quality.ledger(docs)
     rows = kept.select("failed_rules").collect()
@@ -245,6 +253,48 @@ def test_quotes_go_to_the_message_that_was_quoted(spark):
     assert parent[(6, 0)] == (4, 0)
 
 
+def _plain(text):
+    return " ".join(re.findall(r"[^\W_]+", text.lower()))
+
+
+def _quoted(text):
+    """(own text, {level: quoted text}) of a message without introducing lines."""
+    levels = {}
+    for line in (text or "").split("\n"):
+        marks = re.match(r"[ \t]*((?:> ?)+)", line)
+        levels.setdefault(marks[1].count(">") if marks else 0, []).append(line[marks.end():] if marks else line)
+    return "\n".join(levels.pop(0, [])), {k: " ".join(v) for k, v in levels.items()}
+
+
+def test_replies_are_those_of_brute_force(spark):
+    """Random conversations whose messages quote one earlier message of theirs whole, wrapped anew and nested, or nothing."""
+    rng = random.Random(8)
+    words_ = ["ship", "berth", "crane", "late", "pilot", "tug", "gas", "port", "tide", "fog", "radio", "anchor"]
+    sentence = lambda: " ".join(rng.choice(words_) for _ in range(rng.randint(1, 9))).capitalize() + "."
+    rows, own = [], {}
+    for conv in range(40):
+        for turn in range(rng.randint(1, 9)):
+            said = " ".join(sentence() for _ in range(rng.randint(1, 4)))
+            own[conv, turn] = said
+            lines = []
+            if turn and rng.random() < 0.7:
+                quoted = own[conv, rng.randrange(turn)].split(" ")
+                level, cuts = rng.choice((1, 1, 1, 2, 3)), sorted(rng.sample(range(len(quoted) + 1), min(2, len(quoted))))
+                parts = [quoted[a:b] for a, b in zip([0, *cuts], [*cuts, len(quoted)], strict=True)]
+                lines = [rng.choice((">" * level + " ", "> " * level)) + " ".join(p) for p in parts if p]
+            rows.append((conv, turn, "user", "\n".join([*lines, said])))
+    expected = {}
+    for conv, turn, _, text in rows:
+        _, levels = _quoted(text)
+        wanted = {_plain(q) for q in levels.values()}
+        same = [t for t in range(turn) if _plain(own[conv, t]) in wanted]
+        expected[conv, turn] = (conv, max(same)) if same else (None, None)
+    found = quotes.reply_ordered(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")).collect()
+    assert {(r["conv_id"], r["turn"]): (r["parent_conv"], r["parent_turn"]) for r in found} == expected
+    assert {(r["conv_id"], r["turn"]): r["text"] for r in found} == own
+    assert sum(v[0] is not None for v in expected.values()) > 60
+
+
 def test_no_rows(none, spark):
     assert quality.digest(quality.ledger(none)).count() == 0
     assert mixing.digest(mixing.schedule(none)).count() == mixing.mix(none).count() == 0

@@ -5,6 +5,16 @@ from harborline.llm import packing
 from harborline.llm.store import written
 
 
+def test_no_rows_and_rows_of_nulls(spark, none, tmp_path):
+    none.write.parquet(str(tmp_path / "a" / "documents.parquet"))
+    assert corpus_pipeline.run(spark, str(tmp_path / "a")).count() == 0
+    nulls = spark.createDataFrame([tuple([None] * len(none.columns))] * 3, none.schema)
+    nulls.write.parquet(str(tmp_path / "b" / "documents.parquet"))
+    assert corpus_pipeline.run(spark, str(tmp_path / "b")).count() == 0
+    for _, stage in corpus_pipeline.STAGES[1:]:  # rows that the quality rules would have rejected
+        assert stage(spark, nulls, "").count() == 3
+
+
 def test_stages_keep_columns_and_take_effect(spark, docs, tmp_path):
     docs.write.parquet(str(tmp_path / "documents.parquet"))
     now, seen = spark.read.parquet(str(tmp_path / "documents.parquet")), {}

@@ -155,6 +155,27 @@ def test_random_runs_of_one_case_and_glued_keys():
         assert spans(plain) == []
 
 
+def test_recall_and_false_alarms_of_random_runs():
+    """The figures that the README states, on seeded keys of 20 to 64 characters and on readable runs as long."""
+    import random
+    import string
+
+    rng = random.Random(6)
+    efficiency = secrets._Efficiency.of(secrets.default_path())
+    hit = lambda text: bool(secrets.random_spans(f"see {text} here", [], efficiency))
+    alphabets = {
+        "base62": string.ascii_letters + string.digits, "base64": string.ascii_letters + string.digits + "+/", "base36": string.ascii_lowercase + string.digits,
+        "base32": string.ascii_uppercase + "234567", "letters": string.ascii_letters}
+    for name, letters in alphabets.items():
+        keys = ["".join(rng.choice(letters) for _ in range(rng.randint(20, 64))) for _ in range(300)]
+        assert sum(map(hit, keys)) >= (0.9 if name == "letters" else 0.95) * len(keys), name
+    some = ["configuration", "reference", "terminal", "document", "language", "training", "pipeline", "station", "average", "number", "token", "vessel", "berth", "user", "index", "value"]
+    names = ["".join(w.capitalize() for w in rng.choices(some, k=4)) for _ in range(300)] + ["_".join(rng.choices(some, k=4)) for _ in range(300)]
+    paths = ["/".join(rng.choices(some, k=4)) + f"/{rng.randint(1, 2030)}" for _ in range(300)] + [f"2024-{rng.randint(1, 12):02}-{rng.randint(1, 28):02}-{rng.choice(some)}-{rng.choice(some)}" for _ in range(300)]
+    digests = ["".join(rng.choice("0123456789abcdef") for _ in range(rng.choice((32, 40, 64)))) for _ in range(300)]
+    assert sum(map(hit, names + paths + digests)) <= 0.01 * 1500
+
+
 def test_identifiers_are_read_in_one_way():
     for run in ("1" * 5000 + "aB", "A" * 5000 + "ab", "abc" * 2000 + "A1b"):
         began = time.process_time()
