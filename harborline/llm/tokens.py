@@ -91,8 +91,11 @@ class WordIds:
 
     def _same(self, at: np.ndarray, data: np.ndarray, starts: np.ndarray, stops: np.ndarray) -> np.ndarray:
         """Whether words are, byte by byte, the known pieces whose numbers are given."""
-        out = self.bytes_length[at] == stops - starts
-        some = np.flatnonzero(out)
+        length = stops - starts
+        out = self.bytes_length[at] == length
+        short = np.flatnonzero(out & (length <= 8))
+        out[short] = self.bytes[self.bytes_at[at[short]]] == W.first_eight(data, starts[short], length[short])
+        some = np.flatnonzero(out & (length > 8))
         found, count = W.eights(data, starts[some], stops[some])
         ends = np.cumsum(count)
         equal = found == self.bytes[np.repeat(self.bytes_at[at[some]] - ends + count, count) + np.arange(len(found))]

@@ -128,6 +128,11 @@ def eights(data: np.ndarray, starts: np.ndarray, stops: np.ndarray) -> tuple[np.
     return _eights(data)[np.repeat(starts, pieces) + 8 * place] & _UPTO[np.minimum(np.repeat(length, pieces) - 8 * place, 8)], pieces
 
 
+def first_eight(data: np.ndarray, starts: np.ndarray, length: np.ndarray) -> np.ndarray:
+    """Words of at most 8 bytes as numbers."""
+    return _eights(data)[starts] & _UPTO[length]
+
+
 def _mixed(eights: np.ndarray, at: np.ndarray, left: np.ndarray, place: np.ndarray, seed: int) -> np.ndarray:
     """Pieces of 8 bytes (what lies behind a word's end is cut off), mixed with their place in the word."""
     found = eights[at] & _UPTO[np.minimum(left, 8)]
