@@ -42,5 +42,5 @@ def test_evidence(spark):
     best = zones.anchorage(early, eps=1.5, min_samples=3).first()
     assert (best["vessel_count"], best["call_count"], best["point_count"]) == (2, 2, 60)
     assert zones.anchorage(early.filter("mmsi = 1"), eps=1.5, min_samples=2).count() == 0
-    assert zones.evidence(points, "manoeuvre").count() == 0
-    assert zones.evidence(points.withColumn("speed_knots", F.lit(1.0)), "manoeuvre").count() == 62
+    assert zones.evidence(points, "manoeuvring_basin").count() == 0
+    assert zones.evidence(points.withColumn("speed_knots", F.lit(1.0)), "manoeuvring_basin").count() == 62
