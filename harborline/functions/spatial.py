@@ -110,6 +110,88 @@ def centroid(polygon: Column) -> Column:
     return F.struct((moment("x") / (3 * twice)).alias("x"), (moment("y") / (3 * twice)).alias("y"))
 
 
+def triangles(polygon: Column) -> Column:
+    """Array of struct<sign, ring>: anticlockwise triangles whose signed sum is the polygon without its holes."""
+
+    def fan(ring: Column, i: Column) -> Column:
+        a, first = ring[0], F.signum(_twice_area(ring)) * F.when(i == 0, 1).otherwise(-1)
+
+        def one(b: Column, k: Column) -> Column:
+            c = F.get(ring, k + 2)
+            s = (b["x"] - a["x"]) * (c["y"] - a["y"]) - (b["y"] - a["y"]) * (c["x"] - a["x"])
+            return F.struct((F.signum(s) * first).alias("sign"), F.when(s > 0, F.array(a, b, c)).otherwise(F.array(a, c, b)).alias("ring"))
+
+        return F.transform(F.slice(ring, 2, F.greatest(F.size(ring) - 2, F.lit(0))), one)
+
+    return F.filter(F.flatten(F.transform(polygon, fan)), lambda t: t["sign"] != 0)
+
+
+def clipped(ring: Column, by: Column) -> Column:
+    """The part of a ring that lies in a convex anticlockwise ring; an empty array if there is none."""
+    points = "array<struct<x:double,y:double>>"
+
+    def cut(left: Column, edge: Column) -> Column:
+        def side(p: Column) -> Column:
+            a, b = edge["a"], edge["b"]
+            return (b["x"] - a["x"]) * (p["y"] - a["y"]) - (b["y"] - a["y"]) * (p["x"] - a["x"])
+
+        def kept(e: Column) -> Column:
+            a, b, nothing = e["a"], e["b"], F.array().cast(points)
+            t = side(a) / (side(a) - side(b))
+            meets = F.struct((a["x"] + t * (b["x"] - a["x"])).alias("x"), (a["y"] + t * (b["y"] - a["y"])).alias("y"))
+            return F.concat(F.when(side(a) >= 0, F.array(a).cast(points)).otherwise(nothing), F.when((side(a) >= 0) != (side(b) >= 0), F.array(meets).cast(points)).otherwise(nothing))
+
+        return F.flatten(F.transform(_edges(left), kept)).cast(points)
+
+    return F.aggregate(_edges(by), ring.cast(points), cut)
+
+
+def ring_area(ring: Column) -> Column:
+    return F.abs(_twice_area(ring)) / 2
+
+
+def rectangle(polygon: Column) -> Column:
+    """struct<area, angle, length, width> of the smallest rectangle, turned as it may be, around the outer ring.
+
+    One of its sides runs through two corners, so the directions of all pairs of corners are tried. The angle is that of
+    the longer sides, in degrees above -90 up to 90.
+    """
+    ring = polygon[0]
+    pairs = F.flatten(F.transform(ring, lambda p: F.transform(ring, lambda q: F.when((p["x"] != q["x"]) | (p["y"] != q["y"]), F.atan2(q["y"] - p["y"], q["x"] - p["x"])))))
+    turns = F.array_distinct(F.filter(pairs, lambda t: (t > -math.pi / 2) & (t <= math.pi / 2)))
+
+    def box(t: Column) -> Column:
+        along = F.transform(ring, lambda p: p["x"] * F.cos(t) + p["y"] * F.sin(t))
+        across = F.transform(ring, lambda p: p["y"] * F.cos(t) - p["x"] * F.sin(t))
+        u, v, angle = F.array_max(along) - F.array_min(along), F.array_max(across) - F.array_min(across), F.degrees(t)
+        longer = F.when(u >= v, angle).when(angle > 0, angle - 90).otherwise(angle + 90)
+        return F.struct((u * v).alias("area"), longer.alias("angle"), F.greatest(u, v).alias("length"), F.least(u, v).alias("width"))
+
+    return F.array_min(F.transform(turns, box))
+
+
+def from_wkt(wkt: Column) -> Column:
+    """Array of polygons of a POLYGON or MULTIPOLYGON text, with or without an SRID; further ordinates are dropped. Other texts give null."""
+    body = F.regexp_extract(wkt, r"(?is)^\s*(?:SRID=[0-9]+;)?\s*(?:MULTI)?POLYGON\s*(?:ZM?|M)?\s*(\(.*\))\s*$", 1)
+    pairs = F.regexp_replace(body, r"([-+.0-9eE]+)\s+([-+.0-9eE]+)(?:\s+[-+.0-9eE]+)*", "[$1,$2]")
+    brackets = F.translate(pairs, "()", "[]")
+    many = F.when(wkt.rlike(r"(?i)MULTIPOLYGON"), brackets).otherwise(F.concat(F.lit("["), brackets, F.lit("]")))
+    rings = F.from_json(F.when(body != "", many), "array<array<array<array<double>>>>")
+    return F.transform(rings, lambda polygon: F.transform(polygon, lambda ring: F.transform(ring, lambda p: F.struct(p[0].alias("x"), p[1].alias("y"))))).cast(f"array<{POLYGON}>")
+
+
+def to_wkt(polygon: Column) -> Column:
+    """POLYGON text; rings are closed."""
+    def corner(p: Column) -> Column:
+        return F.concat_ws(" ", p["x"].cast("string"), p["y"].cast("string"))
+
+    def closed(r: Column) -> Column:
+        return F.when(F.element_at(r, -1) == r[0], r).otherwise(F.concat(r, F.slice(r, 1, 1)))
+
+    rings = F.transform(polygon, lambda r: F.concat(F.lit("("), F.array_join(F.transform(closed(r), corner), ", "), F.lit(")")))
+    return F.concat(F.lit("POLYGON ("), F.array_join(rings, ", "), F.lit(")"))
+
+
 def is_simple(polygon: Column) -> Column:
     """No two sides of the outer ring cross."""
     sides = _edges(polygon[0])

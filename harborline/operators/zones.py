@@ -26,15 +26,15 @@ def paired(templates: DataFrame, profiles: DataFrame, expected: int = 3) -> Data
 def fitted(pairs: DataFrame) -> DataFrame:
     """Each template's polygon scaled to its cluster's length and width, turned to its axis and moved to its centre.
 
-    The template's own extent is that of its outer ring along x and y.
+    The template's own length, width and direction are those of the smallest rectangle around it.
     """
-    box, centre = spatial.bounds(F.col("polygon")), spatial.centroid(F.col("polygon"))
-    sized = pairs.withColumns({"__b": box, "__c": centre})
+    sized = pairs.withColumns({"__r": spatial.rectangle(F.col("polygon")), "__c": spatial.centroid(F.col("polygon"))})
+    level = sized.withColumn("polygon", spatial.moved(F.col("polygon"), degrees=-F.col("__r.angle"), about=F.col("__c")))
     shape = spatial.moved(
         F.col("polygon"), dx=F.col("centre_x") - F.col("__c.x"), dy=F.col("centre_y") - F.col("__c.y"),
-        scale_x=F.col("length_metres") / (F.col("__b.x1") - F.col("__b.x0")), scale_y=F.col("width_metres") / (F.col("__b.y1") - F.col("__b.y0")),
+        scale_x=F.col("length_metres") / F.col("__r.length"), scale_y=F.col("width_metres") / F.col("__r.width"),
         degrees=F.col("axis_degrees"), about=F.col("__c"))
-    return sized.withColumn("polygon", shape).drop("__b", "__c")
+    return level.withColumn("polygon", shape).drop("__r", "__c")
 
 
 def normalised(zones: DataFrame, width: float = 10_000.0) -> DataFrame:
@@ -60,6 +60,22 @@ def touching_boxes(zones: DataFrame) -> DataFrame:
     return box.join(F.broadcast(other), (F.col("zone_code") < F.col("other")) & ~apart).select("zone_code", "other")
 
 
+def overlaps(zones: DataFrame, least_area: float = 1.0) -> DataFrame:
+    """Pairs (zone_code, other, area) that share more than an area. Zones may have holes and inward corners: both are taken
+    as signed sums of triangles, and each two triangles are clipped by each other."""
+    parts = zones.select("zone_code", F.inline(spatial.triangles(F.col("polygon"))))
+    other = parts.select(F.col("zone_code").alias("other"), F.col("sign").alias("other_sign"), F.col("ring").alias("other_ring"))
+    both = touching_boxes(zones).join(parts, "zone_code").join(other, "other")
+    shared = F.sum(F.col("sign") * F.col("other_sign") * spatial.ring_area(spatial.clipped(F.col("ring"), F.col("other_ring"))))
+    return both.groupBy("zone_code", "other").agg(shared.alias("area")).filter(F.col("area") > least_area)
+
+
+def require_apart(zones: DataFrame, least_area: float = 1.0) -> None:
+    """Raises if zones overlap by more than an area."""
+    if found := [f"{r['zone_code']} and {r['other']}: {r['area']:.2f}" for r in overlaps(zones, least_area).orderBy("zone_code", "other").collect()]:
+        raise ValueError(f"zones overlap: {', '.join(found)}")
+
+
 def before_berth(points: DataFrame, still: float = 0.5, least: int = 3) -> DataFrame:
     """Still points outside berths that a call has before its first point in a berth; calls with fewer than `least` go.
 

@@ -5,7 +5,7 @@ import json
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from harborline.functions import text
+from harborline.functions import spatial, text
 from harborline.functions.spatial import POLYGON
 from harborline.operators.rank import first_per_key
 
@@ -27,12 +27,27 @@ def lookup_candidates(table: DataFrame, key: str, order: list[str], n: int) -> D
     return first_per_key(table.dropna(subset=[key]), [key], [F.col(c) for c in order]).orderBy(*order).limit(n)
 
 
-def sql_file(spark: SparkSession, statement: str) -> DataFrame:
-    if not statement.strip():
-        raise ValueError("the SQL text is empty")
+def sql_file(spark: SparkSession, path: str) -> DataFrame:
+    """The result of the one statement in a file; raises if the file is blank."""
+    statement = "".join(r["value"] for r in spark.read.text(path, wholetext=True).collect()).strip().rstrip(";")
+    if not statement:
+        raise ValueError(f"the SQL file is empty: {path}")
     return spark.sql(statement)
 
 
+def require_tables(spark: SparkSession, names: list[str]) -> None:
+    """Raises unless tables or views of all names exist."""
+    if missing := [n for n in names if not spark.catalog.tableExists(n)]:
+        raise ValueError(f"missing tables: {', '.join(missing)}")
+
+
+def wkt_zones(zones: DataFrame, wkt: str = "wkt") -> DataFrame:
+    """zones with part and polygon in place of a WKT column: one row for each polygon; raises in a task on other texts."""
+    polygons = spatial.from_wkt(F.col(wkt))
+    checked = F.when(polygons.isNull() & F.col(wkt).isNotNull(), F.raise_error(F.concat(F.lit("no polygon: "), F.col(wkt)))).otherwise(polygons)
+    return zones.select(*[c for c in zones.columns if c != wkt], F.posexplode(checked).alias("part", "polygon"))
+
+
 def geojson_zones(spark: SparkSession, path: str) -> DataFrame:
     """zone_code, part, polygon, properties (JSON): one row for each polygon of each feature."""
     raw = spark.read.text(path, wholetext=True).select(F.from_json("value", "features array<struct<properties:string,geometry:struct<type:string,coordinates:string>>>").alias("j"))

@@ -235,8 +235,15 @@ def test_files(spark, tmp_path):
     with pytest.raises(ValueError, match="missing columns"):
         files.reference_csv(spark, str(tmp_path / "r.csv"), "imo bigint", ("flag",))
     assert text.joined(F.lit("a"), F.lit(" "), F.lit("b")) is not None
+    (tmp_path / "q.sql").write_text("select 1 as a,\n 2 as b;\n")
+    (tmp_path / "blank.sql").write_text("  \n")
+    assert tuple(files.sql_file(spark, str(tmp_path / "q.sql")).first()) == (1, 2)
     with pytest.raises(ValueError, match="empty"):
-        files.sql_file(spark, "  ")
+        files.sql_file(spark, str(tmp_path / "blank.sql"))
+    zones.createOrReplaceTempView("known_zones")
+    files.require_tables(spark, ["known_zones"])
+    with pytest.raises(ValueError, match="missing tables: lost_zones"):
+        files.require_tables(spark, ["known_zones", "lost_zones"])
 
 
 def test_gates_see_lost_calls_and_bounds(spark):
