@@ -81,10 +81,12 @@ def parsed_lookups(responses: DataFrame, record: str = "record") -> DataFrame:
 
 
 def export_csv(tables: dict[str, tuple[DataFrame, list[str]]], folder: str) -> dict[str, int]:
-    """Each table sorted into one CSV file with a header (results of days and calls, not positions); its row counts."""
+    """Each table sorted into one CSV file with a header (results of days and calls, not positions); its row counts.
+    Arrays, maps and structs become JSON text."""
     counts = {}
     for name, (df, order) in tables.items():
-        df.orderBy(*order).coalesce(1).write.mode("overwrite").csv(f"{folder}/{name}", header=True)
+        plain = df.withColumns({c: F.to_json(c) for c, t in df.dtypes if t.startswith(("array", "map", "struct"))})
+        plain.orderBy(*order).coalesce(1).write.mode("overwrite").csv(f"{folder}/{name}", header=True)
         counts[name] = df.count()
     return counts
 
