@@ -1,5 +1,7 @@
 """Density clusters of points, and their profiles."""
 
+import tempfile
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -45,12 +47,13 @@ def dbscan(points: DataFrame, eps: float, min_samples: int) -> DataFrame:
 
 
 def cut(df: DataFrame) -> DataFrame:
-    """df from a reliable checkpoint; in a session without a checkpoint folder, in one of its own."""
+    """df from a reliable checkpoint; a folder of our own only in a local session that names none."""
     context = df.sparkSession.sparkContext
     if not context.getCheckpointDir():
-        import tempfile
-
-        context.setCheckpointDir(df.sparkSession.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="spark-"))
+        given = df.sparkSession.conf.get("spark.checkpoint.dir", None) or context.getConf().get("spark.checkpoint.dir")
+        if not given and not context.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
+        context.setCheckpointDir(given or tempfile.mkdtemp(prefix="spark-"))
     return df.checkpoint()
 
 

@@ -6,9 +6,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from harborline.functions import numbers, spatial, text
-from harborline.operators import checks, clusters, intervals, merge, rank, sessions, spatial_joins, stats
+from harborline.operators import checks, clusters, intervals, merge, rank, sessions, spatial_joins, stats, zones
 from harborline.plans import calls as call_plans
 from harborline.plans import enrichment
+from harborline.sources import files, positions
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -136,15 +137,15 @@ def repeated_keys_having(spark, sf_dir):
     return call_plans.repeated_calls(table(spark, sf_dir, "orders").select(F.col("o_custkey").alias("mmsi"), F.col("o_orderpriority").alias("vessel_name")))
 
 
-_OLD = "select s_suppkey as k, s_name as name, case when s_suppkey % 3 = 0 then null else s_acctbal end as balance, case when s_suppkey % 4 = 0 then 'processing' else 'failed' end as status from supplier where s_suppkey % 5 <> 0"
-_NEW = "select s_suppkey as k, case when s_suppkey % 2 = 0 then null else upper(s_name) end as name, s_acctbal + 1 as balance, 'pending' as status from supplier where s_suppkey % 3 <> 1"
+_OLD = "select s_suppkey as k, s_name as name, case when s_suppkey % 3 = 0 then null else s_acctbal end as balance, case when s_suppkey % 4 = 0 then 'processing' else 'failed' end as status from supplier"
+_NEW = "select s_suppkey + 3 as k, case when s_suppkey % 2 = 0 then null else upper(s_name) end as name, s_acctbal + 1 as balance, 'pending' as status from supplier"
 
 
 def _old_new(spark, sf_dir):
     s = table(spark, sf_dir, "supplier")
     k = F.col("s_suppkey")
-    old = s.filter(k % 5 != 0).select(k.alias("k"), F.col("s_name").alias("name"), F.when(k % 3 != 0, F.col("s_acctbal")).alias("balance"), F.when(k % 4 == 0, "processing").otherwise("failed").alias("status"))
-    new = s.filter(k % 3 != 1).select(k.alias("k"), F.when(k % 2 != 0, F.upper("s_name")).alias("name"), (F.col("s_acctbal") + 1).alias("balance"), F.lit("pending").alias("status"))
+    old = s.select(k.alias("k"), F.col("s_name").alias("name"), F.when(k % 3 != 0, F.col("s_acctbal")).alias("balance"), F.when(k % 4 == 0, "processing").otherwise("failed").alias("status"))
+    new = s.select((k + 3).alias("k"), F.when(k % 2 != 0, F.upper("s_name")).alias("name"), (F.col("s_acctbal") + 1).alias("balance"), F.lit("pending").alias("status"))
     return old, new
 
 
@@ -251,12 +252,112 @@ def pca_axis(spark, sf_dir):
     return e.groupBy("label").agg(r4(spatial.principal_axis(F.col("x"), F.col("y"))).alias("axis"), r4(F.percentile("x", 0.98) - F.percentile("x", 0.02)).alias("spread"))
 
 
-@query()
+@query("""with recursive p as (select vec_id as id, embedding[1]::double as x, embedding[2]::double as y from embeddings),
+n as (select a.id as a, b.id as b from p a join p b on pow(a.x - b.x, 2) + pow(a.y - b.y, 2) <= 0.02::double * 0.02::double),
+c as (select a as id from n group by 1 having count(*) >= 5),
+l as (select n.a, n.b from n join c x on x.id = n.a join c y on y.id = n.b),
+r as (select id, id as root from c union select l.b, r.root from r join l on l.a = r.id),
+m as (select id, min(root) as label from r group by 1),
+e as (select a as id, min(label) as edge from n join m on m.id = n.b group by 1),
+d as (select e.id, coalesce(m.label, edge) as label from e left join m using (id)),
+o as (select label, row_number() over (order by label) - 1 as cluster_id from (select distinct label from d))
+select p.id as point_id, coalesce(cluster_id, -1)::bigint as cluster_id from p left join d using (id) left join o using (label)""")
 def dbscan_clusters(spark, sf_dir):
     p = table(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("point_id"), "label", F.col("embedding")[0].cast("double").alias("x"), F.col("embedding")[1].cast("double").alias("y"))
     return clusters.dbscan(p, 0.02, 5).select("point_id", "cluster_id")
 
 
+_CLUSTERED = "select label as cluster_id, vec_id, embedding[1]::double * 1000 as x, embedding[2]::double * 1000 as y from embeddings"
+
+
+def _clustered(spark, sf_dir):
+    at = lambda i: F.col("embedding")[i].cast("double") * 1000
+    return table(spark, sf_dir, "embeddings").select(F.col("label").alias("cluster_id"), "vec_id", at(0).alias("x"), at(1).alias("y"))
+
+
+@query(f"select cluster_id, count(*)::bigint as point_count, count(distinct vec_id % 50)::bigint as vessel_count, {R4.format('avg(x)')} as centre_x, {R4.format('avg(y)')} as centre_y from ({_CLUSTERED}) where cluster_id >= 0 group by 1")
+def cluster_summary(spark, sf_dir):
+    c = clusters.summary(_clustered(spark, sf_dir).withColumn("mmsi", F.col("vec_id") % 50))
+    return c.select("cluster_id", "point_count", "vessel_count", r4(F.col("centre_x")).alias("centre_x"), r4(F.col("centre_y")).alias("centre_y"))
+
+
+@query(f"""
+with p as ({_CLUSTERED}), c as (select cluster_id, avg(x) as cx, avg(y) as cy, 0.5 * atan2(2 * covar_samp(x, y), var_samp(x) - var_samp(y)) as t from p where cluster_id >= 0 group by 1),
+a as (select cluster_id, cx, t, (x - cx) * cos(t) + (y - cy) * sin(t) as u, (y - cy) * cos(t) - (x - cx) * sin(t) as v from p join c using (cluster_id)),
+f as (select cluster_id, any_value(cx) as cx, any_value(t) as t, count(*)::bigint as point_count, quantile_cont(u, 0.98) - quantile_cont(u, 0.02) as u, quantile_cont(v, 0.98) - quantile_cont(v, 0.02) as v from a group by 1)
+select row_number() over (order by cx, cluster_id)::bigint as place, cluster_id, point_count, {R4.format('degrees(t)')} as axis_degrees, {R4.format('greatest(u + 30, 80)')} as length_metres, {R4.format('greatest(v + 30, 40)')} as width_metres from f""")
+def cluster_profiles_west_to_east(spark, sf_dir):
+    points = _clustered(spark, sf_dir)
+    found = points.filter("cluster_id >= 0").select("cluster_id").distinct().count()
+    c = zones.west_to_east(clusters.profiles(points), found)
+    return c.select(F.col("place").cast("long").alias("place"), "cluster_id", "point_count", *[r4(F.col(n)).alias(n) for n in ("axis_degrees", "length_metres", "width_metres")])
+
+
+_RAW_SQL = """select 366000000 + user_id as mmsi, case when event_id % 11 <> 0 then ts end as recorded_at, case when event_type <> 'error' then value / 5 end as latitude, -value / 2 as longitude,
+case when value between 0 and 102.2 then value end as speed_knots, case when value * 1.5 between 0 and 359.9 then value * 1.5 end as course_degrees, case when value between 0 and 359 then value end as heading_degrees,
+case when event_id % 3 <> 0 then event_type end as vessel_name, 'IMO ' || (1000000 + user_id) as imo, (case event_id % 4 when 0 then 0 when 2 then 1 end)::bigint as status, (case when event_id % 2 = 0 then 80 end)::bigint as vessel_type,
+case when value between 1 and 500 then value end as length_metres, case when value between 1 and 100 then value end as width_metres, case when value between 0 and 30 then value end as draught_metres from events"""
+
+
+def _raw_positions(spark, sf_dir):
+    """A feed as text, with what feeds have: blanks, words for numbers, fractions for codes, readings out of range."""
+    e, n, value = table(spark, sf_dir, "events"), F.col("event_id"), F.col("value")
+    text_of = {
+        "MMSI": F.concat(F.lit(" "), (F.lit(366000000) + F.col("user_id")).cast("string")), "BaseDateTime": F.when(n % 11 == 0, "n/a").otherwise(F.col("ts").cast("string")), "LAT": F.when(F.col("event_type") == "error", "").otherwise((value / 5).cast("string")),
+        "LON": (-value / 2).cast("string"), "SOG": value.cast("string"), "COG": (value * 1.5).cast("string"), "Heading": value.cast("string"), "VesselName": F.when(n % 3 == 0, "  ").otherwise(F.concat(F.lit(" "), F.col("event_type"), F.lit(" "))),
+        "IMO": F.concat(F.lit("IMO "), (F.lit(1000000) + F.col("user_id")).cast("string")), "CallSign": F.lit(None).cast("string"), "VesselType": F.when(n % 2 == 0, "80.0").otherwise("8x"), "Status": ((n % 4) / 2).cast("string"),
+        "Length": value.cast("string"), "Width": value.cast("string"), "Draft": value.cast("string"), "Cargo": F.lit(""), "TransceiverClass": F.lit("A")}
+    return e.select(*[c.alias(name) for name, c in text_of.items()])
+
+
+_POSITIONS_SQL = f"""select distinct on (mmsi, recorded_at) * from ({_RAW_SQL}) where recorded_at is not null and latitude between -90 and 90 and longitude between -180 and 180
+order by mmsi, recorded_at, latitude, longitude, speed_knots, course_degrees, heading_degrees, vessel_name nulls last, imo, vessel_type nulls last, status nulls last"""
+
+
+@query(_POSITIONS_SQL)
+def cleaned_positions(spark, sf_dir):
+    return ntz(positions.clean(_raw_positions(spark, sf_dir)).drop("call_sign", "cargo", "transceiver_class"))
+
+
+@query(f"""select distinct on (mmsi) mmsi, imo[5:]::bigint as imo, vessel_name, vessel_type, length_metres from ({_POSITIONS_SQL})
+order by mmsi, vessel_name is not null desc, vessel_type is not null desc, length_metres is not null desc, recorded_at desc""")
+def loaded_vessels(spark, sf_dir):
+    raw = _raw_positions(spark, sf_dir)
+    typed = positions.clean(raw)
+    vessels, _ = positions.load(typed, typed.limit(0).select(*positions.VESSEL).withColumn("imo", F.col("imo").cast("bigint")), typed.limit(0).select(*positions.POSITION))
+    return vessels.select("mmsi", "imo", "vessel_name", "vessel_type", "length_metres")
+
+
+@query("""select o_custkey, o_orderkey from (select distinct on (o_custkey) * from orders order by o_custkey, o_orderdate, o_orderkey) order by o_orderdate, o_orderkey limit 100""")
+def lookup_candidates(spark, sf_dir):
+    return files.lookup_candidates(table(spark, sf_dir, "orders"), "o_custkey", ["o_orderdate", "o_orderkey"], 100).select("o_custkey", "o_orderkey")
+
+
+@query("""with q as (select s_suppkey as k, 'imo:' || s_suppkey as lookup_key, case s_suppkey % 3 when 0 then 'pending' when 1 then 'failed' else 'completed' end as queue_status, s_suppkey % 4 as attempts,
+  case when s_suppkey % 3 = 1 then timestamp '2024-01-01' + to_days((s_suppkey % 5)::int) end as next_attempt_at, timestamp '2024-01-01' + to_days((s_suppkey % 7)::int) as created_at from supplier),
+t as (select lookup_key from q where queue_status = 'pending' or queue_status = 'failed' and next_attempt_at <= timestamp '2024-01-03' order by created_at, lookup_key limit 20)
+select k, case when t.lookup_key is not null then 'processing' else queue_status end as queue_status, (attempts + (t.lookup_key is not null)::int)::bigint as attempts from q left join t using (lookup_key)""")
+def queue_claim(spark, sf_dir):
+    k = F.col("s_suppkey")
+    day = lambda n: F.to_timestamp(F.date_add(F.lit("2024-01-01").cast("date"), n.cast("int")))
+    queue = table(spark, sf_dir, "supplier").select(
+        F.concat(F.lit("imo:"), k.cast("string")).alias("lookup_key"), k.alias("imo"), F.when(k % 3 == 0, "pending").when(k % 3 == 1, "failed").otherwise("completed").alias("queue_status"), (k % 4).cast("int").alias("attempt_count"),
+        F.lit(None).cast("timestamp").alias("last_attempt_at"), F.when(k % 3 == 1, day(k % 5)).alias("next_attempt_at"), day(k % 7).alias("created_at"))
+    _, marked = enrichment.claim(queue, F.to_timestamp(F.lit("2024-01-03")), 20)
+    return marked.select(F.col("imo").alias("k"), "queue_status", F.col("attempt_count").cast("long").alias("attempts"))
+
+
+@query("""with r as (select s_suppkey as k, case when s_suppkey % 5 <> 0 then s_suppkey end as imo, case s_suppkey % 3 when 0 then 'no' when 1 then ' TRUE ' else 'yes' end as found, case s_suppkey % 4 when 0 then ' ' when 1 then 'timeout' end as error,
+  case when s_suppkey % 7 <> 0 then s_suppkey end as own from supplier)
+select k, case when imo is null then 'no imo' when trim(error) <> '' then 'error' when found = 'no' then 'not found' when own is null then 'identification differs' end as skip_reason from r""")
+def skip_reasons(spark, sf_dir):
+    k = F.col("s_suppkey")
+    results = table(spark, sf_dir, "supplier").select(
+        k.alias("k"), F.when(k % 5 != 0, k).alias("imo"), F.when(k % 3 == 0, "no").when(k % 3 == 1, " TRUE ").otherwise("yes").alias("found"), F.when(k % 4 == 0, " ").when(k % 4 == 1, "timeout").alias("error"),
+        F.when(k % 7 != 0, F.concat(F.lit("IMO 00"), k.cast("string"))).otherwise("other").alias("identification"))
+    return enrichment.skip_reasons(results).select("k", "skip_reason")
+
+
 _LINES = "select l_orderkey, l_linenumber, l_suppkey, least(o_orderdate, l_shipdate) as s, greatest(o_orderdate, l_shipdate) as e from lineitem join orders on l_orderkey = o_orderkey"
 
 
