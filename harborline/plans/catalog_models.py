@@ -180,6 +180,17 @@ def latest_risk(spark, sf_dir):
     return serve.latest_risk(_models(spark, sf_dir, *_ALL)["risk_explanations_daily"])
 
 
+@query(CHAIN + f"select {_EXPLAINED} from ex order by metric_date desc limit 30")
+def risk_history(spark, sf_dir):
+    return serve.risk_history(_models(spark, sf_dir, *_ALL)["risk_explanations_daily"])
+
+
+@query(CHAIN + f"select metric_date, arrivals, departures, {', '.join(R4.format(c) + ' as ' + c for c in _DAILY)} from dm order by metric_date desc limit 14")
+def terminal_days(spark, sf_dir):
+    d = serve.terminal_days(_models(spark, sf_dir, "call_delay_metrics")["terminal_daily_metrics"], 14)
+    return d.select("metric_date", "arrivals", "departures", *[r4(F.col(c)).alias(c) for c in _DAILY])
+
+
 @query(CHAIN + "select metric_date, 'arrivals' as movement, arrivals as calls from dm union all select metric_date, 'departures', departures from dm")
 def daily_movements(spark, sf_dir):
     return serve.daily_movements(_models(spark, sf_dir, "call_delay_metrics")["terminal_daily_metrics"])

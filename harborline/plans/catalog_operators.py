@@ -76,9 +76,9 @@ def dedup_keep_first(spark, sf_dir):
     return rank.first_per_key(table(spark, sf_dir, "lineitem"), ["l_orderkey", "l_linenumber"], order).select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity")
 
 
-@query("""select event_id, case when value between 10 and 400 then value end as value, try_cast(json_extract_string(props, '$.k') as bigint) as k, upper(trim(event_type)) as event_type from events where user_id is not null and ts is not null and value between 1 and 480""")
+@query("""select event_id, case when value between 10 and 400 then value end as value, try_cast(json_extract_string(props, '$.k') as bigint) as k, upper(trim(event_type)) as event_type from events where user_id is not null and ts is not null""")
 def clean_range_null(spark, sf_dir):
-    e = table(spark, sf_dir, "events").dropna(subset=["user_id", "ts"]).filter(F.col("value").between(1, 480))
+    e = table(spark, sf_dir, "events").dropna(subset=["user_id", "ts"])
     return e.select("event_id", numbers.null_outside(F.col("value"), 10, 400).alias("value"), text.to_whole(F.get_json_object("props", "$.k")).alias("k"), F.upper(F.trim("event_type")).alias("event_type"))
 
 
