@@ -4,7 +4,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from harborline.llm import imatch, infill, mixing, near_dedup, packing, private, quality, quotes, rans, secrets, substrings
+from harborline.llm import imatch, infill, mixing, near_dedup, packing, private, quality, quotes, rans, secrets, sharding, substrings
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -51,6 +51,10 @@ def op10_quotation_chats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quotes.reply_ordered(_table(spark, sf_dir, "conversations"))
 
 
+def op12_minimax_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.digest(_table(spark, sf_dir, "documents"))
+
+
 def op13_duckdb_infill(spark: SparkSession, sf_dir: str) -> DataFrame:
     return infill.digest(_table(spark, sf_dir, "documents"))
 
@@ -66,6 +70,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_rans_token_ids": op8_rans_token_ids,
     "op9_mix_sources": op9_mix_sources,
     "op10_quotation_chats": op10_quotation_chats,
+    "op12_minimax_shards": op12_minimax_shards,
     "op13_duckdb_infill": op13_duckdb_infill,
 }
 
