@@ -4,7 +4,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from harborline.llm import imatch, infill, mixing, near_dedup, packing, private, quality, quotes, rans, secrets, sharding, substrings
+from harborline.llm import imatch, infill, lexical, mixing, near_dedup, packing, private, quality, quotes, rans, secrets, sharding, substrings
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -51,6 +51,10 @@ def op10_quotation_chats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quotes.reply_ordered(_table(spark, sf_dir, "conversations"))
 
 
+def op11_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical.digest(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
 def op12_minimax_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.digest(_table(spark, sf_dir, "documents"))
 
@@ -70,6 +74,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_rans_token_ids": op8_rans_token_ids,
     "op9_mix_sources": op9_mix_sources,
     "op10_quotation_chats": op10_quotation_chats,
+    "op11_ranked_search": op11_ranked_search,
     "op12_minimax_shards": op12_minimax_shards,
     "op13_duckdb_infill": op13_duckdb_infill,
 }
@@ -77,5 +82,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 ORACLE_SQL: dict[str, str] = {
     "op6_quality_rules": quality.ORACLE_SQL,
     "op9_mix_sources": mixing.ORACLE_SQL,
+    "op11_ranked_search": lexical.ORACLE_SQL,
     "op13_duckdb_infill": infill.ORACLE_SQL,
 }
