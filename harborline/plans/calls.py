@@ -56,15 +56,14 @@ def gap_analysis(calls: DataFrame, positions: DataFrame, terminals: DataFrame) -
     """For each call and the vessel's next one at the terminal: hours between, and positions strictly between, near and far."""
     from harborline.functions.spatial import distance_m
 
-    pairs = _pairs(calls).select("terminal_id", "mmsi", "port_call_id", "next_call_id", "departure_time", "next_arrival").join(
-        terminals.select("terminal_id", F.col("latitude").alias("__lat"), F.col("longitude").alias("__lon"), "detection_radius_metres"), "terminal_id")
-    here = positions.select(F.col("mmsi").alias("__mmsi"), "recorded_at", "latitude", "longitude")
-    inside = (F.col("recorded_at") > F.col("departure_time")) & (F.col("recorded_at") < F.col("next_arrival"))
-    joined = pairs.join(here, (F.col("mmsi") == F.col("__mmsi")) & inside, "left")
+    keys = ["terminal_id", "mmsi", "port_call_id", "next_call_id", "departure_time", "next_arrival"]
+    pairs = _pairs(calls).select(*keys)
+    placed = pairs.join(terminals.select("terminal_id", F.col("latitude").alias("__lat"), F.col("longitude").alias("__lon"), "detection_radius_metres"), "terminal_id")
+    between = intervals.contained(positions.select("mmsi", "recorded_at", "latitude", "longitude"), placed, ["mmsi"], "recorded_at", "departure_time", "next_arrival", closed=False)
     near = distance_m(F.col("latitude"), F.col("longitude"), F.col("__lat"), F.col("__lon")) <= F.col("detection_radius_metres")
-    return joined.groupBy("terminal_id", "mmsi", "port_call_id", "next_call_id", "departure_time", "next_arrival").agg(
-        F.count("recorded_at").alias("gap_positions"), F.count_if(near).alias("positions_inside_radius"), F.count_if(~near).alias("positions_outside_radius"),
-    ).withColumn("gap_hours", hours_between(F.col("departure_time"), F.col("next_arrival")))
+    counts = between.groupBy("port_call_id").agg(F.count("*").alias("gap_positions"), F.count_if(near).alias("positions_inside_radius"), F.count_if(~near).alias("positions_outside_radius"))
+    zero = [F.coalesce(c, F.lit(0)).alias(c) for c in ("gap_positions", "positions_inside_radius", "positions_outside_radius")]
+    return placed.join(counts, "port_call_id", "left").select(*keys, *zero, hours_between(F.col("departure_time"), F.col("next_arrival")).alias("gap_hours"))
 
 
 def repeated_calls(calls: DataFrame) -> DataFrame:
@@ -77,7 +76,7 @@ def validated_calls(probable: DataFrame, outages: DataFrame, config: Config = DE
     w = Window.partitionBy("terminal_id", "mmsi").orderBy("arrival_time", "port_call_id")
     chained = probable.withColumn("previous_departure", F.lag("departure_time").over(w))
     gaps = chained.filter("previous_departure is not null").select("port_call_id", "previous_departure", "arrival_time")
-    bridged = intervals.overlapping(gaps, outages, "previous_departure", "arrival_time", "outage_start", "outage_end", slack=config.outage_slack).select("port_call_id", F.lit(True).alias("bridged"))
+    bridged = intervals.overlapping(gaps, ["port_call_id"], outages, "previous_departure", "arrival_time", "outage_start", "outage_end", slack=config.outage_slack).withColumn("bridged", F.lit(True))
     started = chained.join(bridged, "port_call_id", "left").withColumn("start", F.when(F.col("bridged"), 0).otherwise(1))
     island = started.withColumn("group_no", F.sum("start").over(w.rowsBetween(Window.unboundedPreceding, 0)))
     merged = island.groupBy("terminal_id", "mmsi", "group_no").agg(
