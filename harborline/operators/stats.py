@@ -46,18 +46,52 @@ def null_profile(df: DataFrame) -> DataFrame:
     return counts.select(F.explode(each).alias("x"), "n").select("x.column_name", "x.null_count", F.col("n").alias("total_rows"))
 
 
+#: Blocks that a key's values are cut into, and the percentiles that histories tell.
+BLOCKS, HISTORY_PERCENTS = 256, (50, 75, 90, 95)
+
+
+def _matched(left: DataFrame, right: DataFrame, keys: list[str], how: str = "inner") -> DataFrame:
+    """A join on keys of which some may be null, or none given; the right side's keys go."""
+    named = right.withColumnsRenamed({k: f"__of_{k}" for k in keys})
+    same = [F.col(k).eqNullSafe(F.col(f"__of_{k}")) for k in keys] or [F.lit(True)]
+    return left.join(named, same, how).drop(*[f"__of_{k}" for k in keys])
+
+
+def _known(counts: DataFrame, asked: DataFrame, group: list[str], day: str) -> DataFrame:
+    """asked, with __c: the rows of its group that were counted on earlier days; only where there are any."""
+    both = counts.withColumn("__asked", F.lit(False)).unionByName(asked.withColumns({"__n": F.lit(0).cast("long"), "__asked": F.lit(True)}), allowMissingColumns=True)
+    earlier = Window.partitionBy(*group).orderBy(F.unix_date(day)).rangeBetween(Window.unboundedPreceding, -1)
+    return both.withColumn("__c", F.sum("__n").over(earlier)).filter(F.col("__asked") & (F.col("__c") > 0)).drop("__n", "__asked")
+
+
 def pit_history(days: DataFrame, day: str, df: DataFrame, keys: list[str], ended: str, value: str) -> DataFrame:
     """day, keys, history_calls and p50, p75, p90, p95 of the values of all rows that ended before the day began; for days with any.
 
-    One pass over each key's days in order: values are gathered by end day, and a window keeps those of all earlier days. No
-    row is repeated for later days. Exact percentiles of a key need its values together; they are of the size of calls.
+    Each key's values are cut once, at quantiles, into BLOCKS blocks in their order. Counts by block and day, summed over the
+    days, tell in which block each percentile of a day lies, and how many values in it are less; the counts of that block's
+    values tell which value it is. No task holds a key's values, and no day repeats those of earlier days: there are a day's
+    blocks, and at most eight blocks' values, to look at. Null values and ends don't count.
     """
-    daily = df.groupBy(*keys, F.to_date(ended).alias(day)).agg(F.collect_list(value).alias("__values")).withColumn("__asked", F.lit(False))
-    grid = df.select(*keys).distinct().crossJoin(days.select(day).distinct()) if keys else days.select(day).distinct()
-    both = daily.unionByName(grid.withColumns({"__values": F.lit(None).cast("array<double>"), "__asked": F.lit(True)}))
-    earlier = Window.partitionBy(*keys).orderBy(F.unix_date(day)).rangeBetween(Window.unboundedPreceding, -1)
-    known = both.withColumn("__known", F.sort_array(F.flatten(F.collect_list("__values").over(earlier)))).filter(F.col("__asked") & (F.size("__known") > 0))
-    place = lambda p: (F.size("__known") - 1) * F.lit(p)
-    at = lambda p, f: F.get("__known", f(place(p)).cast("int"))
-    each = [(at(p, F.floor) + (at(p, F.ceil) - at(p, F.floor)) * (place(p) - F.floor(place(p)))).alias(f"p{round(100 * p)}_minutes") for p in (0.5, 0.75, 0.9, 0.95)]
-    return known.select(day, *keys, F.size("__known").cast("long").alias("history_calls"), *each)
+    counted = df.filter(F.col(ended).isNotNull() & F.col(value).isNotNull()).groupBy(*keys, F.col(value).alias("__v"), F.to_date(ended).alias(day)).agg(F.count("*").alias("__n"))
+    cuts = counted.groupBy(*keys).agg(F.percentile_approx("__v", [i / BLOCKS for i in range(1, BLOCKS)], 100 * BLOCKS).alias("__cuts"))
+    placed = _matched(counted, cuts, keys).withColumn("__block", F.size(F.filter("__cuts", lambda c: c < F.col("__v")))).drop("__cuts")
+
+    blocks = placed.groupBy(*keys, "__block", day).agg(F.sum("__n").alias("__n"))
+    grid = blocks.select(*keys, "__block").distinct().crossJoin(days.select(day).distinct())
+    order = Window.partitionBy(*keys, day)
+    by_block = _known(blocks, grid, [*keys, "__block"], day).withColumns({
+        "__upto": F.sum("__c").over(order.orderBy("__block").rowsBetween(Window.unboundedPreceding, 0)), "__total": F.sum("__c").over(order)})
+    place = lambda p: (F.col("__total") - 1) * F.lit(p / 100)
+    asks = [F.struct(F.lit(f"{end}{p}").alias("of"), f(place(p)).cast("long").alias("at")) for p in HISTORY_PERCENTS for end, f in (("low", F.floor), ("high", F.ceil))]
+    before = F.col("__upto") - F.col("__c")
+    within = lambda a, start: (a["at"] >= start) & (a["at"] < start + F.col("__c"))
+    inside = F.transform(F.filter(F.array(*asks), lambda a: within(a, before)), lambda a: F.struct(a["of"].alias("of"), (a["at"] - before).alias("at")))
+    hit = by_block.withColumn("__asks", inside).filter(F.size("__asks") > 0).drop("__c", "__upto")
+
+    values = _matched(hit, placed.select(*keys, "__block", "__v").distinct(), [*keys, "__block"])
+    upto = F.sum("__c").over(Window.partitionBy(*keys, "__block", day).orderBy("__v").rowsBetween(Window.unboundedPreceding, 0))
+    by_value = _known(placed, values, [*keys, "__block", "__v"], day).withColumn("__upto", upto)
+    found = by_value.select(day, *keys, "__total", "__v", F.explode(F.filter("__asks", lambda a: within(a, F.col("__upto") - F.col("__c")))["of"]).alias("__of"))
+    ends = found.groupBy(day, *keys, "__total").agg(*[F.max(F.when(F.col("__of") == f"{e}{p}", F.col("__v"))).alias(f"__{e}{p}") for p in HISTORY_PERCENTS for e in ("low", "high")])
+    low, high = (lambda p: F.col(f"__low{p}")), (lambda p: F.col(f"__high{p}"))
+    return ends.select(day, *keys, F.col("__total").alias("history_calls"), *[(low(p) + (high(p) - low(p)) * (place(p) - F.floor(place(p)))).alias(f"p{p}_minutes") for p in HISTORY_PERCENTS])

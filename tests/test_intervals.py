@@ -8,7 +8,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from harborline.operators import intervals
+from harborline.operators import intervals, stats
 
 DAY0 = dt.datetime(2023, 1, 1)
 
@@ -118,3 +118,37 @@ def test_running_sums_cross_days(spark):
     df = spark.createDataFrame([("a", _at(m), m) for m in (5, 10, 1500, 1501, 9000)] + [(None, _at(3), 7), (None, _at(4000), 1)], "k string, at timestamp, v int")
     found = {(r["k"], r["v"]): (r["total"], r["next"]) for r in intervals.running(df, ["k"], "at", {"total": "v"}, "next").collect()}
     assert found == {("a", 5): (5, _at(10)), ("a", 10): (15, _at(1500)), ("a", 1500): (1515, _at(1501)), ("a", 1501): (3016, _at(9000)), ("a", 9000): (12016, None), (None, 7): (7, _at(4000)), (None, 1): (8, None)}
+
+
+def _histories(rows, days, by_key):
+    out = set()
+    for d in days:
+        for k in {r[0] for r in rows} if by_key else {None}:
+            known = [v for o, t, v in rows if None not in (t, v) and t.date() < d and (not by_key or o == k)]
+            if known:
+                out.add((d, *([k] if by_key else []), len(known), *np.round(np.percentile(known, [50, 75, 90, 95]), 6).tolist()))
+    return out
+
+
+@pytest.mark.parametrize("by_key", [True, False])
+@pytest.mark.parametrize("blocks", [256, 3])
+def test_histories_of_ties_nulls_and_many_values(spark, monkeypatch, by_key, blocks):
+    monkeypatch.setattr(stats, "BLOCKS", blocks)
+    rng = np.random.default_rng(5)
+    rows = [(["a", "b", None][k], _at(t), float(v)) for k, t, v in zip(rng.integers(0, 3, 400), rng.integers(0, 40_000, 400), rng.choice([1, 2, 2.5, 7], 400) * rng.choice([1, 1, 1, rng.uniform(1, 9)], 400), strict=True)]
+    rows += [("a", _at(t), float(v)) for t, v in zip(rng.integers(0, 40_000, 300), rng.normal(50, 20, 300), strict=True)] + [("a", None, 1.0), ("b", _at(5), None), ("c", _at(39_000), 4.0)]
+    days = [DAY0.date() + dt.timedelta(days=i) for i in range(-2, 33, 3)]
+    df = spark.createDataFrame(rows, "k string, t timestamp, v double")
+    asked = spark.createDataFrame([(d,) for d in days * 2], "day date")
+    found = [tuple(round(x, 6) if isinstance(x, float) else x for x in r) for r in stats.pit_history(asked, "day", df, ["k"] if by_key else [], "t", "v").collect()]
+    assert len(found) == len(set(found)) and set(found) == _histories(rows, days, by_key)
+
+
+def test_histories_hold_no_lists_of_values(spark):
+    """Each row of a day is a block or a value of a block, and nothing in the plan gathers values."""
+    df = spark.range(3000).select(F.timestamp_seconds(F.lit(1_672_531_200) + F.col("id") * 600).alias("t"), (F.col("id") * 37 % 1000).cast("double").alias("v"))
+    days = spark.range(20).select(F.date_add(F.lit("2023-01-02").cast("date"), F.col("id").cast("int")).alias("day"))
+    found = stats.pit_history(days, "day", df, [], "t", "v")
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert "collect_list" not in plan and not re.findall(r"windowspecdefinition\((\w+)#\d+L? ASC", plan)
+    assert found.count() == 20
