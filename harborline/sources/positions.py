@@ -23,28 +23,40 @@ VESSEL = ("mmsi", "imo", "vessel_name", "call_sign", "vessel_type", "length_metr
 POSITION = ("mmsi", "recorded_at", "latitude", "longitude", "speed_knots", "course_degrees", "heading_degrees", "status", "draught_metres")
 
 
-def read_raw(spark: SparkSession, path: str) -> DataFrame:
-    """All columns as text, under a fixed schema: nothing is inferred from the data."""
+#: A row's place in the feed: struct<file, start, row>, the file, the first byte of the part of it that a task reads, and the
+#: number of the row in the task, which rises within that part.
+FEED = "feed_place"
+
+
+def read_raw(spark: SparkSession, path: str | list[str]) -> DataFrame:
+    """All columns as text, under a fixed schema (nothing is inferred from the data), and each row's place in the feed. Files
+    come in the order of their paths."""
     schema = ", ".join(f"`{c}` string" for c in COLUMNS)
-    return spark.read.schema(schema).csv(path, header=True)
+    raw = spark.read.schema(schema).csv(path, header=True)
+    place = F.struct(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("start"), F.monotonically_increasing_id().alias("row"))
+    return raw.select(*raw.columns, place.alias(FEED))
 
 
 def profile(raw: DataFrame) -> DataFrame:
     """Columns by number of nulls, most first."""
-    return null_profile(raw).orderBy(F.desc("null_count"), "column_name")
+    return null_profile(raw.drop(FEED)).orderBy(F.desc("null_count"), "column_name")
 
 
-def clean(raw: DataFrame) -> DataFrame:
+def clean(raw: DataFrame, place: str = FEED) -> DataFrame:
     """Renamed, cast leniently, without rows that lack a key or have no valid number or place; readings out of range are
-    null; one row for each vessel and time, the first in the order of the other columns."""
+    null; one row for each vessel and time, the first valid one in the feed.
+
+    place: a column of raw that orders the feed; it goes. Without it a table has no order, and the first in the order of the
+    other columns stays.
+    """
     df = raw.withColumnsRenamed(COLUMNS)
     df = df.withColumns({c: text.to_number(F.col(c).cast("string")) for c in NUMBERS} | {c: text.to_whole(F.col(c).cast("string")) for c in WHOLE} | {c: text.blank_to_null(F.col(c).cast("string")) for c in TEXTS})
     df = df.withColumns({"mmsi": F.trim(F.col("mmsi").cast("string")), "recorded_at": text.to_time(F.col("recorded_at").cast("string"))})
     df = df.dropna(subset=["mmsi", "recorded_at", "latitude", "longitude"])
     df = df.filter(F.col("mmsi").rlike("^[0-9]{9}$") & F.col("latitude").between(-90, 90) & F.col("longitude").between(-180, 180))
     df = df.withColumns({c: null_outside(F.col(c), *r) for c, r in RANGES.items()}).withColumn("mmsi", F.col("mmsi").cast("bigint"))
-    rest = [c for c in df.columns if c not in ("mmsi", "recorded_at")]
-    return first_per_key(df, ["mmsi", "recorded_at"], [F.col(c).asc_nulls_last() for c in rest])
+    rest = [place] if place in df.columns else [c for c in df.columns if c not in ("mmsi", "recorded_at")]
+    return first_per_key(df, ["mmsi", "recorded_at"], [F.col(c).asc_nulls_last() for c in rest]).drop(place)
 
 
 def validate(silver: DataFrame) -> int:
