@@ -9,7 +9,8 @@ Numbers have two levels: a bucket's order is cut into about sqrt(rows) cells by
 only the pieces of one cell are numbered in one window, so a bucket with a third of all rows is no hot window.
 
 A null or empty text has no tokens and gives one piece of length 0, which costs a place in the shortest bucket. Rows
-with equal doc_id are separate documents. Without rows there are no buckets. Extra columns are carried along.
+with equal doc_id are separate documents. Without rows there are no buckets. Columns of the documents are carried along as
+they are, whatever their names: an output whose name is taken gets an underscore in front (`names` tells).
 """
 
 import math
@@ -59,6 +60,14 @@ def optimal_bounds(lengths: np.ndarray, counts: np.ndarray, buckets: int = BUCKE
     return bounds[::-1]
 
 
+OUTPUTS = ("n_tokens", "piece", "piece_start", "piece_length", "bucket", "bound", "batch", "slot", "padding")
+
+
+def names(docs: DataFrame, text: str = "text") -> dict[str, str]:
+    """The outputs' names beside docs' columns (the text goes)."""
+    return {out: native.name(docs.drop(text), out) for out in OUTPUTS}
+
+
 def _lengths(path: str, text: str, schema: pa.Schema):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = WordIds.of(path)
@@ -70,14 +79,13 @@ def _lengths(path: str, text: str, schema: pa.Schema):
     return run
 
 
-def token_lengths(docs: DataFrame, *, text: str = "text", path: str | None = None) -> DataFrame:
-    """docs without the text, with n_tokens."""
+def token_lengths(docs: DataFrame, *, text: str = "text", path: str | None = None, out: str | None = None) -> DataFrame:
+    """docs without the text, with the number of tokens as `out` (n_tokens, or the next free name)."""
     from pyspark.sql.pandas.types import to_arrow_schema
     from pyspark.sql.types import LongType, StructType
 
-    n = native.name(docs, "n_tokens")
     others = docs.drop(text)
-    schema = StructType([*others.schema.fields]).add(n, LongType())
+    schema = StructType([*others.schema.fields]).add(out or names(docs, text)["n_tokens"], LongType())
     return docs.select(*others.columns, text).mapInArrow(_lengths(path or default_path(), text, to_arrow_schema(schema)), schema)
 
 
@@ -86,7 +94,9 @@ def pack(docs: DataFrame, *, key: str = "doc_id", text: str = "text", path: str
     (length after padding), batch (within the bucket), slot (within the batch), padding."""
     from harborline.llm.store import written
 
-    counted = token_lengths(docs, text=text, path=path)
+    out, others = names(docs, text), [c for c in docs.columns if c != text]
+    held = docs.select(F.struct(*[F.col(c) for c in others]).alias("row"), F.col(text).alias("text"))
+    counted = token_lengths(held, text="text", path=path, out="n_tokens")
     pieces = F.greatest(F.ceil(F.col("n_tokens") / max_length), F.lit(1)).cast("int")
     cut = counted.withColumn("piece", F.explode(F.sequence(F.lit(0), pieces - 1)))
     cut = cut.withColumn("piece_start", F.col("piece").cast("long") * max_length)
@@ -99,21 +109,20 @@ def pack(docs: DataFrame, *, key: str = "doc_id", text: str = "text", path: str
         bucket = F.when(F.col("piece_length") <= bounds[i], i).otherwise(bucket)
     bound = F.element_at(F.lit(bounds or [0]), F.col("bucket") + 1).cast("int")
     cells = max(1, math.isqrt(rows))
-    place = F.xxhash64(F.lit(seed), F.col(key), F.col("piece"))
-    placed = cut.withColumns({"bucket": bucket.cast("int"), "__place": place}).withColumns({"bound": bound, "__cell": F.pmod(F.col("__place"), F.lit(cells)).cast("int")})
-    counts = placed.groupBy("bucket", "__cell").agg(F.count("*").alias("__n"))
-    along = Window.partitionBy("bucket").orderBy("__cell").rowsBetween(Window.unboundedPreceding, -1)
-    starts = counts.select("bucket", "__cell", F.coalesce(F.sum("__n").over(along), F.lit(0)).alias("__before"))
-    within = Window.partitionBy("bucket", "__cell").orderBy("__place", "piece_length")
+    place = F.xxhash64(F.lit(seed), F.col("row").getField(key), F.col("piece"))
+    placed = cut.withColumns({"bucket": bucket.cast("int"), "place": place}).withColumns({"bound": bound, "cell": F.pmod(F.col("place"), F.lit(cells)).cast("int")})
+    counts = placed.groupBy("bucket", "cell").agg(F.count("*").alias("n"))
+    along = Window.partitionBy("bucket").orderBy("cell").rowsBetween(Window.unboundedPreceding, -1)
+    starts = counts.select("bucket", "cell", F.coalesce(F.sum("n").over(along), F.lit(0)).alias("before"))
+    within = Window.partitionBy("bucket", "cell").orderBy("place", "piece_length")
     fit = F.greatest(F.floor(F.lit(budget) / F.greatest("bound", F.lit(1))), F.lit(1))
-    number = F.col("__before") + F.row_number().over(within) - 1
-    numbered = placed.join(starts, ["bucket", "__cell"]).withColumn("__number", number)
-    return numbered.withColumns({
-        "batch": F.floor(F.col("__number") / fit).cast("long"),
-        "slot": (F.col("__number") % fit).cast("long"),
-        "padding": F.col("bound") - F.col("piece_length"),
-    }).drop("__place", "__cell", "__before", "__number")
+    numbered = placed.join(starts, ["bucket", "cell"]).withColumn("number", F.col("before") + F.row_number().over(within) - 1)
+    made = numbered.withColumns({
+        "batch": F.floor(F.col("number") / fit).cast("long"),
+        "slot": (F.col("number") % fit).cast("long"),
+        "padding": F.col("bound") - F.col("piece_length")})
+    return made.select(*[F.col("row").getField(c).alias(c) for c in others], *[F.col(c).alias(out[c]) for c in OUTPUTS])
 
 
 def digest(packed: DataFrame) -> DataFrame:
-    return packed.select("doc_id", "n_tokens", "piece", "piece_start", "piece_length", "bucket", "bound", "batch", "slot", "padding")
+    return packed.select("doc_id", *OUTPUTS)

@@ -132,6 +132,19 @@ def test_batches(docs, rows, none, tokenizer):
     assert packing.pack(none).count() == 0
 
 
+def test_packing_leaves_columns_of_its_names_alone(spark):
+    taken = {"n_tokens": 5000, "piece": 7, "piece_start": 8, "piece_length": 9, "bucket": 10, "bound": 11, "batch": 12, "slot": 13, "padding": 14, "__cell": 15, "__place": 16, "__before": 17, "__number": 18, "row": 19, "number": 20, "_n_tokens": 21}
+    texts = ["a b c", "one two three four five", "", None, "word " * 5000]
+    plain = packing.pack(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"))
+    given = spark.createDataFrame([(i, t, *taken.values()) for i, t in enumerate(texts)], "doc_id long, text string, " + ", ".join(f"`{c}` int" for c in taken))
+    packed, out = packing.pack(given), packing.names(given)
+    assert out["n_tokens"] == "__n_tokens" and out["piece"] == "_piece" and packed.columns == ["doc_id", *taken, *out.values()]
+    rows = packed.collect()
+    assert all({c: r[c] for c in taken} == taken for r in rows)
+    assert sorted(tuple(r[out[c]] for c in packing.OUTPUTS) for r in rows) == sorted(tuple(r[c] for c in packing.OUTPUTS) for r in plain.collect())
+    assert sorted(r["__n_tokens"] for r in rows) == [0, 0, 3, 5, 5000, 5000, 5000]
+
+
 def test_packing_is_that_of_brute_force(spark, docs, rows, tokenizer):
     lengths = [(r[0], len(tokenizer.encode(r[1] or "", add_special_tokens=False).ids)) for r in rows]
     found = [tuple(r) for r in packing.digest(packing.pack(docs)).collect()]
