@@ -347,13 +347,14 @@ def _clusters(bands: DataFrame, classes: DataFrame, threshold: float) -> tuple[D
     return written(_relabelled(loose, more), "clusters"), hoped
 
 
-def _confirmed(clusters: DataFrame, hoped: DataFrame, classes: DataFrame, docs: DataFrame, key: str, text: str, percent: int) -> DataFrame:
+def _confirmed(clusters: DataFrame, hoped: DataFrame, classes: DataFrame, docs: DataFrame, key: str, hashed: str, text: str, percent: int) -> DataFrame:
     """(node, comp) of the classes that confirmed links within clusters connect."""
     several = clusters.groupBy("comp").agg(F.count("*").alias("members")).filter("members > 1").select(F.col("comp").alias("in"))
     clusters = written(clusters.withColumnRenamed("comp", "in").join(written(several, "several"), "in"), "several-members")
-    named = clusters.join(classes.select("node", "n_shingles", "first_key"), "node")
-    wanted = named.select("node", F.col("first_key").alias(key))
-    texts = docs.join(wanted, docs[key].eqNullSafe(wanted[key])).select(wanted["node"], docs[text])
+    named = clusters.join(classes.select("node", "n_shingles", "first_key", "first_hash"), "node")
+    wanted = named.select("node", F.col("first_key").alias(key), F.col("first_hash").alias(hashed))
+    # the key alone may be that of many classes, or null
+    texts = docs.join(wanted, docs[key].eqNullSafe(wanted[key]) & (docs[hashed] == wanted[hashed])).select(wanted["node"], docs[text])
     sets = written(texts.mapInArrow(_sets(text), "node bigint, shingles binary"), "sets", compression="none")
     # the links to hubs: a hub is the first side of its tiles, its classes are the second
     weight = F.greatest(F.lit(1.0), F.col("n_shingles") * (TILE / TILE_SHINGLES))
@@ -377,16 +378,22 @@ def near_duplicates(docs: DataFrame, *, key: str = "doc_id", text: str = "text",
     equal sets)."""
     carried = [key, *extra]
     docs = docs.select(*carried, text)
-    kinds = ", ".join(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in carried)
+    hashed = native.name(docs, "__text_hash")
+    docs = docs.withColumn(hashed, F.xxhash64(text))
+    sketched = [*carried, hashed]
+    kinds = ", ".join(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in sketched)
     threshold = threshold_pct / 100
-    sketches = written(docs.mapInArrow(_sketch(carried, text), f"{kinds}, n_shingles bigint, node bigint, registers binary"), "sketches", compression="none")
+    sketches = written(docs.mapInArrow(_sketch(sketched, text), f"{kinds}, n_shingles bigint, node bigint, registers binary"), "sketches", compression="none")
     full = sketches.filter("n_shingles > 0")
-    classes = written(full.groupBy("node").agg(F.min(key).alias("first_key"), F.first("n_shingles").alias("n_shingles"), F.first("registers").alias("registers")), "classes", compression="none")
+    one = F.struct(F.col(key).alias("key"), F.col(hashed).alias("hash"))
+    least = F.coalesce(F.min(F.when(F.col(key).isNotNull(), one)), F.min(one))
+    classes = full.groupBy("node").agg(least.alias("first"), F.first("n_shingles").alias("n_shingles"), F.first("registers").alias("registers"))
+    classes = written(classes.select("node", F.col("first.key").alias("first_key"), F.col("first.hash").alias("first_hash"), "n_shingles", "registers"), "classes", compression="none")
     every = classes.select("node", "registers").mapInArrow(_bands, "band bigint, node bigint")
     counts = written(every.groupBy("band").agg(F.count("*").alias("members")).filter("members > 1"), "buckets")
     bands = written(every.join(counts, "band"), "bands")
     clusters, hoped = _clusters(bands, classes, threshold)
-    comps = _confirmed(clusters, hoped, classes, docs, key, text, threshold_pct)
+    comps = _confirmed(clusters, hoped, classes, docs, key, hashed, text, threshold_pct)
     first = classes.select("node", "first_key")
     of_linked = comps.join(first, "node").groupBy("comp").agg(F.min("first_key").alias("least"))
     ids = first.join(comps, "node", "left").join(of_linked, "comp", "left").select("node", F.coalesce("least", "first_key").alias("component_id"))

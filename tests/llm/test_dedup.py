@@ -130,3 +130,16 @@ def test_word_places_and_packing():
     assert firsts.tolist() == [0, 3, 3, 3, 4, 6]
     values = np.unique(np.random.default_rng(1).integers(0, 2**64, 999, dtype=np.uint64))
     assert (W.unpack(W.pack(values)) == values).all() and len(W.unpack(b"")) == 0
+
+
+def test_many_rows_without_ids(spark):
+    """Rows under one key meet their own text only."""
+    import time
+
+    rng = random.Random(8)
+    prose = [" ".join("".join(rng.choice("abcdefgh") for _ in range(5)) for _ in range(40)) for _ in range(1000)]
+    rows = [(None, t) for t in prose] + [(None, t + " more") for t in prose]
+    began = time.time()
+    found = near_dedup.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert len(found) == 2000 and {r["n_shingles"] for r in found} == {36, 37} and {r["component_id"] for r in found} == {None}
+    assert time.time() - began < 120
