@@ -1,4 +1,5 @@
 import hashlib
+import random
 from collections import Counter
 
 import numpy as np
