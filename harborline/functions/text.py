@@ -44,8 +44,11 @@ def joined(*parts: Column, separator: str = " | ") -> Column:
 
 
 def unescaped(x: Column, times: int = 3) -> Column:
-    """XML entities replaced, for documents that were escaped several times."""
+    """XML entities replaced as long as they stand for tags, for documents that were escaped several times; entities in an
+    unescaped document stay."""
     for _ in range(times):
+        plain = x
         for name, mark in (("lt", "<"), ("gt", ">"), ("quot", '"'), ("apos", "'"), ("amp", "&")):
-            x = F.replace(x, F.lit(f"&{name};"), F.lit(mark))
+            plain = F.replace(plain, F.lit(f"&{name};"), F.lit(mark))
+        x = F.when(x.rlike("&(amp;)*lt;"), plain).otherwise(x)
     return x

@@ -392,10 +392,10 @@ def gap_analysis_open_interval(spark, sf_dir):
     return g.select("port_call_id", "next_call_id", r4(F.col("gap_hours")).alias("gap_hours"), "gap_positions")
 
 
-@query("""select o_orderkey, c_name, o_orderdate <= b.a + interval 10 minutes as starts_at_boundary, o_orderdate >= b.b - interval 10 minutes as ends_at_boundary from orders join customer on o_custkey = c_custkey cross join (select min(o_orderdate) as a, max(o_orderdate) as b from orders) b where o_totalprice >= 100000 and (c_acctbal >= 5000 or o_orderstatus = 'F') and o_orderpriority like '1%'""")
+@query("""select o_orderkey, c_name, o_orderdate <= b.a + interval 10 minutes as starts_at_boundary, o_orderdate >= b.b - interval 10 minutes as ends_at_boundary from orders join customer on o_custkey = c_custkey cross join (select min(o_orderdate) as a, max(o_orderdate) as b from orders) b where o_totalprice >= 100000 and (c_acctbal >= 5000 or o_orderstatus = 'F')""")
 def probable_calls(spark, sf_dir):
     o = table(spark, sf_dir, "orders")
-    calls = o.filter("o_orderpriority like '1%'").select(
+    calls = o.select(
         F.col("o_orderkey").alias("port_call_id"), F.col("o_custkey").alias("mmsi"), F.lit(1).alias("terminal_id"), F.col("o_totalprice").alias("duration_minutes"), F.lit(0.5).alias("average_speed_knots"), F.lit(10.0).alias("closest_distance_metres"),
         F.when(F.col("o_orderstatus") == "F", 50.0).otherwise(0.0).alias("wide"), F.col("o_orderdate").cast("timestamp").alias("arrival_time"), F.col("o_orderdate").cast("timestamp").alias("departure_time"))
     c = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("mmsi"), F.col("c_custkey").alias("imo"), F.col("c_name").alias("vessel_name"), F.lit(80).alias("vessel_type"), F.col("c_acctbal").alias("length_metres"))

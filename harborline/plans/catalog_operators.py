@@ -108,9 +108,9 @@ def duration_baseline_by_group(spark, sf_dir):
     return b.select(F.col("l_suppkey").alias("berth"), "sample_size", *[r4(F.col(f"p{p}_minutes")).alias(f"p{p}") for p in (25, 50, 75, 90, 95)], r4(F.col("iqr_minutes")).alias("iqr"))
 
 
-@query(f"""select count(*)::bigint as sample_size, cast(round(cast(avg(value) as decimal(38,10)), 2) as double) as mean_minutes, {R4.format('quantile_cont(value, 0.5)')} as p50, {R4.format('quantile_cont(value, 0.95)')} as p95 from events where event_type = 'purchase'""")
+@query(f"""select count(*)::bigint as sample_size, cast(round(cast(avg(value) as decimal(38,10)), 2) as double) as mean_minutes, {R4.format('quantile_cont(value, 0.5)')} as p50, {R4.format('quantile_cont(value, 0.95)')} as p95 from events""")
 def duration_baseline_global(spark, sf_dir):
-    return stats.baseline(table(spark, sf_dir, "events").filter("event_type = 'purchase'"), [], "value").select("sample_size", "mean_minutes", r4(F.col("p50_minutes")).alias("p50"), r4(F.col("p95_minutes")).alias("p95"))
+    return stats.baseline(table(spark, sf_dir, "events"), [], "value").select("sample_size", "mean_minutes", r4(F.col("p50_minutes")).alias("p50"), r4(F.col("p95_minutes")).alias("p95"))
 
 
 @query(f"""select user_id, {R4.format("sum(v * n) / nullif(sum(case when v is not null then n end), 0)")} as weighted, {R4.format("sum(v * n) / nullif(sum(n), 0)")} as weighted_all, {R4.format("avg(case when v is null then null when v < 50 then 1.0 else 0.0 end)")} as share_below
@@ -299,7 +299,7 @@ case when event_id % 3 <> 0 then event_type end as vessel_name, 'IMO ' || (10000
 case when value between 1 and 500 then value end as length_metres, case when value between 1 and 100 then value end as width_metres, case when value between 0 and 30 then value end as draught_metres from events"""
 
 
-def _raw_positions(spark, sf_dir):
+def _raw_positions(spark, sf_dir, *more):
     """A feed as text, with what feeds have: blanks, words for numbers, fractions for codes, readings out of range."""
     e, n, value = table(spark, sf_dir, "events"), F.col("event_id"), F.col("value")
     text_of = {
@@ -307,7 +307,7 @@ def _raw_positions(spark, sf_dir):
         "LON": (-value / 2).cast("string"), "SOG": value.cast("string"), "COG": (value * 1.5).cast("string"), "Heading": value.cast("string"), "VesselName": F.when(n % 3 == 0, "  ").otherwise(F.concat(F.lit(" "), F.col("event_type"), F.lit(" "))),
         "IMO": F.concat(F.lit("IMO "), (F.lit(1000000) + F.col("user_id")).cast("string")), "CallSign": F.lit(None).cast("string"), "VesselType": F.when(n % 2 == 0, "80.0").otherwise("8x"), "Status": ((n % 4) / 2).cast("string"),
         "Length": value.cast("string"), "Width": value.cast("string"), "Draft": value.cast("string"), "Cargo": F.lit(""), "TransceiverClass": F.lit("A")}
-    return e.select(*[c.alias(name) for name, c in text_of.items()])
+    return e.select(*[c.alias(name) for name, c in text_of.items()], *more)
 
 
 _POSITIONS_SQL = f"""select distinct on (mmsi, recorded_at) * from ({_RAW_SQL}) where recorded_at is not null and latitude between -90 and 90 and longitude between -180 and 180
@@ -328,6 +328,29 @@ def loaded_vessels(spark, sf_dir):
     return vessels.select("mmsi", "imo", "vessel_name", "vessel_type", "length_metres")
 
 
+@query("""select distinct on (mmsi, recorded_at) mmsi, recorded_at, latitude, vessel_name, status from (select *, date_trunc('day', recorded_at) as day from (""" + _RAW_SQL.replace("select 366000000", "select event_id, 366000000", 1) + """)) r(event_id, mmsi, exact, latitude, longitude, speed_knots, course_degrees, heading_degrees, vessel_name, imo, status, vessel_type, length_metres, width_metres, draught_metres, recorded_at)
+where recorded_at is not null and latitude between -90 and 90 and longitude between -180 and 180 order by mmsi, recorded_at, event_id desc""")
+def first_in_feed(spark, sf_dir):
+    """Times cut to days make many rows of one key; the feed runs backwards, so neither values nor times tell which is first."""
+    raw = _raw_positions(spark, sf_dir, "event_id").withColumns({"BaseDateTime": F.date_trunc("day", F.try_to_timestamp("BaseDateTime")).cast("string"), positions.FEED: -F.col("event_id")})
+    return ntz(positions.clean(raw.drop("event_id")).select("mmsi", "recorded_at", "latitude", "vessel_name", "status"))
+
+
+@query("""select s_suppkey as k, s_suppkey as imo, case when s_suppkey % 4 = 3 then null when s_suppkey % 3 = 1 or s_suppkey = 0 then 'IMO ' || (s_suppkey + 1) else 'IMO 00' || s_suppkey end as identification,
+case when s_suppkey % 4 <> 3 then s_name || ' & <sons>' end as vessel_name, case when s_suppkey % 4 <> 3 and s_suppkey % 2 = 0 then s_nationkey::varchar end as flag, s_suppkey % 4 <> 3 as found from supplier""")
+def xml_lookups(spark, sf_dir):
+    """Responses with attributes, comments, CDATA, wrappers, escapes, and records that stand in others or aren't the ship's."""
+    k, name = F.col("s_suppkey"), F.col("s_name")
+    flag = F.when(k % 2 == 0, F.concat(F.lit("<flag code='x'>"), F.col("s_nationkey").cast("string"), F.lit("</flag><!-- <flag>none</flag> -->"))).otherwise("<flag> </flag>")
+    record = lambda number: F.concat(F.lit('<v:record id="1" xmlns:v="urn:v"><Identification>IMO '), number, F.lit("</Identification><vessel_name><![CDATA["), name, F.lit(" & <sons>]]></vessel_name>"), flag)
+    other, own = record((k + 1).cast("string")), record(F.concat(F.lit("00"), k.cast("string")))
+    two = F.concat(F.lit("<?xml version='1.0'?><set>"), other, F.when(k % 3 == 0, own).when(k % 3 == 2, F.concat(F.lit("</v:record>"), own)).otherwise(""), F.lit("</v:record>"), F.when(k % 3 == 0, "</v:record>").otherwise(""), F.lit("</set>"))
+    escaped = F.replace(F.replace(F.replace(two, F.lit("&"), F.lit("&amp;")), F.lit("<"), F.lit("&lt;")), F.lit(">"), F.lit("&gt;"))
+    body = F.when(k % 4 == 3, "<set><record><identification>broken</set>").when(k % 4 == 1, escaped).otherwise(two)
+    found = files.parsed_lookups(table(spark, sf_dir, "supplier").select(k.alias("lookup_key"), k.alias("imo"), body.alias("body")), ("record", "set"))
+    return found.select(F.col("lookup_key").alias("k"), "imo", "identification", "vessel_name", "flag", "found")
+
+
 @query("""select o_custkey, o_orderkey from (select distinct on (o_custkey) * from orders order by o_custkey, o_orderdate, o_orderkey) order by o_orderdate, o_orderkey limit 100""")
 def lookup_candidates(spark, sf_dir):
     return files.lookup_candidates(table(spark, sf_dir, "orders"), "o_custkey", ["o_orderdate", "o_orderkey"], 100).select("o_custkey", "o_orderkey")

@@ -3,12 +3,12 @@
 from collections.abc import Callable, Iterator
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from harborline.functions import text
 from harborline.functions.numbers import first_match
-from harborline.operators import merge
+from harborline.operators import merge, versions
 from harborline.operators.rank import best_record
 
 #: Subtypes that are known not to be LNG, and what cargo texts say of LNG ships.
@@ -51,12 +51,39 @@ def due(queue: DataFrame, now: Column) -> DataFrame:
 
 
 def claim(queue: DataFrame, now: Column, limit: int) -> tuple[DataFrame, DataFrame]:
-    """The first rows that are due, and the queue with them marked as under way. There is one writer, so no row locks."""
+    """The first rows that are due, and the queue with them marked as under way; for one writer. `claim_shared` is for several."""
     taken = due(queue, now).orderBy("created_at", "lookup_key").limit(limit)
     marks = taken.select("lookup_key", F.lit("processing").alias("queue_status"), (F.col("attempt_count") + 1).alias("attempt_count"), now.cast("timestamp").alias("last_attempt_at"))
     return taken, merge.replace_columns(queue, marks, ["lookup_key"])
 
 
+def claim_shared(spark: SparkSession, folder: str, now: Column, limit: int, tries: int = 20) -> DataFrame:
+    """The first rows of the queue in a folder of versions that are due, marked there as under way.
+
+    Each try reads the last version, marks rows and publishes the next one. Where another job has published it meanwhile, what
+    was taken is given up and taken anew from the version that won, so no two jobs hold the same row.
+    """
+    for _ in range(tries):
+        version = versions.latest(spark, folder)
+        queue = versions.read(spark, folder, version)
+        keys = [r["lookup_key"] for r in due(queue, now).orderBy("created_at", "lookup_key").select("lookup_key").limit(limit).collect()]  # at most `limit`
+        taken = F.col("lookup_key").isin(keys) if keys else F.lit(False)
+        marks = {"queue_status": F.lit("processing"), "attempt_count": F.col("attempt_count") + 1, "last_attempt_at": now.cast("timestamp")}
+        marked = queue.withColumns({c: F.when(taken, v).otherwise(F.col(c)) for c, v in marks.items()})
+        if not keys or versions.publish(marked, folder, version + 1):
+            return queue.filter(taken)
+    raise TimeoutError(f"{tries} other claims came first")
+
+
+def settle_shared(spark: SparkSession, folder: str, change: Callable[[DataFrame], DataFrame], tries: int = 20) -> None:
+    """Replaces the queue by change(queue), of the version that is the last when it is published."""
+    for _ in range(tries):
+        version = versions.latest(spark, folder)
+        if versions.publish(change(versions.read(spark, folder, version)), folder, version + 1):
+            return
+    raise TimeoutError(f"{tries} other changes came first")
+
+
 def looked_up(claimed: DataFrame, provider: Callable[[int], dict | None]) -> DataFrame:
     """provider(imo) for each claimed row with a number: a record, None, or an exception, whose text is kept."""
 

@@ -66,16 +66,50 @@ def adjustments(config: str) -> dict[str, dict[str, float]]:
     return {code: plain | {k: float(v) for k, v in given.items() if k in plain} for code, given in zones.items()}
 
 
+def xml_records(body: Column, fields: tuple[str, ...], names: tuple[str, ...] = ("record",), depth: int = 4) -> Column:
+    """Array of structs, one for each element of the first name in an XML document: its child elements' texts by field, in
+    any case of letters and with any namespace. Blank texts and missing children are null.
+
+    names: the record's, and those of elements that records may stand in (records may stand in records too), down to `depth`
+    elements below the document. Comments go, CDATA is text, attributes are left aside. A document may be several elements
+    in a row. One that is not well-formed has no records; null gives null.
+    """
+    plain = ", ".join(f"{f}: string" for f in fields)
+    kinds = [f"struct<{plain}>"]  # of elements with no level below them, one, two and so on
+    for _ in range(depth - 1):
+        kinds.append(f"struct<{plain}, " + ", ".join(f"{n}: array<{kinds[-1]}>" for n in names) + ">")
+    nothing = F.array().cast(f"array<{kinds[0]}>")
+    one = F.regexp_replace(body, r"(?s)<\?xml.*?\?>|<!DOCTYPE[^>]*>", "")
+    bare = F.when(one.contains("<![CDATA["), one).otherwise(F.regexp_replace(one, r"&(?!#?\w+;)", "&amp;"))  # a lone & is no XML
+    schema = ", ".join(f"{n} array<{kinds[-1]}>" for n in names)
+    parsed = F.from_xml(F.concat(F.lit("<all>"), bare, F.lit("</all>")), schema, {"ignoreNamespace": "true", "mode": "PERMISSIVE"})
+
+    def fields_of(e: Column) -> Column:
+        return F.struct(*[text.blank_to_null(e[f]).alias(f) for f in fields])
+
+    def below(elements: Column, name: str, levels: int) -> Column:
+        """Records among elements and down to so many levels below them."""
+        parts = [F.coalesce(F.transform(elements, fields_of), nothing)] if name == names[0] else []
+        if levels:
+            parts += [F.coalesce(F.flatten(F.transform(elements, child(n, levels - 1))), nothing) for n in names]
+        return F.concat(nothing, *parts)
+
+    def child(name: str, levels: int):
+        return lambda e: below(e[name], name, levels)
+
+    return F.when(parsed.isNotNull(), F.concat(*[below(parsed[n], n, depth - 1) for n in names]))
+
+
 def xml_record(body: Column, name: str) -> Column:
     """A field of the first record in a response that was escaped up to three times."""
-    return text.blank_to_null(F.regexp_extract(text.unescaped(body), rf"(?is)<(?:[a-z0-9]+:)?{name}(?:\s[^>]*)?>(.*?)</(?:[a-z0-9]+:)?{name}>", 1))
+    return F.get(xml_records(text.unescaped(body), (name,)), F.lit(0))[name]
 
 
-def parsed_lookups(responses: DataFrame, record: str = "record") -> DataFrame:
+def parsed_lookups(responses: DataFrame, names: tuple[str, ...] = ("record",)) -> DataFrame:
     """lookup_key, imo, body → one row: of the response's distinct records the one with the ship's number, else the first."""
-    bodies = F.array_distinct(F.regexp_extract_all(text.unescaped(F.col("body")), F.lit(rf"(?is)<(?:[a-z0-9]+:)?{record}(?:\s[^>]*)?>.*?</(?:[a-z0-9]+:)?{record}>"), F.lit(0)))
-    each = responses.select("lookup_key", "imo", F.posexplode_outer(bodies).alias("place", "one"))
-    fields = each.select("lookup_key", "imo", "place", *[xml_record(F.col("one"), n).alias(n) for n in RECORD_FIELDS])
+    records = F.array_distinct(xml_records(text.unescaped(F.col("body")), RECORD_FIELDS, names))
+    each = responses.select("lookup_key", "imo", F.posexplode_outer(records).alias("place", "one"))
+    fields = each.select("lookup_key", "imo", "place", *[F.col(f"one.{n}").alias(n) for n in RECORD_FIELDS])
     own = F.coalesce(text.digits(F.col("identification")) == F.col("imo").cast("string"), F.lit(False))
     return first_per_key(fields, ["lookup_key"], [own.desc(), F.col("place").asc_nulls_last()]).drop("place").withColumn("found", F.col("identification").isNotNull())
 
