@@ -205,6 +205,84 @@ def is_simple(polygon: Column) -> Column:
     return ~F.exists(sides, lambda e: F.exists(sides, lambda f: cross(e, f)))
 
 
+_POINTS = "array<struct<x:double,y:double>>"
+
+
+def sides(polygon: Column) -> Column:
+    """Array of struct<a, b>: the sides of all rings."""
+    return F.flatten(F.transform(polygon, _edges))
+
+
+def walks(polygon: Column, all_sides: Column) -> Column:
+    """The rings with a corner wherever one of all_sides crosses or touches them."""
+    place = lambda x, y: F.struct((F.round(x, 9) + 0.0).alias("x"), (F.round(y, 9) + 0.0).alias("y"))
+    cross = lambda o, a, b: (a["x"] - o["x"]) * (b["y"] - o["y"]) - (a["y"] - o["y"]) * (b["x"] - o["x"])
+
+    def meeting(p: Column, q: Column) -> Column:
+        d1, d2 = cross(q["a"], q["b"], p["a"]), cross(q["a"], q["b"], p["b"])
+        t = d1 / F.nullif(d1 - d2, F.lit(0.0))
+        apart = cross(p["a"], p["b"], q["a"]) * cross(p["a"], p["b"], q["b"]) > 0
+        return F.when((d1 * d2 <= 0) & ~apart & t.isNotNull(), place(p["a"]["x"] + t * (p["b"]["x"] - p["a"]["x"]), p["a"]["y"] + t * (p["b"]["y"] - p["a"]["y"])))
+
+    def met(e: Column, f: Column) -> Column:
+        """The same numbers whichever of two sides asks where they meet."""
+        return F.when(F.struct(e["a"], e["b"]) < F.struct(f["a"], f["b"]), meeting(e, f)).otherwise(meeting(f, e))
+
+    def corner_on(e: Column, f: Column) -> Column:
+        """A corner of f on e, for sides along each other."""
+        a, b, c = e["a"], e["b"], f["a"]
+        within = c["x"].between(F.least(a["x"], b["x"]), F.greatest(a["x"], b["x"])) & c["y"].between(F.least(a["y"], b["y"]), F.greatest(a["y"], b["y"]))
+        return F.when((F.abs(cross(a, b, c)) <= 1e-9) & within, place(c["x"], c["y"]))
+
+    def stops(e: Column) -> Column:
+        """The places along a side, in order, without its last corner."""
+        own, last = place(e["a"]["x"], e["a"]["y"]), place(e["b"]["x"], e["b"]["y"])
+        found = F.concat(F.transform(all_sides, lambda f: met(e, f)), F.transform(all_sides, lambda f: corner_on(e, f)), F.array(own))
+        way = lambda p: (p["x"] - e["a"]["x"]) * (e["b"]["x"] - e["a"]["x"]) + (p["y"] - e["a"]["y"]) * (e["b"]["y"] - e["a"]["y"])
+        keyed = F.transform(F.filter(F.array_distinct(found), lambda p: p.isNotNull() & (p != last)), lambda p: F.struct(way(p).alias("at"), p.alias("p")))
+        return F.transform(F.array_sort(keyed), lambda k: k["p"])
+
+    return F.transform(polygon, lambda ring: F.flatten(F.transform(_edges(ring), stops))).cast(f"array<{_POINTS}>")
+
+
+def uncrossed(found: Column, corners: Column) -> Column:
+    """For each corner of walks (all walks' corners one after another) the number of the corner that comes next, when walks
+    that meet at a place change there, each taking the other's way on: so they touch, but don't cross."""
+    before = lambda r: F.aggregate(F.slice(found, 1, r), F.lit(0), lambda n, w: n + F.size(w))
+    along = F.flatten(F.transform(found, lambda w, r: F.transform(w, lambda p, k: before(r) + (k + 1) % F.size(w))))
+
+    def change(p: Column, i: Column) -> Column:
+        visits = F.filter(F.transform(corners, lambda q, j: F.when(q == p, j)), lambda j: j.isNotNull())
+        return F.get(along, F.get(visits, F.array_position(visits, i).cast("int") % F.size(visits)))
+
+    return F.transform(corners, change)
+
+
+def loops(ahead: Column, corners: Column) -> Column:
+    """The closed lines that corners make, each followed by the one whose number is ahead."""
+    start = F.struct(F.array().cast("array<int>").alias("seen"), F.array().cast("array<array<int>>").alias("lines"))
+
+    def follow(i: Column) -> Column:
+        def step(way: Column, _: Column) -> Column:
+            to = F.get(ahead, F.element_at(way, -1))
+            return F.when(to == way[0], way).otherwise(F.concat(way, F.array(to)))
+
+        return F.aggregate(ahead, F.array(i), step)
+
+    def gather(state: Column, i: Column) -> Column:
+        line = F.when(F.array_contains(state["seen"], i), F.array().cast("array<int>")).otherwise(follow(i))
+        return F.transform(F.array(line), lambda w: F.struct(F.concat(state["seen"], w).alias("seen"), F.concat(state["lines"], F.filter(F.array(w), lambda x: F.size(x) > 0)).alias("lines")))[0]
+
+    lines = F.aggregate(F.sort_array(ahead), start, gather)["lines"]
+    return F.transform(lines, lambda w: F.transform(w, lambda i: F.get(corners, i)))
+
+
+def within(line: Column, other: Column) -> Column:
+    """A closed line, which doesn't cross another, lies within it."""
+    middle = lambda e: F.struct(((e["a"]["x"] + e["b"]["x"]) / 2).alias("x"), ((e["a"]["y"] + e["b"]["y"]) / 2).alias("y"))
+    return (ring_area(line) < ring_area(other)) & F.forall(F.transform(_edges(line), middle), lambda m: covers(F.array(other), m["x"], m["y"]))
+
+
 def moved(polygon: Column, *, dx: Column | float = 0.0, dy: Column | float = 0.0, scale_x: Column | float = 1.0, scale_y: Column | float = 1.0, degrees: Column | float = 0.0, about: Column | None = None) -> Column:
     """The polygon scaled and turned (anticlockwise) about a point (its centroid), then moved."""
     as_column = lambda v: v if isinstance(v, Column) else F.lit(float(v))

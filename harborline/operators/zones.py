@@ -4,7 +4,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from harborline.functions import spatial
-from harborline.operators import clusters
+from harborline.operators import clusters, outlines
 from harborline.operators.rank import numbered
 
 
@@ -52,12 +52,30 @@ def invalid(zones: DataFrame, least_area: float = 1.0) -> DataFrame:
     return zones.withColumn("reason", reason).filter("reason is not null").select("zone_code", "reason")
 
 
+def repaired(zones: DataFrame, least_area: float = 1.0) -> DataFrame:
+    """zones with a row (part, polygon) for each polygon that is left when outlines are cut where they cross or touch themselves
+    or each other. What an odd number of turns goes around is covered, and lines around less than an area are dropped. A zone
+    without faults keeps its shape; one with nothing left has no row.
+
+    Rings that meet, or one that meets itself, change there: each takes the other's way on. The closed lines that come of
+    it touch, but don't cross, and one within an odd number of others is a hole in the one around it.
+    """
+    key = [c for c in zones.columns if c != "polygon"]
+    walked = zones.withColumn("__sides", spatial.sides(F.col("polygon"))).withColumn("__walks", spatial.walks(F.col("polygon"), F.col("__sides"))).withColumn("__corners", F.flatten("__walks"))
+    lines = walked.withColumn("__ahead", spatial.uncrossed(F.col("__walks"), F.col("__corners"))).withColumn("__all", spatial.loops(F.col("__ahead"), F.col("__corners")))
+    found = lines.withColumn("__lines", F.filter("__all", lambda r: (F.size(r) >= 3) & (spatial.ring_area(r) >= least_area)))
+    deep = found.withColumn("__deep", F.transform("__lines", lambda r: F.struct(r.alias("ring"), F.size(F.filter("__lines", lambda by: spatial.within(r, by))).alias("depth"))))
+    outer = deep.select(*key, "__deep", F.posexplode(F.filter("__deep", lambda d: d["depth"] % 2 == 0)).alias("part", "__outer"))
+    holes = F.filter("__deep", lambda h: (h["depth"] == F.col("__outer.depth") + 1) & spatial.within(h["ring"], F.col("__outer.ring")))
+    return outer.select(*key, "part", F.concat(F.array("__outer.ring"), F.transform(holes, lambda h: h["ring"])).alias("polygon"))
+
+
 def touching_boxes(zones: DataFrame) -> DataFrame:
     """Pairs (zone_code, other) whose bounding boxes overlap. Zones are few: all pairs of them are tried."""
     box = zones.select("zone_code", spatial.bounds(F.col("polygon")).alias("a"))
     other = box.select(F.col("zone_code").alias("other"), F.col("a").alias("b"))
     apart = (F.col("a.x1") <= F.col("b.x0")) | (F.col("b.x1") <= F.col("a.x0")) | (F.col("a.y1") <= F.col("b.y0")) | (F.col("b.y1") <= F.col("a.y0"))
-    return box.join(F.broadcast(other), (F.col("zone_code") < F.col("other")) & ~apart).select("zone_code", "other")
+    return box.join(other, (F.col("zone_code") < F.col("other")) & ~apart).select("zone_code", "other")
 
 
 def overlaps(zones: DataFrame, least_area: float = 1.0) -> DataFrame:
@@ -72,8 +90,8 @@ def overlaps(zones: DataFrame, least_area: float = 1.0) -> DataFrame:
 
 def require_apart(zones: DataFrame, least_area: float = 1.0) -> None:
     """Raises if zones overlap by more than an area."""
-    if found := [f"{r['zone_code']} and {r['other']}: {r['area']:.2f}" for r in overlaps(zones, least_area).orderBy("zone_code", "other").collect()]:
-        raise ValueError(f"zones overlap: {', '.join(found)}")
+    if found := [f"{r['zone_code']} and {r['other']}: {r['area']:.2f}" for r in overlaps(zones, least_area).orderBy("zone_code", "other").limit(21).collect()]:
+        raise ValueError(f"zones overlap: {', '.join(found[:20])}{' and more' if len(found) > 20 else ''}")
 
 
 def before_berth(points: DataFrame, still: float = 0.5, least: int = 3) -> DataFrame:
@@ -107,3 +125,17 @@ def evidence(points: DataFrame, zone_type: str, least: int = 20) -> DataFrame:
     chosen = chosen.filter(F.col("speed_knots") < high) if high is not None else chosen
     enough = chosen.agg(F.count("*").alias("__n")).filter(F.col("__n") >= least)
     return chosen.crossJoin(F.broadcast(enough)).drop("__n")
+
+
+#: How zones are drawn from their evidence, in metres: buffer around points, gaps that are closed (half their width), least area of a part.
+DRAWN = {"manoeuvring_basin": (60.0, 120.0, 2500.0), "shipping_channel": (60.0, 40.0, 2500.0), "approach": (100.0, 400.0, 2500.0), "anchorage": (75.0, 150.0, 2500.0)}
+
+
+def drawn(points: DataFrame, zone_type: str, least: int = 20, cell: float = 20.0) -> DataFrame:
+    """zone_type, part, polygon, cell_count: the outline of a zone's evidence (x, y in metres, and what `evidence` needs; an
+    anchorage's points are evidence as they are). No row where evidence lacks. Holes are filled, as ships pass around what
+    they don't cross by less than a zone's width."""
+    buffer, closing, least_area = DRAWN[zone_type]
+    chosen = points if zone_type == "anchorage" else evidence(points, zone_type, least)
+    found = outlines.outlines(chosen, cell=cell, buffer=buffer, closing=closing, least_area=least_area, holes=False)
+    return found.select(F.lit(zone_type).alias("zone_type"), "part", "polygon", "cell_count")

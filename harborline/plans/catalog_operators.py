@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from harborline.functions import numbers, spatial, text
-from harborline.operators import checks, clusters, intervals, merge, rank, sessions, spatial_joins, stats, zones
+from harborline.operators import checks, clusters, intervals, merge, outlines, rank, sessions, spatial_joins, stats, zones
 from harborline.plans import calls as call_plans
 from harborline.plans import enrichment
 from harborline.sources import files, positions
@@ -293,6 +293,16 @@ def cluster_profiles_west_to_east(spark, sf_dir):
     return c.select(F.col("place").cast("long").alias("place"), "cluster_id", "point_count", *[r4(F.col(n)).alias(n) for n in ("axis_degrees", "length_metres", "width_metres")])
 
 
+@query(f"""with c as (select distinct floor(x / 20)::bigint as cx, floor(y / 20)::bigint as cy from ({_CLUSTERED})), d as (select i, j from range(-3, 4) a(i), range(-3, 4) b(j) where sqrt(i * i + j * j) * 20 <= 60),
+w as (select distinct cx + i as cx, cy + j as cy from c, d), n as (select cx + i as cx, cy + j as cy, count(*) as n from w, d group by 1, 2),
+k as (select cx + i as cx, cy + j as cy, count(*) as n from n, d group by 1, 2 having count(*) = (select count(*) from d))
+select count(*)::bigint as cells, count(*) * 400.0::double as area from k""")
+def evidence_outlines(spark, sf_dir):
+    """Points widened by 60, gaps of 120 closed, parts traced; the areas of the polygons make up the cells."""
+    found = outlines.outlines(_clustered(spark, sf_dir), cell=20.0, buffer=60.0, closing=60.0)
+    return found.agg(F.sum("cell_count").alias("cells"), F.sum(spatial.area(F.col("polygon"))).alias("area"))
+
+
 _RAW_SQL = """select 366000000 + user_id as mmsi, case when event_id % 11 <> 0 then ts end as recorded_at, case when event_type <> 'error' then value / 5 end as latitude, -value / 2 as longitude,
 case when value between 0 and 102.2 then value end as speed_knots, case when value * 1.5 between 0 and 359.9 then value * 1.5 end as course_degrees, case when value between 0 and 359 then value end as heading_degrees,
 case when event_id % 3 <> 0 then event_type end as vessel_name, 'IMO ' || (1000000 + user_id) as imo, (case event_id % 4 when 0 then 0 when 2 then 1 end)::bigint as status, (case when event_id % 2 = 0 then 80 end)::bigint as vessel_type,
