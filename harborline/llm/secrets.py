@@ -38,6 +38,7 @@ _KNOWN = re.compile(r"(?<![A-Za-z0-9+])(?:[0-9a-fA-F]{8}(?:-[0-9a-fA-F]{4}){3}-[
 _IDENTIFIER = re.compile(r"(?:[A-Z]*+[a-z]{3,}+|[A-Z]{2,}+|[0-9]++|[_/=+-]++)++\Z")
 _WORD = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 _PART = re.compile(r"[^/_=-]+")
+_SMALL = re.compile(r"[a-z]+")
 
 
 class _Efficiency:
@@ -74,8 +75,12 @@ class _Efficiency:
             at = known.end() if known else stop
 
     def _random(self, run: str, at: int, stop: int) -> Iterator[tuple[int, int]]:
+        """An unreadable run, without words in small letters at its ends; of a readable one, what is not in it."""
         if not self.readable(run[at:stop]):
-            yield at, stop
+            parts = [p for p in _PART.finditer(run, at, stop) if not _SMALL.fullmatch(p[0])]
+            start, end = (parts[0].start(), parts[-1].end()) if parts else (at, stop)
+            end += len(run[end:stop]) - len(run[end:stop].lstrip("="))
+            yield (start, end) if end - start >= LEAST_RUN and not self.readable(run[start:end]) else (at, stop)
             return
         start = end = None
         for part in [*_PART.finditer(run, at, stop), None]:
@@ -105,11 +110,33 @@ def base_spans(text: str) -> list[tuple[int, int, str, int]]:
     return sorted(out)
 
 
+def _gaps(start: int, stop: int, base: list[tuple[int, int, str, int]], at: int) -> tuple[list[tuple[int, int]], int]:
+    """What base spans (from number `at` on, by start) leave of a run, and the number from which the next run has to look."""
+    left = []
+    while at < len(base) and base[at][3] <= start:
+        at += 1
+    i = at
+    while i < len(base) and base[i][0] < stop:
+        if base[i][0] > start:
+            left.append((start, base[i][0]))
+        start = max(start, base[i][3])
+        i += 1
+    return ([*left, (start, stop)] if start < stop else left), at
+
+
 def random_spans(text: str, base: list[tuple[int, int, str, int]], efficiency: _Efficiency) -> list[tuple[int, int, str, int]]:
-    out = []
+    """What is random in runs, base spans cut out of them."""
+    out, at = [], 0
+    known: list[tuple[int, int, str, int]] = []
+    for span in base:  # in one another or side by side: as one
+        if known and span[0] <= known[-1][3]:
+            known[-1] = (*known[-1][:3], max(known[-1][3], span[3]))
+        else:
+            known.append(span)
     for m in _RUN.finditer(text):
-        if not any(s < m.end() and e > m.start() for s, _, _, e in base):
-            out += [(m.start() + a, len(KINDS), "random", m.start() + b) for a, b in efficiency.stretches(m[0])]
+        left, at = _gaps(m.start(), m.end(), known, at)
+        for start, stop in left:
+            out += [(start + a, len(KINDS), "random", start + b) for a, b in efficiency.stretches(text[start:stop])]
     return out
 
 
