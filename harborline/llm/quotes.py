@@ -17,7 +17,8 @@ The latest earlier message is found by digits of the turn (or conversation) in b
 Messages lose their quotes and the line that introduces one (`... wrote:`). A parent is earlier than its replies, so the
 order thread, conversation, turn puts each reply after what it answers; rows are range-sorted, never gathered.
 
-A null text stays null, an empty one stays empty; neither has a parent by quotes. A null conversation or turn has no
+A null text stays null, an empty one stays empty; neither has a parent by quotes. In `formatted` a message's own "<|" is written "<||" and a role's "|" is written "||", so that neither can
+look like a mark. Conversations and turns are numbers, or texts of numbers: their order tells which message is earlier. A null conversation or turn has no
 parent. Repeated rows stay, with equal results. Extra columns are dropped.
 """
 
@@ -28,7 +29,8 @@ from harborline.llm.store import written
 
 LEAST_WORDS = 3
 QUOTE = r"^[ \\t]*((?:>[ ]?)+)"
-INTRODUCES = r"(wrote|writes|schrieb|a écrit|escribió) ?: *$"
+#: A line that ends so and stands before a deeper quote introduces it, in any language.
+INTRODUCES = r": *$"
 
 
 def _lines(text: str) -> str:
@@ -54,7 +56,7 @@ def parsed(messages: DataFrame) -> DataFrame:
     """conv_id, turn, role, text, text_hash, own (text without quotes), own_hashes, passages (quoted), n_quoted (sentences)."""
     df = messages.select("conv_id", "turn", "role", "text", F.xxhash64("text").alias("text_hash"))
     df = df.withColumn("__lines", F.expr(_lines("text")))
-    df = df.withColumn("__lines", F.expr(f"transform(__lines, (l, i) -> struct(l.level, l.body, l.body rlike '{INTRODUCES}' and (l.level > 0 or coalesce(get(__lines, i + 1).level, 0) > 0) as intro))"))
+    df = df.withColumn("__lines", F.expr(f"transform(__lines, (l, i) -> struct(l.level, l.body, l.body rlike '{INTRODUCES}' and coalesce(get(__lines, i + 1).level, 0) > l.level as intro))"))
     df = df.withColumn("__own", F.expr("transform(filter(__lines, l -> l.level = 0 and not l.intro), l -> l.body)"))
     quoted = F.expr("size(filter(__lines, l -> l.level > 0)) > 0")
     own = F.when(F.col("text").isNull(), None).when(quoted, F.btrim(F.array_join("__own", "\n"), F.lit(" \n\t\r"))).otherwise(F.col("text"))
@@ -134,7 +136,9 @@ def reply_ordered(messages: DataFrame) -> DataFrame:
     best = F.max(F.struct(-F.col("level"), "weight", "of_conv", "of_turn")).alias("best")
     parents = links.groupBy("conv_id", "turn", "text_hash").agg(best).select("conv_id", "turn", "text_hash", "best.of_conv", "best.of_turn")
     joined = found.join(parents, ["conv_id", "turn", "text_hash"], "left").join(threads(parents), "conv_id", "left")
-    turn: Column = F.concat(F.lit("<|"), F.coalesce("role", F.lit("user")), F.lit("|>\n"), F.coalesce("own", F.lit("")), F.lit("\n<|end|>\n"))
+    safe = lambda c: F.replace(c, F.lit("<|"), F.lit("<||"))
+    role = F.replace(F.coalesce("role", F.lit("user")), F.lit("|"), F.lit("||"))
+    turn: Column = F.concat(F.lit("<|"), role, F.lit("|>\n"), safe(F.coalesce("own", F.lit(""))), F.lit("\n<|end|>\n"))
     return joined.select(
         F.coalesce("thread", "conv_id").alias("thread"), "conv_id", "turn", "role", F.col("own").alias("text"), turn.alias("formatted"),
         "n_quoted", F.col("of_conv").alias("parent_conv"), F.col("of_turn").alias("parent_turn"),
