@@ -77,6 +77,11 @@ def running(df: DataFrame, keys: list[str], at: str, sums: dict[str, str], until
     return placed.join(offsets, same).select(*df.columns, *added, *following)
 
 
+def instants(df: DataFrame, keys: list[str], start: str, end: str, out: str = "at") -> DataFrame:
+    """keys, out: every time at which an interval of the keys starts or ends, once."""
+    return df.select(*keys, F.explode(F.array(start, end)).alias(out)).distinct()
+
+
 def _steps(df: DataFrame, keys: list[str], start: str, end: str) -> DataFrame:
     """keys, at, step: how many intervals more are open from an instant on."""
     step = lambda t, n: F.struct(F.col(t).alias("at"), F.lit(n).alias("step"))

@@ -36,3 +36,9 @@ def top(df: DataFrame, order: list[Column], n: int, low: int = 1, high: int = 10
     if not low <= n <= high:
         raise ValueError(f"limit must be between {low} and {high}")
     return df.orderBy(*order).limit(n)
+
+
+def unpivoted(df: DataFrame, keys: list[str], rows: list[dict[str, Column]], keep: str) -> DataFrame:
+    """For each row of df the given rows (columns by name), of which those stay for which `keep` holds."""
+    each = F.array(*[F.struct(*[c.alias(n) for n, c in row.items()]) for row in rows])
+    return df.select(*keys, F.inline(each)).filter(keep)

@@ -2,6 +2,7 @@
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.window import WindowSpec
 
 from harborline.functions.numbers import round_half_up
 
@@ -39,6 +40,11 @@ def in_order(value: str, by: str) -> Column:
     return F.transform(F.array_sort(F.collect_list(F.struct(F.col(by), F.col(value)))), lambda s: s[value])
 
 
+def trailing(order: str, rows: int, keys: list[str] | None = None) -> WindowSpec:
+    """The last rows up to this one. Without keys one window holds all rows: for tables of days."""
+    return (Window.partitionBy(*keys) if keys else Window).orderBy(order).rowsBetween(1 - rows, 0)
+
+
 def null_profile(df: DataFrame) -> DataFrame:
     """column_name, null_count, total_rows for each column; one pass over the table."""
     counts = df.agg(F.count("*").alias("n"), *[F.count_if(F.col(c).isNull()).alias(c) for c in df.columns])

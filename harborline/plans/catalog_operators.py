@@ -2,13 +2,13 @@
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from harborline.functions import numbers, spatial, text
 from harborline.operators import checks, clusters, intervals, merge, outlines, rank, sessions, spatial_joins, stats, zones
 from harborline.plans import calls as call_plans
-from harborline.plans import enrichment
+from harborline.plans import enrichment, terminal
 from harborline.sources import files, positions
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -287,9 +287,7 @@ a as (select cluster_id, cx, t, (x - cx) * cos(t) + (y - cy) * sin(t) as u, (y -
 f as (select cluster_id, any_value(cx) as cx, any_value(t) as t, count(*)::bigint as point_count, quantile_cont(u, 0.98) - quantile_cont(u, 0.02) as u, quantile_cont(v, 0.98) - quantile_cont(v, 0.02) as v from a group by 1)
 select row_number() over (order by cx, cluster_id)::bigint as place, cluster_id, point_count, {R4.format('degrees(t)')} as axis_degrees, {R4.format('greatest(u + 30, 80)')} as length_metres, {R4.format('greatest(v + 30, 40)')} as width_metres from f""")
 def cluster_profiles_west_to_east(spark, sf_dir):
-    points = _clustered(spark, sf_dir)
-    found = points.filter("cluster_id >= 0").select("cluster_id").distinct().count()
-    c = zones.west_to_east(clusters.profiles(points), found)
+    c = zones.west_to_east(clusters.profiles(_clustered(spark, sf_dir)), 10)  # as many labels as the table has, or an error
     return c.select(F.col("place").cast("long").alias("place"), "cluster_id", "point_count", *[r4(F.col(n)).alias(n) for n in ("axis_degrees", "length_metres", "width_metres")])
 
 
@@ -329,12 +327,17 @@ def cleaned_positions(spark, sf_dir):
     return ntz(positions.clean(_raw_positions(spark, sf_dir)).drop("call_sign", "cargo", "transceiver_class"))
 
 
-@query(f"""select distinct on (mmsi) mmsi, imo[5:]::bigint as imo, vessel_name, vessel_type, length_metres from ({_POSITIONS_SQL})
-order by mmsi, vessel_name is not null desc, vessel_type is not null desc, length_metres is not null desc, recorded_at desc""")
+@query(f"""with n as (select distinct on (mmsi) mmsi, imo[5:]::bigint as imo, vessel_name, vessel_type, length_metres from ({_POSITIONS_SQL})
+order by mmsi, vessel_name is not null desc, vessel_type is not null desc, length_metres is not null desc, recorded_at desc),
+o as (select distinct 366000000 + user_id + 5 as mmsi, user_id as imo, 'KNOWN' as vessel_name, 70::bigint as vessel_type, 77.0::double as length_metres from events)
+select coalesce(n.mmsi, o.mmsi) as mmsi, coalesce(n.imo, o.imo) as imo, coalesce(n.vessel_name, o.vessel_name) as vessel_name, coalesce(n.vessel_type, o.vessel_type) as vessel_type, coalesce(n.length_metres, o.length_metres) as length_metres from n full join o using (mmsi)""")
 def loaded_vessels(spark, sf_dir):
     raw = _raw_positions(spark, sf_dir)
     typed = positions.clean(raw)
-    vessels, _ = positions.load(typed, typed.limit(0).select(*positions.VESSEL).withColumn("imo", F.col("imo").cast("bigint")), typed.limit(0).select(*positions.POSITION))
+    user = F.col("user_id")
+    known = {"mmsi": user + 366_000_005, "imo": user, "vessel_name": F.lit("KNOWN"), "call_sign": F.lit(None).cast("string"), "vessel_type": F.lit(70).cast("bigint"), "length_metres": F.lit(77.0), "width_metres": F.lit(None).cast("double"), "cargo": F.lit(None).cast("bigint"), "transceiver_class": F.lit("A")}
+    old = table(spark, sf_dir, "events").select("user_id").distinct().select(*[known[c].alias(c) for c in positions.VESSEL])
+    vessels, _ = positions.load(typed, old, typed.limit(0).select(*positions.POSITION))
     return vessels.select("mmsi", "imo", "vessel_name", "vessel_type", "length_metres")
 
 
@@ -446,17 +449,18 @@ def containment_join(spark, sf_dir):
 
 @query("""select day, event_type, clicks, total from (select ts::date as day, event_type, count(*)::bigint as clicks from events group by 1, 2) join (select ts::date as day, count(*)::bigint as total from events group by 1) using (day)""")
 def derived_date_join(spark, sf_dir):
-    e = table(spark, sf_dir, "events").withColumn("day", F.to_date("ts"))
-    return e.groupBy("day", "event_type").agg(F.count("*").alias("clicks")).join(e.groupBy("day").agg(F.count("*").alias("total")), "day")
+    e = events(spark, sf_dir).withColumn("metric_date", F.to_date("ts"))
+    zero = {c: F.lit(0) for c in ("departures", "max_occupied_berths", "terminal_utilisation_pct", "mean_occupied_berths")}
+    daily = e.groupBy("metric_date").agg(F.count("*").alias("arrivals")).withColumns(zero)
+    joined = terminal.call_analytics(e.select("event_type", F.col("ts").alias("berth_arrival_time")), daily)
+    return joined.groupBy(F.col("arrival_metric_date").alias("day"), "event_type").agg(F.count("*").alias("clicks"), F.max("arrival_day_terminal_arrivals").alias("total"))
 
 
 @query(f"""select day, events_3d, {R4.format('mean_3d')} as mean_3d, previous from (select day, sum(n) over w::bigint as events_3d, avg(n) over w as mean_3d, lag(n) over (order by day)::bigint as previous from (select ts::date as day, count(*) as n from events group by 1) window w as (order by day rows between 2 preceding and current row))""".replace("sum(n) over w::bigint", "(sum(n) over w)::bigint").replace("lag(n) over (order by day)::bigint", "(lag(n) over (order by day))::bigint"))
 def trailing_3d(spark, sf_dir):
-    from pyspark.sql import Window
-
     daily = table(spark, sf_dir, "events").groupBy(F.to_date("ts").alias("day")).agg(F.count("*").alias("n"))
-    w = Window.orderBy("day")
-    return daily.select("day", F.sum("n").over(w.rowsBetween(-2, 0)).alias("events_3d"), r4(F.avg("n").over(w.rowsBetween(-2, 0))).alias("mean_3d"), F.lag("n").over(w).alias("previous"))
+    w = stats.trailing("day", 3)
+    return daily.select("day", F.sum("n").over(w).alias("events_3d"), r4(F.avg("n").over(w)).alias("mean_3d"), F.lag("n").over(Window.orderBy("day")).alias("previous"))
 
 
 @query("""with c as (select user_id, event_type, count(*) as n from events group by 1, 2), r as (select *, row_number() over (partition by user_id order by n desc, event_type) as k from c)
@@ -469,14 +473,14 @@ def pivot_top3(spark, sf_dir):
 
 @query("""select l_orderkey, l_linenumber, l_partkey, l_suppkey, 'tax' as driver, l_tax as points from lineitem where l_tax > 0 union all select l_orderkey, l_linenumber, l_partkey, l_suppkey, 'discount', l_discount from lineitem where l_discount > 0""")
 def unpivot_drivers(spark, sf_dir):
-    d = F.array(*[F.struct(F.lit(n).alias("driver"), F.col(c).alias("points")) for n, c in (("tax", "l_tax"), ("discount", "l_discount"))])
-    return table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", F.inline(F.filter(d, lambda x: x["points"] > 0)))
+    rows = [{"driver": F.lit(n), "points": F.col(c)} for n, c in (("tax", "l_tax"), ("discount", "l_discount"))]
+    return rank.unpivoted(table(spark, sf_dir, "lineitem"), ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"], rows, "points > 0")
 
 
 @query("""select user_id, ts as at from (select user_id, min(ts) as ts from events group by 1 union select user_id, max(ts) from events group by 1)""")
 def union_distinct_instants(spark, sf_dir):
-    e = table(spark, sf_dir, "events").groupBy("user_id")
-    return e.agg(F.min("ts").alias("at")).union(e.agg(F.max("ts").alias("at"))).distinct()
+    spans = table(spark, sf_dir, "events").groupBy("user_id").agg(F.min("ts").alias("first"), F.max("ts").alias("last"))
+    return intervals.instants(spans, ["user_id"], "first", "last")
 
 
 @query("""select event_id, user_id, ts, value from events order by value desc, event_id limit 25""")

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from harborline.functions.numbers import clamp, first_match, minutes_between, ratio, round_half_up, shift
 from harborline.operators import intervals, sessions, stats
-from harborline.operators.rank import first_per_key, ranked
+from harborline.operators.rank import first_per_key, ranked, unpivoted
 from harborline.operators.spatial_joins import in_polygons
 from harborline.plans.config import DEFAULT, Config
 
@@ -255,7 +255,7 @@ def risk_features(daily: DataFrame, operations: DataFrame, history: DataFrame, d
         F.count_if(F.col("delay_band").isin("elevated", "high", "severe")).alias("delayed_departures"), F.count_if(F.col("delay_band") == "severe").alias("severe_departures"))
     zero = {c: F.coalesce(F.col(c), F.lit(0)) for c in ("active_calls", "active_scored_calls", "active_unscored_calls", "active_delayed_calls", "active_severe_calls", "delayed_departures", "severe_departures")}
     joined = daily.join(summary, "metric_date", "left").join(gone, "metric_date", "left").withColumns(zero)
-    trailing = Window.orderBy("metric_date").rowsBetween(-2, 0)  # days: one window is right
+    trailing = stats.trailing("metric_date", 3)
     rolled = joined.withColumns({
         "arrivals_3d": F.sum("arrivals").over(trailing), "departures_3d": F.sum("departures").over(trailing),
         "utilisation_3d_avg": F.avg("terminal_utilisation_pct").over(trailing), "severe_departures_3d": F.sum("severe_departures").over(trailing)})
@@ -303,8 +303,7 @@ def risk_explanations(score: DataFrame, config: Config = DEFAULT) -> DataFrame:
         "delay_intensity": ("delay_intensity", F.concat(F.lit("Mean active excess duration "), _text(F.coalesce("active_mean_delay_hours", F.lit(0.0))), F.lit(" h"))),
         "utilisation_3d": ("utilisation_3d", F.concat(F.lit("Trailing 3-day utilisation "), _text(F.col("utilisation_3d_avg")), F.lit("%"))),
         "backlog": ("backlog", F.concat(F.lit("3-day net vessel balance +"), F.col("vessel_balance_3d").cast("bigint").cast("string")))}
-    drivers = F.array(*[F.struct(F.lit(key).alias("driver"), F.col(f"{s}_points").alias("points"), text.alias("text")) for s, (key, text) in texts.items()])
-    long = base.select("metric_date", F.inline(F.filter(drivers, lambda d: d["points"] > 0)))
+    long = unpivoted(base, ["metric_date"], [{"driver": F.lit(key), "points": F.col(f"{s}_points"), "text": text} for s, (key, text) in texts.items()], "points > 0")
     order = ranked(long, ["metric_date"], [F.desc("points"), F.asc("driver")])
     places = ("primary", "secondary", "tertiary")
     pivot = [F.max(F.when(F.col("rank") == i, F.col(c))).alias(f"{p}_driver{e}") for i, p in enumerate(places, 1) for c, e in (("text", ""), ("points", "_points"))]

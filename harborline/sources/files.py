@@ -2,7 +2,7 @@
 
 import json
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from harborline.functions import spatial, text
@@ -120,8 +120,10 @@ def export_csv(tables: dict[str, tuple[DataFrame, list[str]]], folder: str) -> d
     counts = {}
     for name, (df, order) in tables.items():
         plain = df.withColumns({c: F.to_json(c) for c, t in df.dtypes if t.startswith(("array", "map", "struct"))})
-        plain.orderBy(*order).coalesce(1).write.mode("overwrite").csv(f"{folder}/{name}", header=True)
-        counts[name] = df.count()
+        seen = Observation()
+        rows = plain.orderBy(*order).coalesce(1).observe(seen, F.count("*").alias("rows"))
+        rows.write.mode("overwrite").csv(f"{folder}/{name}", header=True)
+        counts[name] = seen.get["rows"]
     return counts
 
 
