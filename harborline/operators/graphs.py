@@ -19,14 +19,25 @@ def shared_folder(spark: SparkSession) -> str:
     return given.rstrip("/")
 
 
+def _tables(spark: SparkSession) -> str:
+    """A folder for each application, so that cleaning up after one leaves others alone."""
+    return f"{shared_folder(spark)}/harborline-operators/{spark.sparkContext.applicationId}"
+
+
 def cut(df: DataFrame) -> DataFrame:
     """df's rows from a table in the shared folder: nothing is computed again, and Spark knows the table's size, which the
     estimates of a loop's joins would otherwise multiply without end."""
-    path = f"{shared_folder(df.sparkSession)}/harborline-operators/{uuid.uuid4().hex}"
+    path = f"{_tables(df.sparkSession)}/{uuid.uuid4().hex}"
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def clean(spark: SparkSession) -> None:
+    """Deletes what `cut` has written in this application; results that read it must have been written elsewhere."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(_tables(spark))
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     """node, root for every node that a link (undirected) names: nodes that links join have one root, itself among them.
 

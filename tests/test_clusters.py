@@ -83,3 +83,11 @@ def test_crowded_cells_are_linked_without_their_pairs(spark):
 def test_no_points_and_points_without_place(spark):
     df = spark.createDataFrame([(1, None, 2.0), (2, 1.0, None)], "point_id long, x double, y double")
     assert {r["cluster_id"] for r in clusters.dbscan(df, 1, 1).collect()} == {-1} and clusters.dbscan(df.limit(0), 1, 1).isEmpty()
+
+
+def test_tables_of_an_application_are_cleaned(spark):
+    df = graphs.cut(spark.range(5))
+    assert df.count() == 5
+    graphs.clean(spark)
+    with pytest.raises(Exception, match="(?i)not.*exist|not_exist"):
+        spark.read.parquet(df.inputFiles()[0]).count()
