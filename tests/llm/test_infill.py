@@ -8,6 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from harborline.llm import infill
+from tests.llm import data
 
 UNIT = re.compile(r"[\x20\x09-\x0D]*[^\x20\x09-\x0D]+|[\x20\x09-\x0D]+")
 SCHEMA = "doc_id long, text string, form string, infilled string, n_units int, __key string"
@@ -31,19 +32,19 @@ AWKWARD = [None, "", " ", "\n\t  ", "a", " a", "a ", "a <P> mark", "<S>", "<", "
 
 
 @pytest.fixture(scope="module")
-def rows():
+def cases():
     return [(i * 7 + j, text, "clash", "clash", 1, "clash") for j in range(7) for i, text in enumerate(AWKWARD)] + [(None, "a b c", None, None, None, None)] * 2 + [(5, "one two", None, None, None, None)] * 3
 
 
 @pytest.fixture(scope="module")
-def made(spark, rows):
-    return infill.infill(spark.createDataFrame(rows, SCHEMA).repartition(3)).cache()
+def made(spark, cases):
+    return infill.infill(spark.createDataFrame(cases, SCHEMA).repartition(3)).cache()
 
 
-def test_equals_brute_force_with_clashing_names(made, rows):
+def test_equals_brute_force_with_clashing_names(made, cases):
     assert made.columns == ["doc_id", "text", "form", "infilled", "n_units", "__key", "_infilled", "_form", "_n_units", "prefix_chars", "middle_chars"]
     got = Counter(tuple(r) for r in made.collect())
-    assert got == Counter((*r, *example(r[0], r[1])) for r in rows)
+    assert got == Counter((*r, *example(r[0], r[1])) for r in cases)
     assert {r[7] for r in got} == {"plain", "spm", "psm"}
 
 
@@ -52,10 +53,10 @@ def test_restores_texts(made):
     assert made.filter(~back.eqNullSafe(F.coalesce("text", F.lit("")))).isEmpty()
 
 
-def test_rates_and_seed(spark, docs, rows):
-    few = spark.createDataFrame(rows, SCHEMA).drop("form")
+def test_rates_and_seed(spark, cases):
+    few = spark.createDataFrame(cases, SCHEMA).drop("form")
     all_psm = infill.infill(few, seed="7", plain_from=100, spm_below=0).collect()
-    assert Counter((r["_infilled"], r["form"]) for r in all_psm) == Counter(example(r[0], r[1], "7", 100, 0)[:2] for r in rows)
+    assert Counter((r["_infilled"], r["form"]) for r in all_psm) == Counter(example(r[0], r[1], "7", 100, 0)[:2] for r in cases)
 
 
 def test_texts_as_keys_and_no_rows(spark, none):
@@ -64,9 +65,7 @@ def test_texts_as_keys_and_no_rows(spark, none):
     assert infill.infill(none).isEmpty() and infill.digest(none).count() == 0
 
 
-def test_digest_of_made_documents(docs, rows):
-    import tests.llm.data as data
-
+def test_digest_of_made_documents(docs):
     sha = lambda x: hashlib.sha256(x.encode()).hexdigest()
     want = Counter()
     for r in data.made():
