@@ -1,7 +1,8 @@
 """Token ids in blocks by a static range asymmetric numeral system (rANS).
 
 One frequency table (2**20 slots), counted over all documents, is shared by all blocks. Documents are range-sorted by
-doc_id and tokenized once, into a table of plain ids that is counted, then encoded; a block holds whole documents and about BLOCK ids, and can be decoded by itself. Its ids are dealt to LANES
+doc_id and tokenized once, into a table of plain ids (16 bits each, where a block's ids fit) with each part's counts, then
+encoded; a block holds whole documents and about BLOCK ids, and can be decoded by itself. Its ids are dealt to LANES
 interleaved states of 64 bits, which share one stream of 32-bit words. Every STRIDE steps a checkpoint keeps the states,
 the place in the stream and the CRC-32 of the ids that follow, so the parts of a block can be decoded in parallel too.
 
@@ -124,12 +125,22 @@ def decode(payload: bytes, table: Table, owners: np.ndarray, stride: int = STRID
 
 
 def _tokenize(path: str, key: str, text: str, end: int, schema: pa.Schema):
-    """Sorted documents to blocks of plain ids (32-bit, little-endian)."""
+    """Sorted documents to blocks of plain ids; a part's last block tells how often each id occurs in the part."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words, part = WordIds.of(path), TaskContext.get().partitionId()
-        block, first = 0, 0
+        block, first, last, total = 0, 0, None, np.zeros(0, np.int64)
         keys, lengths, ids, held = [], [], [], 0
+
+        def closed() -> dict:
+            nonlocal total
+            whole = np.concatenate(ids)
+            seen = np.bincount(whole)
+            if len(seen) > len(total):
+                seen, total = total, seen
+            total[: len(seen)] += seen
+            return {"part": part, "block": block, "first": first, "doc_ids": keys, "lengths": np.concatenate(lengths).tolist(), "payload": _plain(whole)}
+
         for batch in batches:
             for some in W.slices(batch, text):
                 found, each = words.ids(some.column(text), end)
@@ -143,37 +154,37 @@ def _tokenize(path: str, key: str, text: str, end: int, schema: pa.Schema):
                     held += int(ends[to - 1]) - low
                     at, low = to, int(ends[to - 1])
                     if held >= BLOCK:
-                        yield _row(schema, part, block, first, keys, lengths, ids)
+                        if last:
+                            yield pa.RecordBatch.from_pylist([last], schema=schema)
+                        last = closed()
                         block, first = block + 1, first + held
                         keys, lengths, ids, held = [], [], [], 0
         if keys:
-            yield _row(schema, part, block, first, keys, lengths, ids)
+            if last:
+                yield pa.RecordBatch.from_pylist([last], schema=schema)
+            last = closed()
+        if last:
+            seen = np.flatnonzero(total)
+            yield pa.RecordBatch.from_pylist([last | {"seen": seen.tolist(), "times": total[seen].tolist()}], schema=schema)
 
     return run
 
 
-def _row(schema: pa.Schema, part: int, block: int, first: int, keys: list, lengths: list, ids: list) -> pa.RecordBatch:
-    raw = np.concatenate(ids).astype("<u4").tobytes()
-    return pa.RecordBatch.from_pylist([{"part": part, "block": block, "first": first, "doc_ids": keys, "lengths": np.concatenate(lengths).tolist(), "payload": raw}], schema=schema)
+def _plain(ids: np.ndarray) -> bytes:
+    return ids.astype("<u2" if ids.max(initial=0) < 1 << 16 else "<u4").tobytes()
 
 
-def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    total = np.zeros(0, np.int64)
-    for batch in batches:
-        for raw in batch.column("payload"):
-            found = np.bincount(np.frombuffer(raw.as_buffer(), "<u4"))
-            if len(found) > len(total):
-                total = np.concatenate((total, np.zeros(len(found) - len(total), np.int64)))
-            total[: len(found)] += found
-    some = np.flatnonzero(total)
-    yield pa.RecordBatch.from_arrays([pa.array(some, pa.int64()), pa.array(total[some], pa.int64())], names=["id", "n"])
+def _ids(raw, n: int) -> np.ndarray:
+    """What _plain was given, n ids."""
+    return np.frombuffer(raw, "<u2" if raw.size == 2 * n else "<u4").astype(np.uint32)
 
 
 def _encode(table):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shared = Table(*table.value)
         for batch in batches:
-            packed = [encode(np.frombuffer(raw.as_buffer(), "<u4"), shared) for raw in batch.column("payload")]
+            sizes = [int(np.asarray(each.values).sum()) for each in batch.column("lengths")]
+            packed = [encode(_ids(raw.as_buffer(), n), shared) for raw, n in zip(batch.column("payload"), sizes, strict=True)]
             at = batch.schema.get_field_index("payload")
             yield batch.set_column(at, "payload", pa.array(packed, pa.binary()))
 
@@ -213,14 +224,16 @@ def write_ids(docs: DataFrame, *, key: str = "doc_id", text: str = "text", path:
     kind = docs.schema[key].dataType.simpleString()
     schema = pa.schema([("part", pa.int32()), ("block", pa.int32()), ("first", pa.int64()), ("doc_ids", pa.list_(_arrow(kind))), ("lengths", pa.list_(pa.int64())), ("payload", pa.binary())])
     columns = _columns(kind)
-    plain = written(order.mapInArrow(_tokenize(path, key, "text", end, schema), columns), "plain-ids", compression="zstd")
-    counted = plain.select("payload").mapInArrow(_count, "id bigint, n bigint").groupBy("id").agg(F.sum("n").alias("n")).orderBy("id").toPandas()
+    counts = [("seen", pa.list_(pa.int64())), ("times", pa.list_(pa.int64()))]
+    plain = written(order.mapInArrow(_tokenize(path, key, "text", end, pa.schema([*schema, *counts])), f"{columns}, seen array<bigint>, times array<bigint>"), "plain-ids", compression="zstd")
+    each = plain.select(F.inline(F.arrays_zip(F.col("seen").alias("id"), F.col("times").alias("n"))))
+    counted = each.groupBy("id").agg(F.sum("n").alias("n")).orderBy("id").toPandas()
     table = Table.counted(counted["id"].to_numpy(np.int64), counted["n"].to_numpy(np.int64))
     rows = spark.createDataFrame(pa.table({"id": pa.array(table.ids, pa.int64()), "freq": pa.array(table.freq, pa.int64())}), "id bigint, freq bigint")
     rows.write.parquet(f"{to}/frequencies")  # its size is bounded by the vocabulary
     spark.createDataFrame([(SCALE, STRIDE, end, kind)], _SETTINGS).write.parquet(f"{to}/settings")
     shared = spark.sparkContext.broadcast((table.ids, table.freq))
-    plain.mapInArrow(_encode(shared), columns).write.options(compression="none").parquet(f"{to}/blocks")
+    plain.drop("seen", "times").mapInArrow(_encode(shared), columns).write.options(compression="none").parquet(f"{to}/blocks")
     return spark, to
 
 

@@ -2,14 +2,15 @@
 
 The tokenizers used here drop white space before they merge, so a text's ids are those of its words, split at ASCII white
 space, one after another. Where the tokenizer also lowers case and splits letters, single digits and other marks (PRE_SPLIT),
-words are cut further, at places where it always splits: around ASCII digits, and between ASCII letters and other ASCII
-marks (but not behind an apostrophe, which may start a contraction). A slice that holds a special token is cut into words
+words are cut further, at places where it always splits: around ASCII digits, and between letters (of ASCII and Latin-1) and
+other ASCII marks (but not behind an apostrophe, which may start a contraction). A slice that holds a special token is cut into words
 only. Known pieces are found by 64-bit hashes and compared byte by byte; new ones are tokenized many in a call and kept up
 to a fixed number.
 """
 
 import json
 import os
+import re
 
 import numpy as np
 import pyarrow as pa
@@ -25,13 +26,20 @@ SLOTS, PROBES = 1 << 22, 6
 _BYTES = np.arange(256)
 _LETTER = ((_BYTES >= 97) & (_BYTES <= 122)).astype(np.uint8)
 _DIGIT = ((_BYTES >= 48) & (_BYTES <= 57)).astype(np.uint8)
-#: Classes of lower-cased bytes: 0 white, 1 letter, 2 digit, 3 other ASCII, 4 beyond ASCII, 5 apostrophe.
+#: Classes of lower-cased bytes: 0 white, 1 letter, 2 digit, 3 other ASCII, 4 beyond ASCII, 5 apostrophe; and 6, both bytes
+#: of a Latin-1 letter: LEAD, then anything but the signs of multiplication and division.
 _CLASS = np.select([W.WHITE, _LETTER == 1, _DIGIT == 1, _BYTES >= 128, _BYTES == 39], [0, 1, 2, 4, 5], 3).astype(np.uint8)
+LEAD, SIGNS = 0xC3, (0x97, 0xB7)
 #: Whether a piece starts between two classes.
-_STARTS = np.zeros((6, 6), bool)
+_STARTS = np.zeros((8, 8), bool)
 _STARTS[0, 1:] = True
 _STARTS[2, 1:] = _STARTS[1:, 2] = True
-_STARTS[1, [3, 5]] = _STARTS[3, 1] = True
+_STARTS[1, [3, 5]] = _STARTS[6, [3, 5]] = _STARTS[3, [1, 6]] = True
+#: For bytes.translate: lower case, class, and start by 8 * class before + class.
+_LOWER, _CLASSES = W.LOWER.tobytes(), _CLASS.tobytes()
+_STARTED = np.resize(_STARTS.ravel(), 256).astype(np.uint8).tobytes()
+#: Pieces that are one token run each.
+_ONE_RUN = re.compile(r"[a-zA-ZÀ-ÖØ-öø-ÿ]+|[\x00-/:-@\[-`{-\x7f]+|[\x00-\x7f]").fullmatch
 
 
 def default_path() -> str:
@@ -138,7 +146,7 @@ class WordIds:
         pieces, numbers = [x.decode() for x in words], np.zeros(len(words), np.int64)
         plain, parted, own = [], [], []
         for i, x in enumerate(pieces):
-            if self.cut and x.isascii() and (x.isalpha() or len(x) == 1 or not any(map(str.isalnum, x))):
+            if self.cut and _ONE_RUN(x):
                 plain.append(i)
             else:
                 (own if self.mark is None or SEPARATOR in x else parted).append(i)
@@ -158,20 +166,41 @@ class WordIds:
 
     def _pieces(self, data: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """The bytes (lower-cased where pieces are cut), and starts, stops and each text's first piece."""
-        if not self.cut or not len(data) or any(x in raw for raw in (data.tobytes(),) for x in self.special):
+        raw = data.tobytes()
+        if not self.cut or not raw or any(x in raw for x in self.special):
             return data, *W.find(data, ends)
-        data = W.LOWER[data]
-        kind = _CLASS[data]
-        starts = np.ones(len(data), bool)
-        starts[1:] = _STARTS[kind[:-1], kind[1:]]
+        as_given, raw = data, bytearray(raw.translate(_LOWER))
+        data, kind = np.frombuffer(raw, np.uint8), np.frombuffer(raw.translate(_CLASSES), np.uint8)
+        marked = np.flatnonzero((as_given[:-1] != data[:-1]) & (data[1:] >= 128))
+        data[marked] = as_given[marked]  # the tokenizer composes letters and marks before it lowers their case
+        lead = np.flatnonzero(data == LEAD)
+        lead = lead[~np.isin(data[lead + 1], SIGNS)]
+        kind[lead] = kind[lead + 1] = 6
         edges = ends[(ends > 0) & (ends < len(data))]
+        starts = np.ones(len(data), bool)
+        starts[1:] = np.frombuffer((kind[:-1] << 3 | kind[1:]).tobytes().translate(_STARTED), bool)
         starts[edges] = True
-        starts &= kind > 0
-        begins = np.flatnonzero(starts)
-        stop = starts | (kind == 0)
+        white = kind == 0
+        starts &= ~white
+        stop = starts | white
         stop[edges] = True
         stops = np.append(np.flatnonzero(stop), len(data))
-        return data, begins, stops[np.searchsorted(stops, begins, "right")], np.searchsorted(begins, ends, "left")
+        at = np.flatnonzero(starts[stops[:-1]])
+        begins = stops[at]
+        return data, begins, stops[at + 1], np.searchsorted(begins, ends, "left")
+
+    def _distinct(self, data: np.ndarray, hashes: np.ndarray, starts: np.ndarray, stops: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """A word of each kind, and the kind of each word. Words of equal hash are compared byte by byte."""
+        _, one, each = np.unique(hashes, return_index=True, return_inverse=True)
+        like = one[each]
+        if np.array_equal(stops - starts, (stops - starts)[like]):
+            found, count = W.eights(data, starts, stops)
+            first = np.cumsum(count) - count
+            if np.array_equal(found, found[np.repeat(first[like] - first, count) + np.arange(len(found))]):
+                return one, each
+        raw, number = data.tobytes(), {}
+        each = np.fromiter((number.setdefault(raw[a:b], len(number)) for a, b in zip(starts.tolist(), stops.tolist(), strict=True)), np.int64, len(starts))
+        return np.unique(each, return_index=True)[1], each
 
     def _places(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Each piece's number among the known ones, and each text's first piece."""
@@ -185,11 +214,9 @@ class WordIds:
         found[known[~self._same(found[known], data, starts[known], stops[known])]] = -1
         new = np.flatnonzero(found < 0)
         if len(new):
-            raw, number = data.tobytes(), {}
-            each = np.fromiter((number.setdefault(raw[a:b], len(number)) for a, b in zip(starts[new].tolist(), stops[new].tolist(), strict=True)), np.int64, len(new))
-            one = np.zeros(len(number), np.int64)
-            one[each] = new
-            found[new] = self._add(hashes[one], list(number))[each]
+            one, each = self._distinct(data, hashes[new], starts[new], stops[new])
+            raw, one = data.tobytes(), new[one]
+            found[new] = self._add(hashes[one], [raw[a:b] for a, b in zip(starts[one].tolist(), stops[one].tolist(), strict=True)])[each]
         return found, firsts
 
     def lengths(self, column: pa.Array) -> np.ndarray:

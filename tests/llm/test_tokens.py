@@ -12,6 +12,7 @@ from tokenizers import Tokenizer
 
 from harborline.llm import packing, rans, secrets
 from harborline.llm import words as W
+from harborline.llm.store import written
 from harborline.llm.tokens import WordIds, default_path
 from tests.llm import data
 
@@ -41,6 +42,20 @@ def test_pieces_are_cut_only_where_the_tokenizer_splits(tokenizer):
         assert list(found) == [*tokenizer.encode(text, add_special_tokens=False).ids, 2], text
 
 
+def test_letters_of_latin_1_are_pieces_without_the_marks_beside_them(tokenizer):
+    """A word beyond ASCII is tokenized once, whatever stands beside it; all pairs and triples of such characters agree."""
+    words = WordIds(default_path())
+    words.ids(pa.array(["été", ",", ".", "'"]), 2)
+    known = words.n
+    words.ids(pa.array(["été, été. .été ,été, été' été"]), 2)
+    assert words.n == known
+    marks = [*"aZ7.,'_…%× ÷ªºµßÀÖØÞàöøÿİǅ日", "T", "h", "\u0301", "\u0308", "\u0331", "\u0338", "\u00a0", "\u0085", "\x1c", "'s", "'LL"]
+    texts = ["".join(x) for n in (2, 3) for x in itertools.product(marks, repeat=n)]
+    ids, lengths = words.ids(pa.array(texts), 2)
+    expected = [[*x.ids, 2] for x in tokenizer.encode_batch(texts, add_special_tokens=False)]
+    assert ids.tolist() == list(itertools.chain(*expected)) and lengths.tolist() == [len(x) for x in expected]
+
+
 def test_pieces_of_equal_hash_are_told_apart(tokenizer, monkeypatch):
     """Words made of each other's swapped halves collide under any polynomial modulo 2**64; a hash of nothing always does."""
     a, b = "a", "b"
@@ -94,6 +109,22 @@ def test_files_give_back_all_ids(docs, rows, none, tokenizer):
     assert rans.read_ids(*rans.write_ids(none)).count() == 0
 
 
+@pytest.mark.parametrize("end", [2, 70_000])
+def test_plain_ids_are_counted_while_they_are_written(spark, docs, tokenizer, end, tmp_path, monkeypatch):
+    """Ids that fit are kept in 16 bits; no further pass over them counts them."""
+    made = []
+    monkeypatch.setattr(rans, "written", lambda df, name, **options: made.append(written(df, name, **options)) or made[-1])
+    _, folder = rans.write_ids(docs, end=end, to=str(tmp_path / "ids"))
+    plain = made[0].collect()
+    every = [[*tokenizer.encode(r.text or "", add_special_tokens=False).ids, end] for r in docs.collect()]
+    assert all(len(r.payload) == sum(r.lengths) * (4 if end > 65_535 else 2) for r in plain) and sum(sum(r.lengths) for r in plain) == sum(map(len, every))
+    counts = Counter()
+    for r in plain:
+        counts.update(dict(zip(r.seen or [], r.times or [], strict=True)))
+    assert counts == Counter(itertools.chain(*every))
+    assert sorted(r.ids_crc32 for r in rans.read_ids(spark, folder).collect()) == sorted(zlib.crc32(np.array(x, "<u4").tobytes()) for x in every)
+
+
 def test_a_folder_can_be_decoded_by_a_new_session(spark, docs, tmp_path):
     rans.write_ids(docs, to=str(tmp_path / "ids"))
     found = rans.read_ids(spark.newSession(), str(tmp_path / "ids"))
