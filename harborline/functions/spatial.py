@@ -68,8 +68,18 @@ def _edges(ring: Column) -> Column:
     return F.zip_with(ring, turned, lambda a, b: F.struct(a.alias("a"), b.alias("b")))
 
 
+def sides(polygon: Column) -> Column:
+    """The sides of all rings, as structs of two points."""
+    return F.flatten(F.transform(polygon, _edges))
+
+
 def covers(polygon: Column, x: Column, y: Column) -> Column:
     """The point lies in the polygon or on its boundary; holes (rings after the first) are outside. Even-odd rule."""
+    return enclosed(sides(polygon), x, y)
+
+
+def enclosed(sides: Column, x: Column, y: Column) -> Column:
+    """`covers`, by the sides of the polygon: they can be kept where many points meet it."""
 
     def crosses(e: Column) -> Column:
         a, b = e["a"], e["b"]
@@ -80,7 +90,6 @@ def covers(polygon: Column, x: Column, y: Column) -> Column:
         cross = (b["x"] - a["x"]) * (y - a["y"]) - (b["y"] - a["y"]) * (x - a["x"])
         return (F.abs(cross) <= 1e-14) & x.between(F.least(a["x"], b["x"]), F.greatest(a["x"], b["x"])) & y.between(F.least(a["y"], b["y"]), F.greatest(a["y"], b["y"]))
 
-    sides = F.flatten(F.transform(polygon, _edges))
     return F.exists(sides, touches) | (F.size(F.filter(sides, crosses)) % 2 == 1)
 
 

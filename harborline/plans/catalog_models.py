@@ -268,11 +268,11 @@ def _primary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return terminal.primary_zone(terminal.zone_hits(_positions(spark, sf_dir), _typed_zones(spark)))
 
 
-def _operational(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _operational(spark: SparkSession, sf_dir: str, primary: DataFrame | None = None) -> DataFrame:
     from harborline.operators.clusters import cut
 
     calls = cut(_calls(spark, sf_dir))
-    return terminal.operational_calls(calls, terminal.berth_stays(_primary(spark, sf_dir), calls, _CONFIG))
+    return terminal.operational_calls(calls, terminal.berth_stays(primary or _primary(spark, sf_dir), calls, _CONFIG))
 
 
 @query(POSITIONS + "select mmsi, recorded_at, zone_code, zone_type from hits")
@@ -315,7 +315,10 @@ def dominant_berth(spark, sf_dir):
 
 @query(POSITIONS + "select validated_call_id, episode_number, zone_code, x as start_time, y as end_time, movement_phase from tp")
 def timeline_phases(spark, sf_dir):
-    t = terminal.zone_timeline(_primary(spark, sf_dir), _operational(spark, sf_dir), _CONFIG)
+    from harborline.operators.clusters import cut
+
+    primary = cut(_primary(spark, sf_dir))  # stays and timeline read it
+    t = terminal.zone_timeline(primary, _operational(spark, sf_dir, primary), _CONFIG)
     return ntz(t.select("validated_call_id", F.col("episode_number").cast("long").alias("episode_number"), "zone_code", "start_time", "end_time", "movement_phase"))
 
 

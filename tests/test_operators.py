@@ -121,6 +121,17 @@ def test_polygons(spark):
     assert abs(r["p"]["x"] - 3.0) < 1e-9 and abs(r["p"]["y"] + 1.0) < 1e-9
 
 
+def test_points_in_few_cells_are_not_dealt_by_cell(spark, capsys):
+    """Few zones are broadcast, whatever they come from: all points in one cell would otherwise be one task's work."""
+    zones = spark.createDataFrame([("z", 1.0, 1.0, 9000.0, SQUARE)], f"zone string, centre_latitude double, centre_longitude double, radius_metres double, polygon {spatial.POLYGON}")
+    points = spark.range(1000).select("id", (F.col("id") % 7 / 1000 + 0.01).alias("longitude"), F.lit(0.01).alias("latitude"))
+    for found in (spatial_joins.in_polygons(points, zones), spatial_joins.within_distance(points, zones.drop("polygon"))):
+        found.explain()
+        plan = capsys.readouterr().out
+        assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan and "hashpartitioning" not in plan
+    assert spatial_joins.in_polygons(points, zones).count() == 1000
+
+
 def test_dbscan_is_that_of_brute_force(spark):
     rng = np.random.default_rng(4)
     xy = np.concatenate([rng.normal(c, 5, (40, 2)) for c in ((0, 0), (60, 0), (0, 80))] + [rng.uniform(-200, 200, (20, 2))])
