@@ -6,6 +6,16 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
+#: Rows of a task, where their number is known: hash maps and sorts of a task then stay as they are, however large the input.
+TASK_ROWS = 1 << 18
+
+
+def dealt(df: DataFrame, rows: int, *keys: str) -> DataFrame:
+    """df, of so many rows, dealt by keys into parts of TASK_ROWS rows or less on average. Grouping by the keys then needs
+    neither a map of all keys in each reading task nor more rows in a task as the table grows."""
+    return df if rows <= TASK_ROWS else df.repartition(rows // TASK_ROWS + 1, *keys)
+
+
 def _tagged(df: DataFrame, check: str, key: Column) -> DataFrame:
     return df.select(F.lit(check).alias("check_name"), key.cast("string").alias("violation_key"))
 

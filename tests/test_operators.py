@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from harborline.functions import spatial, text
 from harborline.operators import checks, clusters, intervals, rank, sessions, spatial_joins, stats
-from harborline.plans import calls, config, enrichment, gates, serve, terminal
+from harborline.plans import calls, catalog_operators, config, enrichment, gates, serve, terminal
 from harborline.sources import files, positions
 from harborline.streaming import live
 
@@ -304,6 +304,19 @@ def test_every_rule_sees_a_wrong_row(spark):
     assert expected <= {(r["model"], r["check_name"]) for r in gates.violations(models).collect()}
 
 
+def test_tasks_of_checks_do_not_grow_with_the_table(spark, monkeypatch):
+    """Joins and groupings of dq_report are dealt by the number of rows; the session's few partitions would grow with them."""
+    monkeypatch.setattr(checks, "TASK_ROWS", 500, raising=False)
+    monkeypatch.setattr(checks, "_tagged", lambda df, check, key, old=checks._tagged: old(df, check, key).withColumn("part", F.spark_partition_id()))
+    sf_dir = "/root/testdata/sf0.001"
+    rows = catalog_operators.table(spark, sf_dir, "lineitem").count()
+    parts = catalog_operators.dq_report(spark, sf_dir).filter("check_name = 'ships_after_order'").select("part").distinct().count()
+    assert rows / parts < 1000
+    lines = checks.dealt(spark.range(20_000).selectExpr("id % 9000 as k", "id"), 20_000, "k")
+    assert lines.rdd.getNumPartitions() == 41 and checks.unique(lines, ["k"]).count() == 9000
+    assert max(lines.rdd.glom().map(len).collect()) < 1000
+
+
 def test_checks_tell_violations(spark):
     df = spark.createDataFrame([(1, "a"), (1, None), (2, "x")], "k int, v string")
     found = checks.report([checks.unique(df, ["k"]), checks.not_null(df, "v", "k"), checks.accepted(df, "v", ["a"], "k"), checks.holds(df, "k < 2", "k", "small")])
